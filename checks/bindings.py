@@ -78,7 +78,7 @@ def week(day):
 def log_entries(spark: SparkSession, sf: str) -> DataFrame:
     """Log rows to append: documents labelled as low quality."""
     return table(spark, sf, "labels").filter("quality = 0").select(
-        F.lit(None).cast("long").alias("id"), F.lit("2025-W01").alias("week"), F.lit("new").alias("theme"),
+        F.col("doc_id").alias("arrived"), F.lit("2025-W01").alias("week"), F.lit("new").alias("theme"),
         F.array(F.col("doc_id").cast("string")).alias("source_pmids"),
         F.concat(F.lit("new-"), F.col("doc_id")).alias("article_slug"),
         F.when(F.col("toxic") == 1, F.lit("2024-12-30 00:00:00").cast("timestamp")).alias("created_at"))

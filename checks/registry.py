@@ -98,13 +98,14 @@ def read_search_index(spark, sf):
         "slug", "title", "category", _join("tags").alias("tags"), "date", "url", "pos")
 
 
-@query("""SELECT pmid, regexp_replace(title, '<[^>]*>', '', 'g') AS title, journal, strftime(pub_date, '%Y-%m-%d') AS raw_pub_date,
+@query(r"""SELECT pmid, regexp_replace(title, '</?(?:i|b|u|em|strong|sup|sub|mml:[A-Za-z]+)(?:\s[^<>]*)?/?>', '', 'g') AS title,
+  regexp_replace(abstract, '</?(?:i|b|u|em|strong|sup|sub|mml:[A-Za-z]+)(?:\s[^<>]*)?/?>', '', 'g') AS abstract, journal, strftime(pub_date, '%Y-%m-%d') AS raw_pub_date,
   pub_date, doi, 'https://pubmed.ncbi.nlm.nih.gov/' || pmid || '/' AS url,
   array_to_string(mesh_terms, ',') AS terms FROM papers""")
 def parse_paper_xml(spark, sf):
     rows = feeds.parse_xml_column(B.papers(spark, sf).select(_as_xml().alias("xml")), "xml")
-    return feeds.parse_paper_xml(rows).select("pmid", "title", "journal", "raw_pub_date", "pub_date", "doi", "url",
-                                              _join("mesh_terms").alias("terms"))
+    return feeds.parse_paper_xml(rows).select("pmid", "title", "abstract", "journal", "raw_pub_date", "pub_date", "doi",
+                                              "url", _join("mesh_terms").alias("terms"))
 
 
 def _as_xml():
@@ -168,21 +169,21 @@ def upsert_embeddings(spark, sf):
 
 @query("," + _UPSERTED + """SELECT (SELECT count(*) FROM incoming) AS processed, count(*) AS stored FROM merged""")
 def ingest_papers(spark, sf):
-    incoming = B.incoming_papers(spark, sf)
-    stored = upsert.upsert_papers(B.papers(spark, sf), incoming, NOW).agg(F.count(F.lit(1)).alias("stored"))
-    return upsert.processed_count(incoming).select("processed", stored.scalar().alias("stored"))
+    stored, processed = upsert.ingest_papers(B.papers(spark, sf), B.incoming_papers(spark, sf), NOW)
+    return stored.agg(F.lit(processed).cast("long").alias("processed"), F.count(F.lit(1)).alias("stored"))
 
 
-@query(f""", entries AS (
-  SELECT 'new-' || doc_id AS article_slug, CAST(doc_id AS VARCHAR) AS pmids, '2025-W01' AS week,
-    CASE WHEN toxic = 1 THEN TIMESTAMP '2024-12-30 00:00:00' ELSE TIMESTAMP '{NOW}' END AS created_at
+@query(""", entries AS (
+  SELECT 'new-' || doc_id AS article_slug, CAST(doc_id AS VARCHAR) AS pmids, '2025-W01' AS week, doc_id,
+    CASE WHEN toxic = 1 THEN '2024-12-30' ELSE '2025-01-01' END AS created
   FROM labels WHERE quality = 0)
-SELECT id, week, array_to_string(source_pmids, ',') AS pmids, article_slug FROM gen_log
-UNION ALL SELECT (SELECT max(id) FROM gen_log) + row_number() OVER (ORDER BY created_at, md5(article_slug || '|' || pmids)),
-  week, pmids, article_slug FROM entries""")
+SELECT id, week, array_to_string(source_pmids, ',') AS pmids, article_slug, strftime(created_at, '%Y-%m-%d') AS created FROM gen_log
+UNION ALL SELECT (SELECT max(id) FROM gen_log) + row_number() OVER (ORDER BY doc_id),
+  week, pmids, article_slug, created FROM entries""")
 def append_log(spark, sf):
-    return upsert.append_log(B.log(spark, sf), B.log_entries(spark, sf), NOW).select(
-        "id", "week", _join("source_pmids").alias("pmids"), "article_slug")
+    return upsert.append_log(B.log(spark, sf), B.log_entries(spark, sf), NOW, arrival="arrived").select(
+        "id", "week", _join("source_pmids").alias("pmids"), "article_slug",
+        F.date_format("created_at", "yyyy-MM-dd").alias("created"))
 
 
 _INDEX_NEW = """SELECT pmid AS slug, title, substring(abstract, 1, 200) AS description, category,
@@ -873,10 +874,11 @@ def _vector_digest(df):
 
 @query(", " + _HASHED.format(text="abstract"))
 def embed_text(spark, sf):
-    rows = B.papers(spark, sf).select("pmid", "abstract")
+    rows = B.papers(spark, sf).select("pmid", "abstract").repartition(spark.sparkContext.defaultParallelism)
     return _vector_digest(embed.embed_text(rows, "abstract", kernels.hash_encoder(384)))
 
 
 @query(", " + _HASHED.format(text=_EMBED_TEXT))
 def embed_papers(spark, sf):
-    return _vector_digest(embed.embed_papers(B.papers(spark, sf), now=NOW))
+    return _vector_digest(embed.embed_papers(B.papers(spark, sf), now=NOW,
+                                              partitions=spark.sparkContext.defaultParallelism))

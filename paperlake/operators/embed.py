@@ -47,10 +47,17 @@ def with_embedding_text(papers: DataFrame, out: str = "embedding_text") -> DataF
 
 
 def embed_papers(papers: DataFrame, model: str = "hash-384", now=None,
-                 encode: Callable[[DataFrame, str], DataFrame] = hash_embed) -> DataFrame:
-    """Embedding rows of papers. ``encode(df, text_column)`` adds ``embedding``."""
+                 encode: Callable[[DataFrame, str], DataFrame] = hash_embed,
+                 partitions: int | None = None) -> DataFrame:
+    """Embedding rows of papers. ``encode(df, text_column)`` adds ``embedding``.
+
+    Encoding is the costly step: ``partitions`` spreads it over more tasks than
+    the input has, for inputs of few large files.
+    """
     created = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    return (encode(with_embedding_text(papers), "embedding_text")
+    narrow = papers.select("pmid", "title", "abstract", "mesh_terms", "category")
+    spread = narrow.repartition(partitions) if partitions else narrow
+    return (encode(with_embedding_text(spread), "embedding_text")
             .select("pmid", "embedding", F.lit(model).alias("model"), created.alias("created_at")))
 
 

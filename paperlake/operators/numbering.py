@@ -30,13 +30,10 @@ def number_rows(df: DataFrame, bucket: list[Column], order: list[Column], name:
             .drop(*keys, "_rn", "_before"))
 
 
-def number_by_hash(df: DataFrame, key: Column, name: str = "id", start: Column | int = 1,
-                   lead: list[Column] | None = None) -> DataFrame:
-    """Dense numbers in the order of ``lead`` columns, then of the md5 of ``key``.
+def number_by_hash(df: DataFrame, key: Column, name: str = "id", start: Column | int = 1) -> DataFrame:
+    """Dense numbers in the order of the md5 of ``key``, which must be unique per row.
 
-    ``key`` must be unique per row so that no hash bucket grows hot; 4096
-    buckets per lead value keep every sort small.
+    4096 hash buckets keep every sort small.
     """
-    lead = lead or []
     hashed = df.withColumn("_h", F.md5(key.cast("string")))
-    return number_rows(hashed, [*lead, F.substring("_h", 1, 3)], [*lead, F.col("_h")], name, start).drop("_h")
+    return number_rows(hashed, [F.substring("_h", 1, 3)], [F.col("_h")], name, start).drop("_h")

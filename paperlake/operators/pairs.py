@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from paperlake import kernels, vocab
 from paperlake.functions import text as T
 from paperlake.operators.cells import BLOCK_ROWS, to_cells
-from paperlake.runtime import check_inline
+from paperlake.runtime import check_inline, cut_lineage
 
 PROBE_ROWS = 512
 
@@ -62,17 +62,18 @@ def contradiction_pairs(papers: DataFrame, embeddings: DataFrame, min_similarity
     finds ``top`` pairs, no later pair can beat them. Only otherwise are all
     candidates compared, in cells per (category, tag). Both ways are exact.
     """
+    check_inline(top, "top")
     pos, neg = T.polarity_flags(T.text_of(), list(positive), list(negative))
-    flagged = papers.select("pmid", "category", "mesh_terms", pos.alias("pos"), neg.alias("neg"))
-    rows = (_with_vectors(flagged.filter("pos or neg"), embeddings)
-            .select("id", "category", "vec", "terms", "pos", "neg"))
+    flagged = papers.select("pmid", "category", "mesh_terms", "evidence_level",
+                            T.prefix(F.col("title"), 80).alias("title"), pos.alias("pos"), neg.alias("neg"))
+    # the texts are read once; every later step reads this narrow table
+    rows = cut_lineage(_with_vectors(flagged.filter("pos or neg"), embeddings), "pair-candidates")
     out = "pmid1 string, pmid2 string, similarity double, contradiction_score double"
     order = [F.desc("contradiction_score"), F.col("pmid1"), F.col("pmid2")]
 
-    check_inline(top, "top")
     best = None
     if probe_rows:
-        mixed = rows.filter("pos and neg")
+        mixed = rows.filter("pos and neg").select("id", "category", "vec", "terms", "pos", "neg")
         # both collected tables are bounded, by probe_rows and by top
         chunk = mixed.orderBy("id").limit(check_inline(probe_rows, "probe_rows")).toArrow()
         if chunk.num_rows:
@@ -81,24 +82,23 @@ def contradiction_pairs(papers: DataFrame, embeddings: DataFrame, min_similarity
             if lead.num_rows == top:
                 best = rows.sparkSession.createDataFrame(lead)
     if best is None:
-        exploded = rows.withColumn("term", F.explode("terms"))
+        exploded = rows.select("id", "category", "vec", "terms", "pos", "neg", F.explode("terms").alias("term"))
         cells = to_cells(exploded, ["category", "term"], "id", block_rows)
         best = (cells.select("cell", "lone", "side", "id", "category", "terms", "vec", "pos", "neg")
                 .mapInArrow(kernels.opposing_in_cells(min_similarity, min_score, top), out)
                 .dropDuplicates(["pmid1", "pmid2"]).orderBy(*order).limit(top))
-    return _describe(best.persist(), papers).orderBy(*order)
+    return _describe(best.persist(), rows).orderBy(*order)
 
 
-def _describe(best: DataFrame, papers: DataFrame) -> DataFrame:
+def _describe(best: DataFrame, rows: DataFrame) -> DataFrame:
     """Titles, tags and evidence levels of the two papers of a short list of pairs."""
-    ids = best.select(F.explode(F.array("pmid1", "pmid2")).alias("pmid")).distinct()
+    ids = best.select(F.explode(F.array("pmid1", "pmid2")).alias("id")).distinct()
     # the list is at most the top-n asked for
-    info = papers.select("pmid", T.prefix(F.col("title"), 80).alias("title"), "category", "mesh_terms",
-                         "evidence_level").join(F.broadcast(ids), "pmid", "left_semi")
+    info = rows.select("id", "title", "category", "terms", "evidence_level").join(F.broadcast(ids), "id", "left_semi")
 
     def side(n: int) -> DataFrame:
-        return info.select(F.col("pmid").alias(f"pmid{n}"), F.col("title").alias(f"title{n}"),
-                           F.col("mesh_terms").alias(f"_terms{n}"), F.col("evidence_level").alias(f"_level{n}"),
+        return info.select(F.col("id").alias(f"pmid{n}"), F.col("title").alias(f"title{n}"),
+                           F.col("terms").alias(f"_terms{n}"), F.col("evidence_level").alias(f"_level{n}"),
                            *(["category"] if n == 1 else []))
 
     return (best.join(side(1), "pmid1").join(side(2), "pmid2")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperlake.functions import text as T
@@ -54,14 +54,10 @@ def upsert_papers(existing: DataFrame, incoming: DataFrame, now, key: str = "pmi
 
 
 def ingest_papers(existing: DataFrame, incoming: DataFrame, now,
-                  arrival: list[Column] | None = None) -> tuple[DataFrame, Observation]:
-    """Upsert a batch; the observation's ``processed`` counts its rows, repeats included.
-
-    Read it after an action on the returned table.
-    """
-    seen = Observation("ingest")
-    counted = incoming.observe(seen, F.count(F.lit(1)).alias("processed"))
-    return upsert_papers(existing, counted, now, arrival=arrival), seen
+                  arrival: list[Column] | None = None) -> tuple[DataFrame, int]:
+    """Upsert a batch; also the number of rows processed, repeats included."""
+    return (upsert_papers(existing, incoming, now, arrival=arrival),
+            processed_count(incoming).first()["processed"])
 
 
 def processed_count(incoming: DataFrame) -> DataFrame:
@@ -73,12 +69,21 @@ def upsert_embeddings(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return replace_by_key(existing, latest_by_key(incoming, "pmid", [F.desc_nulls_last("created_at")]), "pmid")
 
 
-def append_log(log: DataFrame, entries: DataFrame, now) -> DataFrame:
-    """Entries with ids following the highest one, in order of time, then slug hash."""
+def append_log(log: DataFrame, entries: DataFrame, now, arrival: str | None = None,
+               block: int = 10_000) -> DataFrame:
+    """Log with the entries added, their ids following the highest one.
+
+    Ids go by the integer column ``arrival``; without it the batch has no order
+    and ids are dealt out by a hash of slug and sources.
+    """
     last = log.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    stamped = entries.withColumn("created_at", F.coalesce("created_at", F.lit(now).cast("timestamp")))
-    numbered = number_by_hash(stamped, F.concat_ws("|", "article_slug", F.array_join("source_pmids", ",")),
-                              start=last + 1, lead=[F.col("created_at")])
+    stamped = (entries.withColumn("created_at", F.coalesce("created_at", F.lit(now).cast("timestamp")))
+               .drop("id"))
+    if arrival is None:
+        key = F.concat_ws("|", "week", "article_slug", F.array_join("source_pmids", ","))
+        numbered = number_by_hash(stamped, key, start=last + 1)
+    else:
+        numbered = number_rows(stamped, [F.floor(F.col(arrival) / block)], [F.col(arrival)], start=last + 1)
     return log.unionByName(numbered.select(*log.columns))
 
 

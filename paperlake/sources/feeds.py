@@ -11,6 +11,10 @@ from paperlake.operators.numbering import number_by_hash
 
 CORRUPT = "_corrupt"
 
+# Markup that may stand inside titles and abstracts. Anything
+# else between angle brackets is text ("p < 0.05").
+INLINE_TAG = r"</?(?:i|b|u|em|strong|sup|sub|mml:[A-Za-z]+)(?:\s[^<>]*)?/?>"
+
 # The parts of a PubmedArticle element that are read.
 PAPER_XML = """
   MedlineCitation STRUCT<
@@ -51,7 +55,7 @@ def parse_paper_xml(rows: DataFrame, url_base: str = "https://pubmed.ncbi.nlm.ni
     recency rule looks at.
     """
     def text(value: Column) -> Column:
-        return F.regexp_replace(F.coalesce(value, F.lit("")), "<[^>]*>", "")
+        return F.regexp_replace(F.coalesce(value, F.lit("")), INLINE_TAG, "")
 
     article = F.col("MedlineCitation.Article")
     day = article["Journal"]["JournalIssue"]["PubDate"]

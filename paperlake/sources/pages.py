@@ -18,11 +18,10 @@ def read_pages(spark: SparkSession, base: str) -> DataFrame:
 
     Folders named ``category`` or starting with ``-`` are left out.
     """
-    files = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "index.html").text(base)
+    files = (spark.read.format("text").option("wholetext", True).load(f"{base.rstrip('/')}/*/index.html")
              .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html")))
     return (files.withColumn("slug", F.element_at(F.split("path", "/"), -2))
-            .filter(~F.contains("path", F.lit("/category/")) & ~F.startswith("slug", F.lit("-"))))
+            .filter((F.col("slug") != "category") & ~F.startswith("slug", F.lit("-"))))
 
 
 def plain_text(fragment: Column) -> Column:
