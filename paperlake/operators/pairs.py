@@ -42,8 +42,9 @@ def topic_pairs(papers: DataFrame, embeddings: DataFrame, min_similarity: float
     A pair with several common tags is reported by the cell of the first one
     only, so no pass over the result is needed to remove repeats.
     """
-    rows = (_with_vectors(papers.select("pmid", "category", "mesh_terms"), embeddings)
-            .select("id", "category", "vec", "terms", F.explode("terms").alias("term")))
+    narrow = cut_lineage(_with_vectors(papers.select("pmid", "category", "mesh_terms"), embeddings)
+                         .select("id", "category", "vec", "terms"), "topic-rows")
+    rows = narrow.select("id", "category", "vec", "terms", F.explode("terms").alias("term"))
     cells = to_cells(rows, ["category", "term"], "id", block_rows)
     return cells.select("cell", "lone", "side", "id", "term", "terms", "vec").mapInArrow(
         kernels.near_pairs(min_similarity),

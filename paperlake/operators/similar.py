@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperlake import kernels
-from paperlake.functions.vectors import dot, literal_vector, norm
+from paperlake.functions.vectors import cosine, literal_vector
 from paperlake.operators.cells import BLOCK_ROWS, to_cells
 from paperlake.runtime import check_inline, cut_lineage, small_side
 
@@ -22,19 +22,13 @@ def similar_topk(embeddings: DataFrame, query, top_k: int = 10, key: str = "pmid
     One pass over the vectors: each task keeps its own top-k.
     """
     vector = query if isinstance(query, Column) else literal_vector(query)
-    similarity = F.try_divide(dot(F.col("embedding"), _unit(F.col("_query"))), norm(F.col("embedding")))
     # NULL (no vector, zero vector) sorts last and is dropped from the short list
     return (embeddings.select(key, "embedding", vector.alias("_query"))
-            .select(key, similarity.alias("similarity"))
+            .select(key, cosine(F.col("embedding"), F.col("_query")).alias("similarity"))
             .orderBy(F.desc_nulls_last("similarity"), key).limit(top_k)
             .filter(F.col("similarity").isNotNull()))
 
 
-def _unit(vector: Column) -> Column:
-    length = norm(vector)
-    return F.transform(vector, lambda x: F.try_divide(x.cast("double"), length))
-
-
 def related_papers(embeddings: DataFrame, pmid: str, top_k: int = 5) -> DataFrame:
     """Papers most similar to a stored one, itself left out; unknown id gives no rows."""
     query = embeddings.filter(F.col("pmid") == F.lit(pmid)).agg(F.max("embedding")).scalar()
@@ -42,13 +36,12 @@ def related_papers(embeddings: DataFrame, pmid: str, top_k: int = 5) -> DataFram
 
 
 def recommendations_join(ranked: DataFrame, papers: DataFrame) -> DataFrame:
-    """Paper details for at most a top-k of ids, '' where a paper is missing, order kept."""
-    # a top-k is a handful of rows: kept, so that both uses below share one search
-    ranked = ranked.persist()
-    wanted = papers.select("pmid", "title", "category", "pub_date").join(
-        F.broadcast(ranked.select("pmid")), "pmid", "left_semi")
+    """Paper details for a top-k of ids, '' where a paper is missing, order kept."""
+    # kept and counted, so that both uses below share one search
+    short = small_side(ranked)
+    wanted = papers.select("pmid", "title", "category", "pub_date").join(short.select("pmid"), "pmid", "left_semi")
     filled = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("title", "category", "pub_date")]
-    return (ranked.join(wanted, "pmid", "left").select("pmid", *filled, "similarity")
+    return (short.join(wanted, "pmid", "left").select("pmid", *filled, "similarity")
             .orderBy(F.desc("similarity"), "pmid"))
 
 

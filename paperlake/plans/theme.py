@@ -19,9 +19,13 @@ def evidence_weight(levels=tuple(vocab.EVIDENCE_ORDER)):
 
 
 def _open(papers: DataFrame, embeddings: DataFrame, used: DataFrame, as_of, days: int) -> DataFrame:
-    """Recent unused papers that have an embedding row."""
+    """Recent unused papers that have an embedding row.
+
+    An inner join on the unique id, so Spark may broadcast the few recent
+    papers instead of shuffling every embedding id.
+    """
     recent = papers.filter(F.col("pub_date") >= T.days_before(as_of, days))
-    return unused_papers(recent, used).join(embeddings.select("pmid"), "pmid", "left_semi")
+    return unused_papers(recent, used).join(embeddings.select("pmid"), "pmid")
 
 
 def evidence_rank(papers: DataFrame, embeddings: DataFrame, used: DataFrame, as_of, days: int = 30,
