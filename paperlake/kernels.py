@@ -92,10 +92,95 @@ def neighbours(k: int):
                 sims[np.arange(len(part)), np.arange(start, start + len(part))] = -np.inf
             row, col = best_of_rows(sims, k)
             if len(row):
+                yield hits(ids[part][row], ids[right][col], sims[row, col])
+
+    return run
+
+
+def neighbours_of_left(k: int):
+    """Per cell: the k nearest side-1 rows of every side-0 row."""
+
+    def run(batches):
+        for table in cell_stream(batches):
+            side = table.column("side").to_numpy()
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            if not len(left) or not len(right):
+                continue
+            ids = np.array(table.column("id").to_pylist(), dtype=object)
+            right = right[np.argsort(ids[right])]
+            unit = matrix(table.column("vec"))
+            for start in range(0, len(left), ROWS_AT_ONCE):
+                part = left[start:start + ROWS_AT_ONCE]
+                row, col, sims = nearest(unit[part], unit[right], k)
+                yield hits(ids[part][row], ids[right][col], sims)
+
+    return run
+
+
+def nearest(a, b, k):
+    sims = a @ b.T
+    row, col = best_of_rows(sims, k)
+    return row, col, sims[row, col]
+
+
+def hits(ids, others, sims):
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(others, pa.string()), pa.array(sims)],
+                                      names=["id", "neighbour", "similarity"])
+
+
+def angles(a, b):
+    return np.arccos(np.clip(a @ b.T, -1.0, 1.0))
+
+
+def spread_out(sample: np.ndarray, count: int) -> np.ndarray:
+    """``count`` rows of a sample, each the farthest from those taken before."""
+    taken = [0]
+    gap = angles(sample, sample[:1])[:, 0]
+    while len(taken) < min(count, len(sample)):
+        taken.append(int(gap.argmax()))
+        gap = np.minimum(gap, angles(sample, sample[taken[-1:]])[:, 0])
+    return sample[taken]
+
+
+def nearest_pivot(pivots: np.ndarray):
+    """Closest pivot of every row and the angle to it."""
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                gaps = angles(matrix(part.column("vec")), pivots)
+                ball = gaps.argmin(axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[part][row], pa.string()), pa.array(ids[right][col], pa.string()),
-                     pa.array(sims[row, col])],
-                    names=["id", "neighbour", "similarity"])
+                    [part.column("id"), part.column("vec"), pa.array(ball.astype(np.int32)),
+                     pa.array(gaps[np.arange(len(ball)), ball])],
+                    names=["id", "vec", "ball", "angle"])
+
+    return run
+
+
+def visits(pivots: np.ndarray, radii: np.ndarray):
+    """Other balls that may hold a row at least as near as the row's ``bound``.
+
+    A ball whose members are all farther than the bound by the triangle
+    inequality is left out; a radius below 0 marks an empty ball.
+    """
+    slack = 1e-6  # above the rounding of arccos near 0
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                gaps = angles(matrix(part.column("vec")), pivots)
+                go = (gaps - radii[None, :] <= part.column("bound").to_numpy()[:, None] + slack) & (radii >= 0)[None, :]
+                go[np.arange(len(gaps)), part.column("ball").to_numpy()] = False
+                row, ball = np.nonzero(go)
+                if len(row):
+                    picked = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("id").take(picked), part.column("vec").take(picked),
+                         pa.array(ball.astype(np.int32))],
+                        names=["id", "vec", "ball"])
 
     return run
 

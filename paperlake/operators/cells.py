@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperlake.runtime import small_side
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 8192
 
 
 def to_cells(df: DataFrame, group: list[str], row_key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -35,3 +35,30 @@ def to_cells(df: DataFrame, group: list[str], row_key: str, block_rows: int = BL
             .withColumn("side", F.when(F.col("_block") <= F.col("_other"), 0).otherwise(1))
             .drop("_blocks", "_block", "_other")
             .repartition("cell").sortWithinPartitions("cell"))
+
+
+def to_rect_cells(left: DataFrame, right: DataFrame, group: str, row_key: str,
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Cells in which every left row (side 0) of a group meets every right row (side 1) once.
+
+    Both sides of a group are cut by hash into blocks of about ``block_rows``.
+    Groups lacking one side give no cells. ``left`` and ``right`` have the same
+    columns.
+    """
+    def blocks(df, name):
+        return df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    sizes = small_side(blocks(left, "_left").join(blocks(right, "_right"), group))
+
+    def side(df, number, own, other):
+        return (df.join(sizes, group)
+                .withColumn("_own", F.pmod(F.xxhash64(row_key), F.col(own)).cast("int"))
+                .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                .withColumn("side", F.lit(number)))
+
+    both = (side(left, 0, "_left", "_right").withColumn("_l", F.col("_own")).withColumn("_r", F.col("_other"))
+            .unionByName(side(right, 1, "_right", "_left").withColumn("_l", F.col("_other"))
+                         .withColumn("_r", F.col("_own"))))
+    name = F.concat_ws("\u0001", *(F.col(c).cast("string") for c in (group, "_l", "_r")))
+    return (both.withColumn("cell", F.md5(name)).select(*left.columns, "cell", "side")
+            .repartition("cell").sortWithinPartitions("cell"))

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 
 from paperlake import kernels
 from paperlake.functions.vectors import cosine, literal_vector
-from paperlake.operators.cells import BLOCK_ROWS, to_cells
+from paperlake.operators.cells import BLOCK_ROWS, to_cells, to_rect_cells
 from paperlake.runtime import check_inline, cut_lineage, small_side
 
+PLAIN_BLOCKS = 4
+MAX_PIVOTS = 8192
+SAMPLE_PER_PIVOT = 4
+PIVOTS_PER_BLOCK = 4
+
 _PAIR = "id string, neighbour string, similarity double"
 
 
@@ -91,17 +96,53 @@ def _expand(groups: DataFrame, members: DataFrame, near: DataFrame, top_k: int)
 def related_all(embeddings: DataFrame, top_k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Exact top-k of every paper.
 
-    Distinct vectors are cut into blocks, block pairs are multiplied in Arrow
-    tasks that emit only each row's local top-k. The work is quadratic in the
-    number of distinct vectors by nature of an exact answer; use
-    :func:`ann_topk` where that is too much.
+    A few blocks of distinct vectors are compared block by block; the tasks
+    emit only each row's local top-k. Above that, vectors are grouped around
+    pivots, see :func:`_near_by_pivots`.
     """
     groups, members = _vector_groups(embeddings, top_k + 1)
-    cells = to_cells(groups.select("id", "vec"), [], "id", block_rows)
-    near = cells.mapInArrow(kernels.neighbours(top_k), _PAIR)
+    vectors = groups.select("id", "vec")
+    count = vectors.count()
+    if count <= PLAIN_BLOCKS * block_rows:
+        near = to_cells(vectors, [], "id", block_rows).mapInArrow(kernels.neighbours(top_k), _PAIR)
+    else:
+        pivots = min(MAX_PIVOTS, PIVOTS_PER_BLOCK * -(-count // block_rows))
+        near = _near_by_pivots(vectors, top_k, pivots, block_rows)
     return _expand(groups, members, near, top_k)
 
 
+def _near_by_pivots(vectors: DataFrame, top_k: int, pivots: int, block_rows: int) -> DataFrame:
+    """Exact neighbours with pruning by angles, after the usual pivot-based kNN join.
+
+    Every vector joins the ball of its closest pivot and is searched there
+    first. Its k-th angle so far bounds the search: another ball is visited only
+    if its pivot's angle less its radius is within the bound. Balls and visits
+    are cut into blocks, so neither a crowded ball nor a popular one is met
+    whole by a task.
+    """
+    # on the driver: a sample of SAMPLE_PER_PIVOT * MAX_PIVOTS rows at most, pivots and radii
+    sample = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_PIVOT * pivots).select("vec").toArrow()
+    centres = kernels.spread_out(kernels.matrix(sample.column("vec")), pivots)
+    placed = cut_lineage(vectors.mapInArrow(kernels.nearest_pivot(centres),
+                                            "id string, vec array<float>, ball int, angle double"), "balls")
+    radii = np.full(len(centres), -1.0)
+    for row in placed.groupBy("ball").agg(F.max("angle").alias("radius")).toLocalIterator():
+        radii[row["ball"]] = row["radius"]
+
+    own = to_cells(placed.select("id", "vec", "ball"), ["ball"], "id", block_rows)
+    best = Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour")
+    near = cut_lineage(own.mapInArrow(kernels.neighbours(top_k), _PAIR)
+                       .withColumn("rn", F.row_number().over(best)).filter(F.col("rn") <= top_k), "near-own")
+    reached = near.filter(F.col("rn") == top_k).select("id", F.acos(F.greatest(F.lit(-1.0), F.least(
+        F.lit(1.0), "similarity"))).alias("bound"))
+    asking = (placed.join(reached, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(np.pi)))
+              .select("id", "vec", "ball", "bound"))
+    # used twice, counted and placed; repeating the angles is cheaper than storing every visit's vector
+    visiting = asking.mapInArrow(kernels.visits(centres, radii), "id string, vec array<float>, ball int")
+    cells = to_rect_cells(visiting, placed.select("id", "vec", "ball"), "ball", "id", block_rows)
+    return near.drop("rn").unionByName(cells.mapInArrow(kernels.neighbours_of_left(top_k), _PAIR))
+
+
 def ann_topk(embeddings: DataFrame, dim: int, top_k: int = 5, tables: int = 8, bits: int = 8,
              extra_bits: int = 8, block_rows: int = BLOCK_ROWS, seed: int = 42) -> DataFrame:
     """Approximate top-k of every paper by random-hyperplane hashing.
