@@ -103,7 +103,8 @@ def read_search_index(spark, sf):
   pub_date, doi, 'https://pubmed.ncbi.nlm.nih.gov/' || pmid || '/' AS url,
   array_to_string(mesh_terms, ',') AS terms FROM papers""")
 def parse_paper_xml(spark, sf):
-    rows = feeds.parse_xml_column(B.papers(spark, sf).select(_as_xml().alias("xml")), "xml")
+    papers = B.papers(spark, sf).repartition(spark.sparkContext.defaultParallelism)
+    rows = feeds.parse_xml_column(papers.select(_as_xml().alias("xml")), "xml")
     return feeds.parse_paper_xml(rows).select("pmid", "title", "abstract", "journal", "raw_pub_date", "pub_date", "doi",
                                               "url", _join("mesh_terms").alias("terms"))
 

@@ -67,8 +67,9 @@ def contradiction_pairs(papers: DataFrame, embeddings: DataFrame, min_similarity
     pos, neg = T.polarity_flags(T.text_of(), list(positive), list(negative))
     flagged = papers.select("pmid", "category", "mesh_terms", "evidence_level",
                             T.prefix(F.col("title"), 80).alias("title"), pos.alias("pos"), neg.alias("neg"))
-    # the texts are read once; every later step reads this narrow table
-    rows = cut_lineage(_with_vectors(flagged.filter("pos or neg"), embeddings), "pair-candidates")
+    # The texts are read once; every later step reads this narrow table. Filtering by the flags
+    # comes after, else the word tests would run in the filter and again in the projection.
+    rows = cut_lineage(_with_vectors(flagged, embeddings), "pair-candidates").filter("pos or neg")
     out = "pmid1 string, pmid2 string, similarity double, contradiction_score double"
     order = [F.desc("contradiction_score"), F.col("pmid1"), F.col("pmid2")]
 

@@ -38,8 +38,9 @@ def read_paper_xml(spark: SparkSession, path: str) -> DataFrame:
 def parse_xml_column(df: DataFrame, column: str) -> DataFrame:
     """The same record parsed from a text column holding one article element."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.withColumn("_a", F.from_xml(F.col(column), PAPER_XML, options)).select(
-        *df.columns, "_a.*")
+    # behind a generator the parsed value is a column of its own: later filters and fields do not parse again
+    parsed = F.explode_outer(F.array(F.from_xml(F.col(column), PAPER_XML, options)))
+    return df.select("*", parsed.alias("_a")).select(*df.columns, "_a.*")
 
 
 def _two_digits(part: Column) -> Column:
@@ -119,8 +120,9 @@ def read_search_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def index_articles(files: DataFrame) -> DataFrame:
-    return (files.select(F.posexplode("articles").alias("pos", "_article"))
-            .select("pos", "_article.*"))
+    # the outer form keeps Spark from testing the list, and so parsing the text, a second time
+    return (files.select(F.posexplode_outer("articles").alias("pos", "_article"))
+            .filter(F.col("pos").isNotNull()).select("pos", "_article.*"))
 
 
 def parse_search_index(docs: DataFrame, column: str) -> DataFrame:

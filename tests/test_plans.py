@@ -18,7 +18,7 @@ def plan_of(spark, name):
 
 
 JOINING = ["append_log", "cluster_summary", "contradiction_pairs", "evidence_candidates", "fallback_recent",
-           "first_rule_match", "is_processed", "nearest_centroid", "pick_theme", "product_match", "recommendations",
+           "first_rule_match", "is_processed", "nearest_centroid", "pick_theme", "recommendations",
            "related_all", "related_papers", "replace_index_rows", "shared_terms", "similar_topk", "topic_pairs",
            "unused_papers", "upsert_embeddings", "upsert_index_front", "upsert_papers"]
 
@@ -34,7 +34,12 @@ def test_groups_are_cut_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan_of(spark, name)
 
 
-@pytest.mark.parametrize("name", ["repair_json", "extract_pages", "parse_paper_xml"])
+@pytest.mark.parametrize("name, parser", [("parse_paper_xml", "from_xml("), ("read_search_index", "from_json(")])
+def test_documents_are_parsed_once(spark, name, parser):
+    assert plan_of(spark, name).count(parser) == 1
+
+
+@pytest.mark.parametrize("name", ["repair_json", "extract_pages", "product_match"])
 def test_projections_do_not_shuffle(spark, name):
     plan = plan_of(spark, name)
     assert plan.count("Exchange") == plan.count("BroadcastExchange")
