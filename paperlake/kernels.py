@@ -243,22 +243,14 @@ class Leaders:
         self.rows = {}
         self.bar = None
 
-    def wants(self, key) -> bool:
-        return self.bar is None or key < self.bar
-
-    def add(self, key, similarity):
-        self.rows[key] = similarity
-        if len(self.rows) >= 4 * self.n:
-            self.trim()
-
-    def trim(self):
+    def offer(self, keys, similarities):
+        self.rows.update(zip(keys, similarities))
         best = sorted(self.rows)[:self.n]
         self.rows = {k: self.rows[k] for k in best}
         if len(best) == self.n:
             self.bar = best[-1]
 
     def batches(self):
-        self.trim()
         keys = sorted(self.rows)
         if keys:
             yield pa.RecordBatch.from_arrays(
@@ -274,47 +266,76 @@ class Block:
     def __init__(self, table, rows=None):
         ids = np.array(table.column("id").to_pylist(), dtype=object)
         rows = np.arange(len(ids)) if rows is None else rows
-        self.rows = rows[np.argsort(ids[rows])] if len(rows) else rows
-        self.ids = ids[self.rows]
-        self.unit = matrix(table.column("vec"))[self.rows]
-        self.pos = table.column("pos").to_numpy().astype(bool)[self.rows]
-        self.neg = table.column("neg").to_numpy().astype(bool)[self.rows]
-        self.category = np.array(table.column("category").to_pylist(), dtype=object)[self.rows]
-        self._terms = table.column("terms")
-        self._sets = {}
-
-    def terms(self, i):
-        if i not in self._sets:
-            self._sets[i] = frozenset(self._terms[int(self.rows[i])].as_py())
-        return self._sets[i]
+        rows = rows[np.argsort(ids[rows])] if len(rows) else rows
+        self.ids = ids[rows]
+        self.unit = matrix(table.column("vec"))[rows]
+        self.pos = table.column("pos").to_numpy().astype(bool)[rows]
+        self.neg = table.column("neg").to_numpy().astype(bool)[rows]
+        category = table.column("category").to_pylist()
+        terms = table.column("terms").to_pylist()
+        # a topic is a tag inside a category
+        self.topics = [[(category[i], t) for t in terms[i]] for i in rows]
+
+    def __len__(self):
+        return len(self.ids)
+
+
+def share_topic(left, right, n_left, n_right) -> np.ndarray:
+    """Which rows of two topic lists have a topic in common."""
+    holders = {}
+    for i, topics in enumerate(left):
+        for topic in topics:
+            holders.setdefault(topic, []).append(i)
+    holders = {topic: np.array(rows) for topic, rows in holders.items()}
+    rows, cols = [], []
+    for j, topics in enumerate(right):
+        for topic in topics:
+            if topic in holders:
+                rows.append(holders[topic])
+                cols.append(j)
+    out = np.zeros((n_left, n_right), dtype=bool)
+    if rows:
+        out[np.concatenate(rows), np.repeat(cols, [len(r) for r in rows])] = True
+    return out
 
 
 def compare(left: Block, right: Block, leaders: Leaders, min_similarity: float, min_score: float,
             same_block: bool):
-    """Offer the qualifying pairs of two blocks to ``leaders``, best score first."""
-    for start in range(0, len(left.ids), ROWS_AT_ONCE):
-        stop = min(start + ROWS_AT_ONCE, len(left.ids))
+    """Offer the best qualifying pairs of two blocks to ``leaders``."""
+    names, place = np.unique(np.concatenate([left.ids, right.ids]), return_inverse=True)
+    place_left, place_right = place[:len(left)].astype(np.int64), place[len(left):].astype(np.int64)
+    for start in range(0, len(left), ROWS_AT_ONCE):
+        stop = min(start + ROWS_AT_ONCE, len(left))
         part = slice(start, stop)
         score = scores(left.pos[part], left.neg[part], right.pos, right.neg)
         fit = score > min_score
+        if leaders.bar is not None:
+            # what sorts behind the last leader cannot enter the list
+            worst, low = -leaders.bar[0], leaders.bar[1]
+            early = (left.ids[part] <= low)[:, None] | (right.ids <= low)[None, :]
+            fit &= (score > worst) | ((score == worst) & early)
+        if same_block:
+            fit &= np.arange(len(right))[None, :] > np.arange(start, stop)[:, None]
+        else:
+            fit &= place_left[part][:, None] != place_right[None, :]
         if not fit.any():
             continue
         sims = left.unit[part] @ right.unit.T
         fit &= sims >= min_similarity
-        fit &= left.category[part][:, None] == right.category[None, :]
-        if same_block:
-            fit &= np.arange(len(right.ids))[None, :] > np.arange(start, stop)[:, None]
+        if not fit.any():
+            continue
+        fit &= share_topic(left.topics[part], right.topics, stop - start, len(right))
         row, col = np.nonzero(fit)
-        for at in np.argsort(-score[row, col], kind="stable"):
-            r, c = row[at], col[at]
-            a, b = left.ids[start + r], right.ids[c]
-            if a == b:
-                continue
-            key = (-float(score[r, c]), min(a, b), max(a, b))
-            if key in leaders.rows or not leaders.wants(key):
-                continue
-            if not left.terms(start + r).isdisjoint(right.terms(c)):
-                leaders.add(key, float(sims[r, c]))
+        if not len(row):
+            continue
+        one, two = place_left[start + row], place_right[col]
+        span = len(names)
+        tier = np.rint((1.0 - score[row, col]) * 10).astype(np.int64)
+        rank = (tier * span + np.minimum(one, two)) * span + np.maximum(one, two)
+        # a pair may show up from both ends, hence twice the list
+        best = np.argpartition(rank, 2 * leaders.n)[:2 * leaders.n] if len(rank) > 2 * leaders.n else np.arange(len(rank))
+        keys = [(-float(score[row[i], col[i]]), names[min(one[i], two[i])], names[max(one[i], two[i])]) for i in best]
+        leaders.offer(keys, [float(sims[row[i], col[i]]) for i in best])
 
 
 def opposing_in_cells(min_similarity: float, min_score: float, top: int):

@@ -12,6 +12,7 @@ from paperlake.operators.cells import BLOCK_ROWS, to_cells, to_rect_cells
 from paperlake.runtime import check_inline, cut_lineage, small_side
 
 PLAIN_BLOCKS = 4
+BUCKET_ROWS = 512
 MAX_PIVOTS = 8192
 SAMPLE_PER_PIVOT = 4
 PIVOTS_PER_BLOCK = 4
@@ -143,17 +144,20 @@ def _near_by_pivots(vectors: DataFrame, top_k: int, pivots: int, block_rows: int
     return near.drop("rn").unionByName(cells.mapInArrow(kernels.neighbours_of_left(top_k), _PAIR))
 
 
-def ann_topk(embeddings: DataFrame, dim: int, top_k: int = 5, tables: int = 8, bits: int = 8,
+def ann_topk(embeddings: DataFrame, dim: int, top_k: int = 5, tables: int = 8, bits: int | None = None,
              extra_bits: int = 8, block_rows: int = BLOCK_ROWS, seed: int = 42) -> DataFrame:
     """Approximate top-k of every paper by random-hyperplane hashing.
 
-    Only vectors sharing a bucket in one of ``tables`` hash tables are compared.
-    A bucket above ``block_rows`` is split by ``extra_bits`` more signs, and what
-    is still larger is compared block by block, so no task sees a hot bucket
-    whole.
+    Only vectors sharing a bucket in one of ``tables`` hash tables are compared;
+    without ``bits`` their number follows the table size, for buckets of about
+    ``BUCKET_ROWS``. A bucket above ``block_rows`` is split by ``extra_bits`` more
+    signs, and what is still larger is compared block by block, so no task sees
+    a hot bucket whole. See :func:`recall` for checking the result.
     """
-    planes = np.random.default_rng(seed).standard_normal((tables, bits + extra_bits, dim))
     groups, members = _vector_groups(embeddings, top_k + 1)
+    if bits is None:
+        bits = max(1, round(np.log2(max(1, groups.count()) / BUCKET_ROWS)))
+    planes = np.random.default_rng(seed).standard_normal((tables, bits + extra_bits, dim))
     signed = groups.select("id", "vec").mapInArrow(
         kernels.signatures(planes), "id string, vec array<float>, grp int, code long")
     signed = signed.withColumn("bucket", F.pmod("code", F.lit(1 << bits)))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from paperlake.functions import text as T
 from paperlake.operators.numbering import number_by_hash, number_rows
+from paperlake.operators.rules import first_rule_match
 
 
 def latest_by_key(rows: DataFrame, key: str, arrival: list[Column]) -> DataFrame:
@@ -95,6 +96,20 @@ def index_rows(papers: DataFrame) -> DataFrame:
         F.col("mesh_terms").alias("tags"), "pub_date", "url")
 
 
+def index_entries(columns: DataFrame, generated: str = "parsed") -> DataFrame:
+    """Search-index entries of generated columns and the papers they rest on.
+
+    Expects ``slug``, ``mesh_terms``, ``pub_date`` and the generated record as a
+    struct.
+    """
+    return columns.select(
+        "slug", F.col(f"{generated}.title").alias("title"), F.col(f"{generated}.lead").alias("description"),
+        first_rule_match(F.col("mesh_terms")).alias("category"),
+        F.coalesce(F.col(f"{generated}.affiliate_keywords"), F.array().cast("array<string>")).alias("tags"),
+        F.col("pub_date").cast("string").alias("date"),
+        F.concat(F.lit("/article/"), "slug", F.lit("/")).alias("url"))
+
+
 def replace_index_rows(index: DataFrame, papers: DataFrame) -> DataFrame:
     return replace_by_key(index, latest_by_key(index_rows(papers), "slug", [F.desc_nulls_last("pub_date")]), "slug")
 

@@ -8,6 +8,7 @@ from pyspark.sql.utils import AnalysisException
 
 from paperlake import schemas
 from paperlake.operators.numbering import number_by_hash
+from paperlake.runtime import MAX_INLINE_ROWS, check_inline
 
 CORRUPT = "_corrupt"
 
@@ -130,6 +131,16 @@ def parse_search_index(docs: DataFrame, column: str) -> DataFrame:
     return index_articles(docs.select(F.from_json(column, schemas.INDEX_FILE).alias("_i")).select("_i.*"))
 
 
-def index_document(rows: DataFrame) -> DataFrame:
+def index_lines(rows: DataFrame) -> DataFrame:
     """Index rows as JSON lines in ``pos`` order, sorted by range across files."""
     return rows.orderBy("pos").select(F.to_json(F.struct(*[c for c in rows.columns if c != "pos"])).alias("value"))
+
+
+def index_document(rows: DataFrame, version: str = "1.0", generated: str | None = None) -> DataFrame:
+    """An index within the inline bound as one pretty JSON document; use :func:`index_lines` above it."""
+    check_inline(rows.limit(MAX_INLINE_ROWS + 1).count(), "search index")
+    fields = [c for c in rows.columns if c != "pos"]
+    listed = F.sort_array(F.collect_list(F.struct("pos", F.struct(*fields).alias("a"))))
+    return (rows.agg(F.transform(listed, lambda x: x["a"]).alias("articles"))
+            .select(F.to_json(F.struct(F.lit(version).alias("version"), F.lit(generated).alias("generated"), "articles"),
+                              {"pretty": "true"}).alias("value")))

@@ -5,7 +5,9 @@ import os
 from pyspark.sql import functions as F
 
 from paperlake import schemas
-from paperlake.operators.upsert import index_rows, upsert_index_front
+from paperlake.functions.jsontext import repair_json
+from paperlake.operators.upsert import index_entries, index_rows, upsert_index_front
+from paperlake.operators import lookup
 from paperlake.plans.load import load_articles
 from paperlake.plans.weekly import prepare_fetched, weekly_candidates
 from paperlake.sources import feeds, pages, tables
@@ -125,8 +127,19 @@ def test_search_index_file(spark, tmp_path):
     moved = upsert_index_front(rows.select("slug", "title", F.col("pos").cast("long")), arrivals, block=2).orderBy("pos").collect()
     assert [(r["pos"], r["slug"], r["title"]) for r in moved] == [
         (1, "d", "newer d"), (2, "c", "new c"), (3, "a", "A"), (4, "b", "B")]
-    lines = [json.loads(r["value"]) for r in feeds.index_document(spark.createDataFrame(moved)).collect()]
-    assert [x["slug"] for x in lines] == ["d", "c", "a", "b"]
+    frame = spark.createDataFrame(moved)
+    assert [json.loads(r["value"])["slug"] for r in feeds.index_lines(frame).collect()] == ["d", "c", "a", "b"]
+    feeds.index_document(frame, generated="today").write.text(str(tmp_path / "out"))
+    back = feeds.read_search_index(spark, str(tmp_path / "out"))
+    assert [(r["pos"], r["slug"]) for r in back.orderBy("pos").collect()] == [(0, "d"), (1, "c"), (2, "a"), (3, "b")]
+
+
+def test_index_entries(spark):
+    raw = spark.createDataFrame([("s", ["Sleep"], "2026-07-01", '{"title": "T", "lead": "L", "affiliate_keywords": ["k"],}'),
+                                 ("t", [], None, '{"title": "U"}')], "slug string, mesh_terms array<string>, pub_date string, raw string")
+    rows = {r["slug"]: r for r in index_entries(repair_json(raw, "raw")).collect()}
+    assert tuple(rows["s"]) == ("s", "T", "L", "sleep", ["k"], "2026-07-01", "/article/s/")
+    assert rows["t"]["tags"] == [] and rows["t"]["category"] == "health"
 
 
 def test_versions(spark, tmp_path, make_papers):
@@ -140,9 +153,26 @@ def test_versions(spark, tmp_path, make_papers):
     assert tables.read_latest(spark, root, schemas.PAPERS).count() == 2
 
 
+def test_clustered_files_hold_date_ranges(spark, tmp_path, make_papers):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i * 37 % 400) for i in range(400)]
+    rows = make_papers([{"pmid": str(i), "title": "t", "pub_date": d} for i, d in enumerate(days)])
+    path = tables.write_version(rows, str(tmp_path / "p"), ["pub_date", "pmid"])
+    spans = (spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).agg(F.min("pub_date").alias("a"), F.max("pub_date").alias("z"))
+             .orderBy("a").collect())
+    assert len(spans) > 1 and all(x["z"] <= y["a"] for x, y in zip(spans, spans[1:]))
+
+
+def test_bucketed_tables_join_without_shuffle(spark, make_papers, make_embeddings):
+    papers = tables.save_bucketed(make_papers([{"pmid": str(i), "title": "t"} for i in range(50)]), "papers_b", 4)
+    vectors = tables.save_bucketed(make_embeddings({str(i): [1.0, i] for i in range(50)}), "vectors_b", 4)
+    joined = lookup.papers_with_embeddings(papers.hint("merge"), vectors)
+    assert joined.count() == 50
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_reload(spark, tmp_path):
     path = str(tmp_path / "t")
-    tables.reload_table(spark.range(5), path)
+    tables.reload_table(spark.range(5), path, ["id"])
     assert tables.reload_table(spark.range(3), path).count() == 3
 
 
