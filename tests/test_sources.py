@@ -156,7 +156,11 @@ def test_versions(spark, tmp_path, make_papers):
 def test_clustered_files_hold_date_ranges(spark, tmp_path, make_papers):
     days = [dt.date(2024, 1, 1) + dt.timedelta(days=i * 37 % 400) for i in range(400)]
     rows = make_papers([{"pmid": str(i), "title": "t", "pub_date": d} for i, d in enumerate(days)])
-    path = tables.write_version(rows, str(tmp_path / "p"), ["pub_date", "pmid"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = tables.write_version(rows, str(tmp_path / "p"), ["pub_date", "pmid"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     spans = (spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).agg(F.min("pub_date").alias("a"), F.max("pub_date").alias("z"))
              .orderBy("a").collect())
     assert len(spans) > 1 and all(x["z"] <= y["a"] for x, y in zip(spans, spans[1:]))
