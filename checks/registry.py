@@ -16,7 +16,7 @@ from checks.bindings import AS_OF, CTE, NOW
 from paperlake import kernels
 from paperlake.functions import jsontext, text, vectors
 from paperlake.operators import cluster, embed, lookup, pairs, rules, similar, trends, upsert
-from paperlake.plans import load, theme
+from paperlake.plans import load, theme, weekly
 from paperlake.runtime import work_dir
 from paperlake.sources import feeds, pages, tables
 
@@ -545,6 +545,15 @@ def score_topn(spark, sf):
         each.select(F.lit("category").alias("scope"), *cols))
 
 
+@query(f""", s AS (SELECT pmid, title, {_TEXT} AS txt, pub_date FROM papers)
+SELECT pmid, title, CAST({_SCORE} AS INTEGER) AS score,
+  trim(substring(regexp_replace(lower(title), '[^a-z0-9-]+', '-', 'g'), 1, 60), '-') AS slug
+FROM s ORDER BY score DESC, pmid LIMIT 3""")
+def weekly_candidates(spark, sf):
+    fetched = B.papers(spark, sf).withColumn("raw_pub_date", F.col("pub_date").cast("string"))
+    return weekly.weekly_candidates(fetched, AS_OF, 3, **_VOCABULARY)
+
+
 _OPEN = f"""used AS (SELECT DISTINCT unnest(source_pmids) AS pmid FROM gen_log WHERE created_at >= DATE '{AS_OF}' - 28),
 open_papers AS (SELECT *, CASE evidence_level WHEN 'meta-analysis' THEN 3 WHEN 'guideline' THEN 2 WHEN 'RCT' THEN 1 ELSE 0 END AS weight
   FROM papers WHERE pub_date >= DATE '{AS_OF}' - {{days}} AND pmid NOT IN (SELECT pmid FROM used)

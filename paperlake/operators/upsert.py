@@ -35,6 +35,7 @@ def upsert_papers(existing: DataFrame, incoming: DataFrame, now, key: str = "pmi
     The stored table is on the streamed side of both joins, so for a usual
     small batch Spark broadcasts the batch and the table is not shuffled; a
     large batch falls back to a sort-merge join by the optimizer's size check.
+    The batch is used three times; give one that is cheap to read.
     """
     now = F.lit(now).cast("timestamp")
     new = latest_by_key(incoming, key, arrival or [F.desc_nulls_last("updated_at")])

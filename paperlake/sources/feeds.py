@@ -8,7 +8,7 @@ from pyspark.sql.utils import AnalysisException
 
 from paperlake import schemas
 from paperlake.operators.numbering import number_by_hash
-from paperlake.runtime import MAX_INLINE_ROWS, check_inline
+from paperlake.runtime import MAX_INLINE_ROWS, check_inline, cut_lineage
 
 CORRUPT = "_corrupt"
 
@@ -106,7 +106,9 @@ def flatten_sources(docs: DataFrame, column: str, doc_key: str) -> DataFrame:
     rows = items.select("category", name.alias("name"), url.alias("url"),
                         F.concat_ws("|", F.col("_key_doc").cast("string"), "category",
                                     F.col("pos").cast("string")).alias("_entry"))
-    return number_by_hash(rows, F.col("_entry")).select("id", "category", "name", "url")
+    # numbering counts and then sorts: the documents are parsed once and the entries written
+    return number_by_hash(cut_lineage(rows, "source-entries"), F.col("_entry")).select(
+        "id", "category", "name", "url")
 
 
 def read_search_index(spark: SparkSession, path: str) -> DataFrame:

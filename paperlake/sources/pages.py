@@ -32,17 +32,20 @@ def plain_text(fragment: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def _with_class(css_class: str) -> str:
+    """Pattern for the attributes of an opening tag that has a class among its classes."""
+    return rf"\s[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{css_class}(?:\s[^\"']*)?[\"'][^>]*"
+
+
 def element(html: Column, tag: str, css_class: str | None = None) -> Column:
     """Inner HTML of the first such element without same-named children; '' when absent."""
-    attrs = r"[^>]*" if css_class is None else rf"[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{css_class}(?:\s[^\"']*)?[\"'][^>]*"
-    return F.regexp_extract(html, rf"(?is)<{tag}(?:\s{attrs})?>(.*?)</{tag}\s*>" if css_class is None
-                            else rf"(?is)<{tag}\s{attrs}>(.*?)</{tag}\s*>", 1)
+    attributes = r"(?:\s[^>]*)?" if css_class is None else _with_class(css_class)
+    return F.regexp_extract(html, rf"(?is)<{tag}{attributes}>(.*?)</{tag}\s*>", 1)
 
 
 def nested_block(html: Column, css_class: str) -> Column:
     """Outer HTML of the first ``div`` with a class, inner divs included; '' when absent."""
-    tail = F.regexp_extract(
-        html, rf"(?is)<div\s[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{css_class}(?:\s[^\"']*)?[\"'].*", 0)
+    tail = F.regexp_extract(html, rf"(?is)<div{_with_class(css_class)}>.*", 0)
     # cut at every opening and closing div, then count until the first is closed
     pieces = F.split(tail, r"(?i)(?=<div[\s>])|(?<=</div>)")
 
@@ -82,10 +85,8 @@ def extract_pages(pages: DataFrame, as_of, html: str = "html", slug: str = "slug
     page = F.col(html)
     date_text = F.coalesce(F.nullif(plain_text(element(page, "p", "masthead-date")), F.lit("")),
                            plain_text(element(page, "div", "article-meta")))
-    link = F.regexp_extract(page, r"(?is)<a\s[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?source-link(?:\s[^\"']*)?[\"'][^>]*>", 0)
-    tags = F.transform(
-        F.regexp_extract_all(page, F.lit(r"(?is)<a\s[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?tag(?:\s[^\"']*)?[\"'][^>]*>(.*?)</a\s*>"), 1),
-        plain_text)
+    link = F.regexp_extract(page, rf"(?is)<a{_with_class('source-link')}>", 0)
+    tags = F.transform(F.regexp_extract_all(page, F.lit(rf"(?is)<a{_with_class('tag')}>(.*?)</a\s*>"), 1), plain_text)
     source = F.replace(F.regexp_extract(link, r"(?is)\bhref\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit("&amp;"), F.lit("&"))
     columns = {
         "pmid": F.col(slug),

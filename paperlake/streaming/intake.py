@@ -23,7 +23,9 @@ def run_intake(spark: SparkSession, drop_dir: str, table_root: str, checkpoint:
     def upsert(batch: DataFrame, batch_id: int) -> None:
         stamp = now or dt.datetime.now(dt.timezone.utc)
         current = read_latest(batch.sparkSession, table_root, schemas.PAPERS)
+        batch = batch.persist()
         write_version(store_fetched(current, parse_paper_xml(batch), stamp), table_root, ["pub_date", "pmid"])
+        batch.unpersist()
 
     return (spark.readStream.format("xml").option("rowTag", "PubmedArticle").option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT).schema(PAPER_XML).load(drop_dir)
