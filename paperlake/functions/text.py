@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from paperlake import vocab
 
-AsOf = "dt.date | str | Column"
-
 
 def as_date(as_of) -> Column:
     """``as_of`` given as Column, date or ISO string."""

@@ -377,21 +377,21 @@ def opposing_to_chunk(chunk: pa.Table, min_similarity: float, min_score: float,
 
 
 def signatures(planes: np.ndarray):
-    """Sign pattern of each vector against each group of planes, one row per group."""
+    """Sign patterns of each vector against every group of planes, as one list per row."""
 
     def run(batches):
         groups, bits, dim = planes.shape
+        flat = planes.reshape(groups * bits, dim).T
         weights = (1 << np.arange(bits)).astype(np.int64)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            unit = matrix(batch.column("vec"))
-            for g in range(groups):
-                code = ((unit @ planes[g].T) > 0) @ weights
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("vec"), pa.array(np.full(len(code), g, dtype=np.int32)),
-                     pa.array(code.astype(np.int64))],
-                    names=["id", "vec", "grp", "code"])
+            signs = (matrix(batch.column("vec")) @ flat > 0).reshape(-1, groups, bits)
+            codes = (signs @ weights).astype(np.int64).ravel()
+            starts = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * groups)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("vec"), pa.ListArray.from_arrays(starts, pa.array(codes))],
+                names=["id", "vec", "codes"])
 
     return run
 

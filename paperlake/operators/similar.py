@@ -75,20 +75,29 @@ def _vector_groups(embeddings: DataFrame, keep: int):
 
 
 def _expand(groups: DataFrame, members: DataFrame, near: DataFrame, top_k: int) -> DataFrame:
-    """From neighbours among distinct vectors to the top-k of every id."""
+    """From neighbours among distinct vectors to the top-k of every id.
+
+    Only vectors that have copies take part in joins; a vector of its own
+    already carries its id.
+    """
+    has_copies = F.size("ids") > 1
     best = Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour")
     near = near.withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= top_k).drop("_rn")
-    own = groups.select("id", F.lit(1.0).alias("similarity"), F.explode("ids").alias("neighbour"))
-    others = (near.join(groups.select(F.col("id").alias("neighbour"), "ids"), "neighbour")
-              .select("id", "similarity", F.explode("ids").alias("neighbour")))
+    copies = small_side(groups.filter(has_copies).select(F.col("id").alias("neighbour"), "ids"))
+    ids = F.coalesce("ids", F.array("neighbour"))
+    others = (near.join(copies, "neighbour", "left")
+              .select("id", "similarity", F.explode(ids).alias("neighbour")))
+    own = groups.filter(has_copies).select("id", F.lit(1.0).alias("similarity"), F.explode("ids").alias("neighbour"))
     # at most (top_k + 1)^2 candidates per distinct vector
-    ranked = F.row_number().over(best)
-    lists = (own.unionByName(others).withColumn("_rn", ranked).filter(F.col("_rn") <= top_k + 1)
+    lists = (own.unionByName(others.select("id", "similarity", "neighbour"))
+             .withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= top_k + 1)
              .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("_rn", "neighbour", "similarity")))
                                 .alias("_near")))
-    answered = groups.select("id", "vkey").join(lists, "id").select("vkey", "_near")
+    answered = cut_lineage(groups.select("id", "vkey", "ids").join(lists, "id"), "neighbour-lists")
+    single = answered.filter(~has_copies).select(F.col("id").alias("pmid"), "_near")
+    shared = members.join(small_side(answered.filter(has_copies).select("vkey", "_near")), "vkey").select("pmid", "_near")
     mine = F.slice(F.filter("_near", lambda n: n["neighbour"] != F.col("pmid")), 1, top_k)
-    return (members.join(answered, "vkey")
+    return (single.unionByName(shared)
             .select("pmid", F.posexplode(mine).alias("_pos", "_hit"))
             .select("pmid", (F.col("_pos") + 1).alias("rank"), F.col("_hit.neighbour").alias("related"),
                     F.col("_hit.similarity").alias("similarity")))
@@ -158,9 +167,11 @@ def ann_topk(embeddings: DataFrame, dim: int, top_k: int = 5, tables: int = 8, b
     if bits is None:
         bits = max(1, round(np.log2(max(1, groups.count()) / BUCKET_ROWS)))
     planes = np.random.default_rng(seed).standard_normal((tables, bits + extra_bits, dim))
-    signed = groups.select("id", "vec").mapInArrow(
-        kernels.signatures(planes), "id string, vec array<float>, grp int, code long")
-    signed = signed.withColumn("bucket", F.pmod("code", F.lit(1 << bits)))
+    # one row per vector is written; the counts below read only the codes
+    coded = cut_lineage(groups.select("id", "vec").mapInArrow(
+        kernels.signatures(planes), "id string, vec array<float>, codes array<long>"), "hash-codes")
+    signed = (coded.select("id", "vec", F.posexplode("codes").alias("grp", "code"))
+              .withColumn("bucket", F.pmod("code", F.lit(1 << bits))))
     crowded = (signed.groupBy("grp", "bucket").agg(F.count(F.lit(1)).alias("_n"))
                .filter(F.col("_n") > block_rows).select("grp", "bucket", F.lit(True).alias("_crowded")))
     placed = (signed.join(small_side(crowded), ["grp", "bucket"], "left")
