@@ -76,8 +76,10 @@ def contradiction_pairs(papers: DataFrame, embeddings: DataFrame, min_similarity
     best = None
     if probe_rows:
         mixed = rows.filter("pos and neg").select("id", "category", "vec", "terms", "pos", "neg")
-        # both collected tables are bounded, by probe_rows and by top
-        chunk = mixed.orderBy("id").limit(check_inline(probe_rows, "probe_rows")).toArrow()
+        # Both collected tables are bounded, by probe_rows and by top. The lowest ids are found
+        # first, so that the tasks send ids and not vectors to the one that merges them.
+        lowest = mixed.select("id").orderBy("id").limit(check_inline(probe_rows, "probe_rows"))
+        chunk = mixed.join(F.broadcast(lowest), "id", "left_semi").toArrow()
         if chunk.num_rows:
             found = mixed.mapInArrow(kernels.opposing_to_chunk(chunk, min_similarity, min_score, top), out)
             lead = found.dropDuplicates(["pmid1", "pmid2"]).orderBy(*order).limit(top).toArrow()

@@ -117,11 +117,11 @@ def related_all(embeddings: DataFrame, top_k: int = 5, block_rows: int = BLOCK_R
         near = to_cells(vectors, [], "id", block_rows).mapInArrow(kernels.neighbours(top_k), _PAIR)
     else:
         pivots = min(MAX_PIVOTS, PIVOTS_PER_BLOCK * -(-count // block_rows))
-        near = _near_by_pivots(vectors, top_k, pivots, block_rows)
+        near = _near_by_pivots(vectors, count, top_k, pivots, block_rows)
     return _expand(groups, members, near, top_k)
 
 
-def _near_by_pivots(vectors: DataFrame, top_k: int, pivots: int, block_rows: int) -> DataFrame:
+def _near_by_pivots(vectors: DataFrame, count: int, top_k: int, pivots: int, block_rows: int) -> DataFrame:
     """Exact neighbours with pruning by angles, after the usual pivot-based kNN join.
 
     Every vector joins the ball of its closest pivot and is searched there
@@ -130,8 +130,12 @@ def _near_by_pivots(vectors: DataFrame, top_k: int, pivots: int, block_rows: int
     are cut into blocks, so neither a crowded ball nor a popular one is met
     whole by a task.
     """
-    # on the driver: a sample of SAMPLE_PER_PIVOT * MAX_PIVOTS rows at most, pivots and radii
-    sample = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_PER_PIVOT * pivots).select("vec").toArrow()
+    # on the driver: a sample of about SAMPLE_PER_PIVOT * MAX_PIVOTS rows at most, pivots and radii.
+    # It is drawn by id hash, each task keeping its share; it only steers the pruning.
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE_PER_PIVOT * pivots / count))
+    sample = vectors.filter(share).select("vec").toArrow()
+    if not sample.num_rows:
+        sample = vectors.select("vec").limit(pivots).toArrow()
     centres = kernels.spread_out(kernels.matrix(sample.column("vec")), pivots)
     placed = cut_lineage(vectors.mapInArrow(kernels.nearest_pivot(centres),
                                             "id string, vec array<float>, ball int, angle double"), "balls")
