@@ -15,11 +15,17 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_parity_join(spark, sf):
+    from . import parity_join
+
+    return parity_join.component_table(table(spark, sf, "documents"))
+
+
 def op7_token_file(spark, sf):
     from . import pfor
 
     return pfor.token_file(table(spark, sf, "documents"), tokenizer_path())
 
 
-QUERIES = {"op7_token_file": op7_token_file}
+QUERIES = {"op4_parity_join": op4_parity_join, "op7_token_file": op7_token_file}
 ORACLES: dict[str, str] = {}
