@@ -27,5 +27,13 @@ def op7_token_file(spark, sf):
     return pfor.token_file(table(spark, sf, "documents"), tokenizer_path())
 
 
-QUERIES = {"op4_parity_join": op4_parity_join, "op7_token_file": op7_token_file}
+def op8_longest_previous_factors(spark, sf):
+    from . import lpf
+
+    cut = lpf.remove_repeats(table(spark, sf, "documents"), keep="none")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+QUERIES = {"op4_parity_join": op4_parity_join, "op7_token_file": op7_token_file,
+           "op8_longest_previous_factors": op8_longest_previous_factors}
 ORACLES: dict[str, str] = {}
