@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import risk_rules
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -15,6 +17,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_risk_rules(spark, sf):
+    judged = risk_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op4_parity_join(spark, sf):
     from . import parity_join
 
@@ -34,6 +41,6 @@ def op8_longest_previous_factors(spark, sf):
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {"op4_parity_join": op4_parity_join, "op7_token_file": op7_token_file,
+QUERIES = {"op3_risk_rules": op3_risk_rules, "op4_parity_join": op4_parity_join, "op7_token_file": op7_token_file,
            "op8_longest_previous_factors": op8_longest_previous_factors}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_risk_rules": risk_rules.oracle()}
