@@ -17,7 +17,6 @@ document order.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paperlake.runtime import work_dir
+from paperlake.runtime import cut_lineage, work_dir
 
 from .bytesops import pieces
 
@@ -33,7 +32,7 @@ BLOCK = 128
 SHARD_IDS = 1 << 16
 SHARE = 0.9
 END_ID = 1
-WORDS_HELD = 500_000
+WORDS_HELD = 700_000
 
 SHARDS = ("part int, shard int, n_ids int, block int, index binary, payload binary, "
           "doc_ids array<bigint>, doc_rows array<bigint>, doc_first array<int>, doc_n array<int>, doc_ends array<boolean>")
@@ -41,78 +40,94 @@ SHARDS = ("part int, shard int, n_ids int, block int, index binary, payload bina
 
 # --- block codec -----------------------------------------------------------
 
-def pack_bits(values: np.ndarray, width: int) -> bytes:
-    """Low ``width`` bits of each value, least significant bit first."""
-    if width == 0 or not len(values):
-        return b""
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+HEAD = 7  # bytes before the exceptions: minimum, width, number of exceptions
 
 
-def unpack_bits(data: bytes, n: int, width: int) -> np.ndarray:
-    if width == 0:
-        return np.zeros(n, dtype=np.uint64)
-    bits = np.unpackbits(np.frombuffer(data, dtype=np.uint8), bitorder="little", count=n * width)
-    return bits.reshape(n, width).astype(np.uint64) @ (np.uint64(1) << np.arange(width, dtype=np.uint64))
+def pack_rows(values: np.ndarray, width: int) -> np.ndarray:
+    """Low ``width`` bits of each value of each row, least significant bit first, as bytes.
+
+    Rows hold a multiple of eight values; eight of them fill ``width`` bytes.
+    """
+    rows, n = values.shape
+    eights = (values & np.uint64((1 << width) - 1)).reshape(rows, n // 8, 8)
+    out = np.zeros((rows, n // 8, width), dtype=np.uint8)
+    for byte in range(width):
+        for v in range(8 * byte // width, min(8, (8 * byte + 7) // width + 1)):
+            shift = v * width - 8 * byte
+            part = eights[:, :, v] << np.uint64(shift) if shift >= 0 else eights[:, :, v] >> np.uint64(-shift)
+            out[:, :, byte] |= part.astype(np.uint8)
+    return out.reshape(rows, n // 8 * width)
+
+
+def unpack_rows(data: np.ndarray, width: int) -> np.ndarray:
+    """Inverse of ``pack_rows``."""
+    rows = len(data)
+    eights = data.reshape(rows, -1, width).astype(np.uint64)
+    out = np.zeros((rows, eights.shape[1], 8), dtype=np.uint64)
+    for v in range(8):
+        for byte in range(v * width // 8, (v * width + width - 1) // 8 + 1):
+            shift = 8 * byte - v * width
+            out[:, :, v] |= eights[:, :, byte] << np.uint64(shift) if shift >= 0 else eights[:, :, byte] >> np.uint64(-shift)
+    return out.reshape(rows, -1) & np.uint64((1 << width) - 1)
 
 
 def encode(ids: np.ndarray, block: int = BLOCK, share: float = SHARE) -> tuple[bytes, bytes]:
     """Payload and index (little-endian unsigned 32-bit block offsets) of ids below 2^32.
 
-    All blocks of one width are packed in one numpy call.
+    ``block`` is a multiple of eight. The last block is filled up with its
+    last id. All blocks of one width are packed in one numpy call.
     """
     n = len(ids)
     if not n:
         return b"", b""
     count = -(-n // block)
-    lengths = np.full(count, block)
-    lengths[-1] = n - block * (count - 1)
     grid = np.full(count * block, ids[-1], dtype=np.uint64)
     grid[:n] = ids
     grid = grid.reshape(count, block)
     lows = grid.min(axis=1)
     deltas = grid - lows[:, None]
-    needed = np.zeros(deltas.shape, dtype=np.uint8)  # bits of each difference
-    for bit in range(int(deltas.max()).bit_length()):
-        needed += (deltas >> np.uint64(bit)) > 0
-    widths = np.sort(needed, axis=1)[:, min(block - 1, int(share * block))]
+    needed = np.frexp(deltas.astype(np.float64))[1]  # bits of each difference
+    rank = min(block - 1, int(share * block))
+    widths = np.partition(needed, rank, axis=1)[:, rank]
     parts: list[bytes] = [b""] * count
-    for width in np.unique(widths):
+    for width in np.unique(widths).tolist():
         rows = np.flatnonzero(widths == width)
-        shifts = np.arange(int(width), dtype=np.uint64)
-        bits = ((deltas[rows][:, :, None] >> shifts) & np.uint64(1)).astype(np.uint8).reshape(len(rows), -1)
-        packed = np.packbits(bits, axis=1, bitorder="little")
-        for row, body in zip(rows, packed):
-            length = lengths[row]
-            at = np.flatnonzero(needed[row, :length] > width).astype("<u2")
-            high = (deltas[row, at] >> np.uint64(width)).astype("<u4")
-            head = np.array([lows[row]], dtype="<u4").tobytes() + bytes([int(width)]) + np.array([len(at)], dtype="<u2").tobytes()
-            parts[row] = head + at.tobytes() + high.tobytes() + body[:-(-int(length) * int(width) // 8)].tobytes()
+        packed = pack_rows(deltas[rows], width) if width else np.zeros((len(rows), 0), dtype=np.uint8)
+        odd_row, odd_at = np.nonzero(needed[rows] > width)
+        high = (deltas[rows[odd_row], odd_at] >> np.uint64(width)).astype("<u4")
+        odd_at, cuts = odd_at.astype("<u2"), np.searchsorted(odd_row, np.arange(len(rows) + 1)).tolist()
+        for k, (row, low) in enumerate(zip(rows.tolist(), lows[rows].tolist())):
+            i, j = cuts[k], cuts[k + 1]
+            parts[row] = b"".join((low.to_bytes(4, "little"), bytes((width,)), (j - i).to_bytes(2, "little"),
+                                   odd_at[i:j].tobytes(), high[i:j].tobytes(), packed[k].tobytes()))
     starts = np.concatenate([[0], np.cumsum([len(p) for p in parts[:-1]])]).astype("<u4")
     return b"".join(parts), starts.tobytes()
 
 
-def decode_block(payload: bytes, start: int, n: int) -> np.ndarray:
-    low = int.from_bytes(payload[start:start + 4], "little")
-    width = payload[start + 4]
-    odd = int.from_bytes(payload[start + 5:start + 7], "little")
-    at = start + 7
-    places = np.frombuffer(payload, dtype="<u2", count=odd, offset=at)
-    high = np.frombuffer(payload, dtype="<u4", count=odd, offset=at + 2 * odd)
-    at += 6 * odd
-    values = unpack_bits(payload[at:at + (n * width + 7) // 8], n, width)
-    values[places] |= high.astype(np.uint64) << np.uint64(width)
-    return (values + np.uint64(low)).astype(np.uint32)
-
-
 def decode(payload: bytes, index: bytes, n: int, block: int = BLOCK, first: int = 0, count: int | None = None) -> np.ndarray:
     """Ids ``first`` to ``first + count`` of a shard; only the blocks that hold them are read."""
     count = n - first if count is None else count
     if count <= 0:
         return np.zeros(0, dtype=np.uint32)
-    starts = np.frombuffer(index, dtype="<u4")
+    starts = np.frombuffer(index, dtype="<u4").astype(np.int64)
     low, high = first // block, (first + count - 1) // block
-    ids = np.concatenate([decode_block(payload, int(starts[b]), min(block, n - b * block)) for b in range(low, high + 1)])
+    starts = starts[low:high + 1]
+    data = np.frombuffer(payload, dtype=np.uint8)
+    widths = data[starts + 4]
+    odd = data[starts + 5].astype(np.int64) + 256 * data[starts + 6].astype(np.int64)
+    bodies = starts + HEAD + 6 * odd
+    values = np.zeros((len(starts), block), dtype=np.uint64)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        if width:
+            values[rows] = unpack_rows(data[bodies[rows][:, None] + np.arange(block // 8 * width)], width)
+    for row in np.flatnonzero(odd).tolist():
+        at, k = int(starts[row]) + HEAD, int(odd[row])
+        places = np.frombuffer(payload, dtype="<u2", count=k, offset=at)
+        more = np.frombuffer(payload, dtype="<u4", count=k, offset=at + 2 * k)
+        values[row, places] |= more.astype(np.uint64) << np.uint64(widths[row])
+    lows = data[starts[:, None] + np.arange(4)].astype(np.uint64) @ (np.uint64(1) << np.arange(0, 32, 8, dtype=np.uint64))
+    ids = (values + lows[:, None]).astype(np.uint32).ravel()
     return ids[first - low * block:first - low * block + count]
 
 
@@ -122,14 +137,14 @@ class WordIds:
     """Ids of texts, word by word.
 
     For a tokenizer that drops ASCII white space and lower-cases, the ids of
-    a text are those of its words in a row, and a word of ASCII letters with
-    closing marks has the ids of the letters in lower case and of the marks.
+    a text are those of its words in a row, and a word of letters with
+    closing marks has the ids of the letters and of the marks.
     Two generations of at most ``WORDS_HELD`` words are remembered; the older
     one is dropped when the younger is full, so memory is bounded and
     frequent words stay.
     """
 
-    SIMPLE = re.compile(rb"([A-Za-z]+)([.,;:!?]*)")
+    MARKS = b".,;:!?"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -176,18 +191,20 @@ class WordIds:
             if known is not None:
                 young[w] = known
                 continue
-            m = self.SIMPLE.fullmatch(w)
-            if m:
-                base, marks = m[1].lower(), m[2]
-                split.append((w, base, marks))
-                if base not in young:
-                    plain.add(base)
-                if marks and marks not in young:
-                    plain.add(marks)
-            else:
+            base = w.rstrip(self.MARKS)
+            if not base.decode("utf-8").isalpha():
                 odd.append(w)
-        for group in (list(plain), [w for w in odd if w.decode("utf-8").isalpha()],
-                      [w for w in odd if not w.decode("utf-8").isalpha()]):
+                continue
+            marks = w[len(base):]
+            base = base.lower() if base.isascii() else base
+            split.append((w, base, marks))
+            for part in (base, marks):
+                if part and part not in young:
+                    if part in old:
+                        young[part] = old[part]
+                    else:
+                        plain.add(part)
+        for group in (list(plain), odd):
             young.update(zip(group, self._encode(group)))
         for w, base, marks in split:
             young[w] = young[base] + young[marks] if marks else young[base]
@@ -329,7 +346,7 @@ def document_index(shards: DataFrame) -> DataFrame:
     A document cut by a shard border has one piece per shard; only such
     pieces are brought together, and their checksums are joined.
     """
-    parts = shards.mapInArrow(_decoded, PIECES).join(shard_offsets(shards), ["part", "shard"])
+    parts = cut_lineage(shards.mapInArrow(_decoded, PIECES), "pieces").join(shard_offsets(shards), ["part", "shard"])
     at = F.col("before") + F.col("first")
     whole = (F.col("row") == F.col("row")) & F.col("ends") & (F.col("first") > 0)
     single = parts.filter(whole).select("doc_id", at.alias("start"), F.col("n").cast("long").alias("n_tokens"),
