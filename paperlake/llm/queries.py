@@ -21,6 +21,13 @@ def op1_host_trust(spark, sf):
     return url_graph.judge_urls(table(spark, sf, "pages"))
 
 
+def op2_noisy_or(spark, sf):
+    from . import toxicity
+
+    judged = toxicity.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted", "n_offending", "worst_start", "worst_end")
+
+
 def op3_risk_rules(spark, sf):
     judged = risk_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -45,6 +52,6 @@ def op8_longest_previous_factors(spark, sf):
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-QUERIES = {"op1_host_trust": op1_host_trust, "op3_risk_rules": op3_risk_rules, "op4_parity_join": op4_parity_join, "op7_token_file": op7_token_file,
+QUERIES = {"op1_host_trust": op1_host_trust, "op2_noisy_or": op2_noisy_or, "op3_risk_rules": op3_risk_rules, "op4_parity_join": op4_parity_join, "op7_token_file": op7_token_file,
            "op8_longest_previous_factors": op8_longest_previous_factors}
 ORACLES: dict[str, str] = {"op1_host_trust": url_graph.oracle(), "op3_risk_rules": risk_rules.oracle()}
