@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import risk_rules, url_graph
 
@@ -52,6 +53,22 @@ def op8_longest_previous_factors(spark, sf):
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op9_template_leaks(spark, sf):
+    from . import templates
+
+    return templates.judge(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op10_temperature_mix(spark, sf):
+    """A flatter mixture at the size of the corpus: small sources are repeated, the large one is cut."""
+    from . import mixing
+
+    docs = table(spark, sf, "documents")
+    total = docs.agg(F.sum(mixing.tokens_of(F.col("text")))).first()[0]
+    return mixing.mix(docs, entropy=0.99, budget=float(total or 0))
+
+
 QUERIES = {"op1_host_trust": op1_host_trust, "op2_noisy_or": op2_noisy_or, "op3_risk_rules": op3_risk_rules, "op4_parity_join": op4_parity_join, "op7_token_file": op7_token_file,
-           "op8_longest_previous_factors": op8_longest_previous_factors}
+           "op8_longest_previous_factors": op8_longest_previous_factors,
+           "op9_template_leaks": op9_template_leaks, "op10_temperature_mix": op10_temperature_mix}
 ORACLES: dict[str, str] = {"op1_host_trust": url_graph.oracle(), "op3_risk_rules": risk_rules.oracle()}
