@@ -297,3 +297,22 @@ def component_table(docs: DataFrame, **kw) -> DataFrame:
     return (signatures.join(labels, "set_id", "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id"))
                     .when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
+
+
+def representatives(docs: DataFrame, **kw) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component does, with all their columns.
+
+    It is the one with the smallest doc_id, one row of it where the id is
+    repeated with equal texts. Rows without shingles or without doc_id stay.
+    The list of dropped ids is joined against the rows, which are shuffled
+    only if it is too long to be broadcast.
+    """
+    signatures, labels = similar_documents(docs, **kw)
+    placed = signatures.filter("doc_id is not null and n_shingles > 0").join(labels, "set_id")
+    dropped = cut_lineage(placed.filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    rows = docs.join(dropped, "doc_id", "left_anti")
+    again = signatures.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    again = cut_lineage(again, "repeated")
+    if again.isEmpty():
+        return rows
+    return rows.join(again, "doc_id", "left_anti").unionByName(rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))

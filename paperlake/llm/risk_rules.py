@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from paperlake.runtime import cut_lineage
 
+from .columns import BLANK, has_word, let
+
 RISK = 0.02
 DELTA = 0.05
-BLANK = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 RUN = 8  # words of a repeated window
@@ -38,11 +39,6 @@ RULES: dict[str, tuple[str, list[float]]] = {
 }
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _without(text: Column, letters: str) -> Column:
     return F.translate(text, letters, "")
 
@@ -62,12 +58,12 @@ def _repeat_words(words: Column) -> Column:
     def count(hashes: Column) -> Column:
         pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(
-            _let(_let(pairs, places), covered))
+            let(let(pairs, places), covered))
 
     def hashed(ws: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), F.size(ws) - RUN + 1), lambda i: F.xxhash64(F.slice(ws, i, RUN)))
 
-    return _let(words, lambda ws: F.when(F.size(ws) <= RUN, F.lit(0)).otherwise(_let(hashed(ws), count)))
+    return let(words, lambda ws: F.when(F.size(ws) <= RUN, F.lit(0)).otherwise(let(hashed(ws), count)))
 
 
 def measure(docs: DataFrame, *keep: str) -> DataFrame:
@@ -75,13 +71,13 @@ def measure(docs: DataFrame, *keep: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     trimmed = F.btrim(text, F.lit(BLANK))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(BLANK)) != "")
+    lines = F.filter(F.split(text, "\n"), has_word)
     counted = docs.select(
         *keep, F.length(_without(text, BLANK)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
         (F.length(text) - F.length(_without(text, UPPER))).cast("long").alias("n_upper"),
-        _let(lines, lambda ls: F.struct(F.size(ls).alias("n"), (F.size(ls) - F.size(F.array_distinct(ls))).alias("dup"))).alias("_l"),
-        _let(words, lambda ws: F.struct(F.size(ws).alias("n"), _repeat_words(ws).alias("rep"))).alias("_w"))
+        let(lines, lambda ls: F.struct(F.size(ls).alias("n"), (F.size(ls) - F.size(F.array_distinct(ls))).alias("dup"))).alias("_l"),
+        let(words, lambda ws: F.struct(F.size(ws).alias("n"), _repeat_words(ws).alias("rep"))).alias("_w"))
     out = counted.select(
         *keep, F.col("_w.n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_upper",
         F.col("_l.n").cast("long").alias("n_lines"), F.col("_l.dup").cast("long").alias("n_dup_lines"),
