@@ -40,6 +40,12 @@ def op4_parity_join(spark, sf):
     return parity_join.component_table(table(spark, sf, "documents"))
 
 
+def op5_surrogates(spark, sf):
+    from . import surrogates
+
+    return surrogates.pseudonymise(table(spark, sf, "documents"))
+
+
 def op6_line_runs(spark, sf):
     cut = line_runs.remove_runs(table(spark, sf, "documents"))
     return cut.select("doc_id", "n_lines", "n_deleted", "n_runs", F.md5(F.coalesce("kept_text", F.lit(""))).alias("kept_md5"))
@@ -73,7 +79,7 @@ def op10_temperature_mix(spark, sf):
     return mixing.mix(docs, entropy=0.99, budget=float(total or 0))
 
 
-QUERIES = {"op1_host_trust": op1_host_trust, "op2_noisy_or": op2_noisy_or, "op3_risk_rules": op3_risk_rules, "op4_parity_join": op4_parity_join, "op6_line_runs": op6_line_runs,
+QUERIES = {"op1_host_trust": op1_host_trust, "op2_noisy_or": op2_noisy_or, "op3_risk_rules": op3_risk_rules, "op4_parity_join": op4_parity_join, "op5_surrogates": op5_surrogates, "op6_line_runs": op6_line_runs,
            "op7_token_file": op7_token_file,
            "op8_longest_previous_factors": op8_longest_previous_factors,
            "op9_template_leaks": op9_template_leaks, "op10_temperature_mix": op10_temperature_mix}
