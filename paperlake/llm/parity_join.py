@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from paperlake.operators.cells import to_cells
 from paperlake.runtime import cut_lineage
 
+from . import bitmaps
 from . import bytesops as B
 from .graph import components
 
@@ -41,6 +42,7 @@ WORDS = 5
 PERCENT = 80
 PIVOT_ROUNDS = 3
 BLOCK_ROWS = 256
+LOW_KEYS = 16
 _SEEN = 200_000  # set ids a task remembers so as not to send a copy's sketches again
 
 SIGNATURES = "doc_id bigint, n int, set_id bigint, bits binary, keys array<bigint>"
@@ -156,6 +158,15 @@ def _filter_pairs(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
 
 
+def _listed(bitmap: np.ndarray):
+    """Rows whose hash ``k`` is in the bitmap: most of those that the join after it would drop are not shuffled."""
+    def run(batches):
+        for batch in batches:
+            yield batch.drop_columns(["k"]).filter(pa.array(bitmaps.holds(bitmap, batch.column("k").to_numpy())))
+
+    return run
+
+
 def _verify(width: int):
     def sets(batch, name, powers):
         for _, data, offsets in B.pieces(batch, name):
@@ -172,7 +183,7 @@ def _verify(width: int):
 
 def _near(x, table) -> list[int]:
     """Ids in ``table`` (bits length -> columns) that ``x`` may be linked with and is not joined to yet."""
-    _, own, component, n, bits = x
+    _, own, component, n, bits, *_ = x
     bits = np.frombuffer(bits, dtype=np.uint8)
     out = []
     for size, (ids, components_, sizes, grid) in table.items():
@@ -199,8 +210,10 @@ def _cell_pairs(batches):
     for rows in _cells(batches):
         left = [r for r in rows if r[0] == 0]
         right = [r for r in rows if r[0] == 1] or left
-        table = _columns(right)
-        out = {(min(x[1], y), max(x[1], y)) for x in left for y in _near(x, table)}
+        table, key = _columns(right), rows[0][6]
+        low = {r[1]: {k for k in r[5] if k < key} for r in rows}
+        # a pair that shares a lower key is found there
+        out = {(min(x[1], y), max(x[1], y)) for x in left for y in _near(x, table) if low[x[1]].isdisjoint(low[y])}
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(v, type=pa.int64()) for v in zip(*out)], names=["a", "b"])
 
@@ -209,7 +222,7 @@ def _cells(batches):
     held, current = [], None
     for batch in batches:
         c = batch.to_pydict()
-        for cell, *row in zip(c["cell"], c["side"], c["id"], c["component"], c["n"], c["bits"]):
+        for cell, *row in zip(c["cell"], *(c[k] for k in ("side", "id", "component", "n", "bits", "lowest", "key"))):
             if held and cell != current:
                 yield held
                 held = []
@@ -244,8 +257,11 @@ def similar_documents(docs: DataFrame, width: int = WORDS, pivot_rounds: int = P
               .filter("lo <> hi").select("key", "set_id").distinct())
     members = cut_lineage(shared.join(nodes, "set_id").select("key", "id", "n", "bits"), "members")
     # one document id may hold several sets: they are one node
-    wanted = cut_lineage(members.select(F.col("id").alias("doc_id")).distinct().join(
-        texts.filter("doc_id is not null and text is not null"), "doc_id"), "texts")
+    wanted = members.select(F.col("id").alias("doc_id")).distinct()
+    listed = bitmaps.gather(wanted.select(F.xxhash64("doc_id").alias("k")), "k")
+    some = (texts.filter("doc_id is not null and text is not null").withColumn("k", F.xxhash64("doc_id"))
+            .mapInArrow(_listed(listed), "doc_id bigint, text string"))
+    wanted = cut_lineage(some.join(wanted, "doc_id"), "texts")
     own = (named.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).filter("lo <> hi")
            .select("doc_id").join(named, "doc_id").join(nodes.select("set_id", "id"), "set_id")
            .select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
@@ -276,7 +292,9 @@ def similar_documents(docs: DataFrame, width: int = WORDS, pivot_rounds: int = P
                      .join(sketches.selectExpr("id b", "n nb", "bits bits_b"), "b")
                      .mapInArrow(_filter_pairs, "a bigint, b bigint"))
         else:
-            rows = placed.join(sketches, "id")
+            # the lowest open keys of each set tell in most cells that a pair meets in an earlier one too
+            lowest = placed.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LOW_KEYS).alias("lowest"))
+            rows = placed.join(sketches.join(lowest, "id"), "id")
             pairs = to_cells(rows, ["key"], "id", block_rows).mapInArrow(_cell_pairs, "a bigint, b bigint").distinct()
         pairs = cut_lineage(pairs, "pairs")
         if turn == pivot_rounds or not pairs.isEmpty():
