@@ -39,13 +39,17 @@ def _terms(title):
     return F.filter(F.split(F.lower(title), "[^a-z]+"), lambda w: F.length(w) >= 3)
 
 
-def papers(spark: SparkSession, sf: str) -> DataFrame:
-    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+def papers(spark: SparkSession, sf: str, level: bool = False) -> DataFrame:
+    """Papers; the evidence level, which takes a join with the labels, only where ``level`` asks for it."""
+    docs = table(spark, sf, "documents")
+    if level:
+        docs = docs.join(table(spark, sf, "labels"), "doc_id", "left")
     first = F.lit(FIRST_DAY).cast("date")
     level = (F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "meta-analysis")
-             .when(F.col("quality") == 1, "guideline").when(F.col("quality") == 0, "RCT"))
+             .when(F.col("quality") == 1, "guideline").when(F.col("quality") == 0, "RCT")
+             if level else F.lit(None).cast("string"))
     stamp = F.lit("2024-06-30 00:00:00").cast("timestamp")
-    return docs.join(labels, "doc_id", "left").select(
+    return docs.select(
         F.col("doc_id").cast("string").alias("pmid"), _title(F.col("text")).alias("title"),
         F.col("text").alias("abstract"), F.array("source").alias("authors"), F.col("source").alias("journal"),
         F.date_add(first, (F.col("doc_id") % 365).cast("int")).alias("pub_date"),
@@ -86,7 +90,7 @@ def log_entries(spark: SparkSession, sf: str) -> DataFrame:
 
 def incoming_papers(spark: SparkSession, sf: str) -> DataFrame:
     """An upsert batch: changed titles for one evidence level, and benchmark items as new papers."""
-    base = papers(spark, sf)
+    base = papers(spark, sf, level=True)
     stamp = F.lit("2024-12-01 00:00:00").cast("timestamp")
     changed = (base.filter("evidence_level = 'meta-analysis'")
                .withColumn("title", F.concat(F.lit("Updated "), "title"))

@@ -43,7 +43,7 @@ def _join(column):
 @query("""SELECT pmid, title, abstract, journal, pub_date, array_to_string(mesh_terms, ',') AS terms, category,
   evidence_level FROM papers""")
 def scan_papers(spark, sf):
-    return B.papers(spark, sf).select("pmid", "title", "abstract", "journal", "pub_date",
+    return B.papers(spark, sf, level=True).select("pmid", "title", "abstract", "journal", "pub_date",
                                       _join("mesh_terms").alias("terms"), "category", "evidence_level")
 
 
@@ -103,7 +103,7 @@ def read_search_index(spark, sf):
   pub_date, doi, 'https://pubmed.ncbi.nlm.nih.gov/' || pmid || '/' AS url,
   array_to_string(mesh_terms, ',') AS terms FROM papers""")
 def parse_paper_xml(spark, sf):
-    papers = B.papers(spark, sf).repartition(spark.sparkContext.defaultParallelism)
+    papers = B.papers(spark, sf)
     rows = feeds.parse_xml_column(papers.select(_as_xml().alias("xml")), "xml")
     return feeds.parse_paper_xml(rows).select("pmid", "title", "abstract", "journal", "raw_pub_date", "pub_date", "doi",
                                               "url", _join("mesh_terms").alias("terms"))
@@ -148,7 +148,7 @@ merged AS (
 @query("," + _UPSERTED + """SELECT pmid, title, category, strftime(created_at, '%Y-%m-%d') AS created,
   strftime(updated_at, '%Y-%m-%d') AS updated FROM merged""")
 def upsert_papers(spark, sf):
-    return upsert.upsert_papers(B.papers(spark, sf), B.incoming_papers(spark, sf), NOW).select(
+    return upsert.upsert_papers(B.papers(spark, sf, level=True), B.incoming_papers(spark, sf), NOW).select(
         "pmid", "title", "category", F.date_format("created_at", "yyyy-MM-dd").alias("created"),
         F.date_format("updated_at", "yyyy-MM-dd").alias("updated"))
 
@@ -170,8 +170,8 @@ def upsert_embeddings(spark, sf):
 
 @query("," + _UPSERTED + """SELECT (SELECT count(*) FROM incoming) AS processed, count(*) AS stored FROM merged""")
 def ingest_papers(spark, sf):
-    stored, processed = upsert.ingest_papers(B.papers(spark, sf), B.incoming_papers(spark, sf), NOW)
-    return stored.agg(F.lit(processed).cast("long").alias("processed"), F.count(F.lit(1)).alias("stored"))
+    stored, processed = upsert.ingest_papers(B.papers(spark, sf, level=True), B.incoming_papers(spark, sf), NOW)
+    return stored.agg(F.count(F.lit(1)).alias("stored")).select(processed.scalar().alias("processed"), "stored")
 
 
 @query(""", entries AS (
@@ -199,7 +199,7 @@ _INDEX_NEW = """SELECT pmid AS slug, title, substring(abstract, 1, 200) AS descr
       lambda w: length(w) >= 3), ',') FROM benchmark)
 SELECT * FROM old WHERE slug NOT IN (SELECT slug FROM fresh) UNION ALL SELECT * FROM fresh""")
 def replace_index_rows(spark, sf):
-    index = upsert.index_rows(B.papers(spark, sf))
+    index = upsert.index_rows(B.papers(spark, sf, level=True))
     arriving = upsert.latest_by_key(B.incoming_papers(spark, sf), "pmid", [F.desc("updated_at")])
     return upsert.replace_index_rows(index, arriving).select(
         "slug", "title", "description", "category", _join("tags").alias("tags"))
@@ -213,7 +213,7 @@ both_parts AS (SELECT 0 AS part, -pos AS place, slug, title FROM arrivals
 SELECT row_number() OVER (ORDER BY part, place) AS pos, slug, title FROM both_parts""")
 def upsert_index_front(spark, sf):
     index = B.papers(spark, sf).select(F.col("pmid").alias("slug"), "title", F.col("pmid").cast("long").alias("pos"))
-    changed = (B.papers(spark, sf).filter("evidence_level = 'meta-analysis'")
+    changed = (B.papers(spark, sf, level=True).filter("evidence_level = 'meta-analysis'")
                .select(F.col("pmid").alias("slug"), F.concat(F.lit("Updated "), "title").alias("title"),
                        F.col("pmid").cast("long").alias("pos")))
     fresh = B.table(spark, sf, "benchmark").select(
@@ -259,14 +259,22 @@ UNION ALL SELECT 'papers.title not null', count(*) FROM p WHERE title IS NULL
 UNION ALL SELECT 'embeddings.model not null', count(*) FROM e WHERE model IS NULL
 UNION ALL SELECT 'embeddings.embedding size', count(*) FROM e WHERE coalesce(len(embedding) <> 64, true)
 UNION ALL SELECT 'log.week not null', count(*) FROM gen_log WHERE week IS NULL
-UNION ALL SELECT 'embeddings.pmid in papers', count(*) FROM e WHERE pmid NOT IN (SELECT pmid FROM p)""")
+UNION ALL SELECT 'embeddings.pmid in papers', count(*) FROM e WHERE pmid NOT IN (SELECT pmid FROM p)
+UNION ALL SELECT 'sources.id unique', count(*) FROM (SELECT page_id FROM sources GROUP BY page_id HAVING count(*) > 1)
+UNION ALL SELECT 'sources.category not null', 0 UNION ALL SELECT 'sources.name not null', 0
+UNION ALL SELECT 'sources.url not null', count(*) FROM sources WHERE category = 'en'
+UNION ALL SELECT 'search_index.slug unique', count(*) FROM (SELECT pmid FROM p GROUP BY pmid HAVING count(*) > 1)
+UNION ALL SELECT 'search_index.title not null', count(*) FROM p WHERE title IS NULL""")
 def check_constraints(spark, sf):
-    papers, vecs = B.papers(spark, sf), B.embeddings(spark, sf)
+    papers, vecs = B.papers(spark, sf, level=True), B.embeddings(spark, sf)
     repeated = papers.filter("evidence_level = 'RCT'").withColumn("title", F.lit(None).cast("string"))
     odd = B.table(spark, sf, "embeddings").filter("label = 0").select(
         F.concat(F.lit("x"), F.col("vec_id")).alias("pmid"), F.slice("embedding", 1, 8).alias("embedding"),
         F.lit(None).cast("string").alias("model"), F.lit(None).cast("timestamp").alias("created_at"))
-    return upsert.check_constraints(papers.unionByName(repeated), vecs.unionByName(odd), B.log(spark, sf), 64)
+    sources = B.page_docs(spark, sf).select(F.col("page_id").alias("id"), F.col("lang").alias("category"), F.col("host").alias("name"),
+                                            F.when(F.col("lang") != "en", F.col("url")).alias("url"))
+    both = papers.unionByName(repeated)
+    return upsert.check_constraints(both, vecs.unionByName(odd), B.log(spark, sf), 64, sources, upsert.index_rows(both))
 
 
 # ---- filters and lookups ---------------------------------------------------
@@ -313,7 +321,7 @@ def focus_papers(spark, sf):
   AND pmid NOT IN (SELECT unnest(source_pmids) FROM gen_log)""")
 def evidence_candidates(spark, sf):
     used = lookup.distinct_used(B.log(spark, sf))
-    return lookup.evidence_candidates(B.papers(spark, sf), used, AS_OF).select("pmid", "evidence_level", "pub_date")
+    return lookup.evidence_candidates(B.papers(spark, sf, level=True), used, AS_OF).select("pmid", "evidence_level", "pub_date")
 
 
 @query("SELECT pmid, " + _MATCH.format("with") + " AS matched FROM papers")
@@ -336,7 +344,7 @@ _THEME = """coalesce(nullif(category, ''), '健康') || ': ' || coalesce(mesh_te
 
 @query(f"SELECT pmid, {_THEME} FROM papers")
 def theme_record(spark, sf):
-    return lookup.theme_record(B.papers(spark, sf)).select("pmid", "topic", "reasoning")
+    return lookup.theme_record(B.papers(spark, sf, level=True)).select("pmid", "topic", "reasoning")
 
 
 # ---- joins -----------------------------------------------------------------
@@ -563,7 +571,7 @@ ranked AS (SELECT * FROM open_papers WHERE evidence_level IN ('RCT', 'meta-analy
 
 
 def _theme_inputs(spark, sf):
-    return B.papers(spark, sf), B.embeddings(spark, sf), lookup.distinct_used(B.log(spark, sf), AS_OF, 4)
+    return B.papers(spark, sf, level=True), B.embeddings(spark, sf), lookup.distinct_used(B.log(spark, sf), AS_OF, 4)
 
 
 @query(f", {_OPEN.format(days=30)} SELECT pmid, evidence_level, pub_date, weight FROM ranked")
@@ -589,7 +597,7 @@ SELECT {_THEME}, pmid AS primary_pmid, category, evidence_level,
     AND {_COS.format(a="n.embedding", b="(SELECT embedding FROM first)")} > {B.MIN_SIMILARITY})) AS source_pmids
 FROM first""")
 def pick_theme(spark, sf):
-    return theme.pick_theme(B.papers(spark, sf), B.embeddings(spark, sf), B.log(spark, sf), AS_OF,
+    return theme.pick_theme(B.papers(spark, sf, level=True), B.embeddings(spark, sf), B.log(spark, sf), AS_OF,
                             min_similarity=B.MIN_SIMILARITY).withColumn("source_pmids", _join("source_pmids"))
 
 
@@ -626,7 +634,7 @@ def used_ids(spark, sf):
 @query("""SELECT pmid, category, 'old' AS origin FROM papers WHERE evidence_level IS NULL OR evidence_level <> 'RCT'
   UNION ALL SELECT pmid, category, 'new' FROM papers WHERE evidence_level = 'RCT'""")
 def replace_by_key(spark, sf):
-    papers = B.papers(spark, sf)
+    papers = B.papers(spark, sf, level=True)
     new = papers.filter("evidence_level = 'RCT'").select("pmid", "category", F.lit("new").alias("origin"))
     return upsert.replace_by_key(papers.select("pmid", "category", F.lit("old").alias("origin")), new, "pmid")
 
@@ -650,7 +658,7 @@ def _phrased(spark, sf):
     phrase = (F.when(level == "meta-analysis", F.when(lang == "en", "a Meta-Analysis").otherwise("Systematic Review"))
               .when(level == "guideline", "Guideline").when(level == "RCT", "randomized and controlled")
               .when(lang == "de", "clinical trial").when(lang == "es", "review").otherwise(""))
-    return B.papers(spark, sf).select("pmid", text.text_of(F.concat("title", F.lit(" "), phrase)).alias("txt"))
+    return B.papers(spark, sf, level=True).select("pmid", text.text_of(F.concat("title", F.lit(" "), phrase)).alias("txt"))
 
 
 @query(f", s AS ({_PHRASED}) SELECT pmid, CAST({_BONUS} AS INTEGER) AS bonus FROM s")
@@ -830,14 +838,71 @@ def related_all(spark, sf):
     return similar.related_all(B.embeddings(spark, sf)).withColumn("similarity", F.round("similarity", 6))
 
 
-@query()
+@query(f"""SELECT a.pmid, CAST(row_number() OVER w AS INTEGER) AS rank, b.pmid AS related,
+  round({_COS.format(a="a.embedding", b="b.embedding")}, 6) + 0.0 AS similarity
+  FROM emb a JOIN emb b ON a.pmid <> b.pmid
+  WINDOW w AS (PARTITION BY a.pmid ORDER BY {_COS.format(a="a.embedding", b="b.embedding")} DESC, b.pmid)
+  QUALIFY row_number() OVER w <= 5""")
+def related_all_pivots(spark, sf):
+    """The same by the pivot path, which large tables take."""
+    return similar.related_all(B.embeddings(spark, sf), block_rows=128, plain_blocks=0).withColumn(
+        "similarity", F.round("similarity", 6))
+
+
+ANN = {"dim": 64, "tables": 8, "bits": 4}
+
+
+def _ann_sql() -> str:
+    """Codes of all vectors from the same planes, and pairs whose codes differ in at most two signs."""
+    planes = ", ".join(f"({t}, {b}, [{', '.join(map(repr, plane.tolist()))}])"
+                       for t, table in enumerate(similar.hash_planes(**ANN)) for b, plane in enumerate(table))
+    return f""", planes(grp, bit, plane) AS (VALUES {planes}),
+codes AS (SELECT pmid, grp, sum(CASE WHEN list_dot_product(embedding, CAST(plane AS DOUBLE[])) > 0 THEN 1 << bit ELSE 0 END)::BIGINT AS code
+  FROM emb, planes GROUP BY pmid, grp),
+near AS (SELECT DISTINCT a.pmid AS p, b.pmid AS q FROM codes a JOIN codes b ON a.grp = b.grp AND a.pmid <> b.pmid
+  AND bit_count(xor(a.code, b.code)) <= 2)"""
+
+
+@query(_ann_sql() + f""" SELECT a.pmid, CAST(row_number() OVER w AS INTEGER) AS rank, b.pmid AS related,
+  round({_COS.format(a="a.embedding", b="b.embedding")}, 6) + 0.0 AS similarity
+  FROM near JOIN emb a ON a.pmid = p JOIN emb b ON b.pmid = q
+  WINDOW w AS (PARTITION BY a.pmid ORDER BY {_COS.format(a="a.embedding", b="b.embedding")} DESC, b.pmid)
+  QUALIFY row_number() OVER w <= 5""")
 def ann_topk(spark, sf):
-    return similar.ann_topk(B.embeddings(spark, sf), dim=64).withColumn("similarity", F.round("similarity", 6))
+    return similar.ann_topk(B.embeddings(spark, sf), **ANN).withColumn("similarity", F.round("similarity", 6))
+
+
+@query()
+def ann_recall(spark, sf):
+    """Recall of ``ann_topk`` for the ids divisible by 100, searched exactly against all rows."""
+    vectors = B.embeddings(spark, sf)
+    asked = F.col("pmid").cast("long") % 100 == 0
+    exact = similar.related_all(vectors).filter(asked)
+    return similar.recall(similar.ann_topk(vectors, **ANN).filter(asked), exact)
 
 
 @query()
 def cluster_papers(spark, sf):
-    return cluster.cluster_papers(B.embeddings(spark, sf), n_init=3)
+    return cluster.cluster_papers(B.embeddings(spark, sf))
+
+
+def _steps_sql(steps: int) -> str:
+    """Rounds of k-means as one pair of table expressions each."""
+    out = ""
+    for i in range(steps + 1):
+        before = "cen" if i == 0 else f"cen{i}"
+        out += f""", to{i} AS (SELECT pmid, arg_min(cid, {{d: d, cid: cid}}) AS cid, min(d) AS d
+  FROM (SELECT pmid, cid, list_distance(embedding, centroid) AS d FROM emb, {before}) GROUP BY pmid)"""
+        if i < steps:
+            out += f""", cen{i + 1} AS (SELECT cid, list(m ORDER BY pos) AS centroid FROM (SELECT cid, pos, avg(x) AS m
+  FROM (SELECT cid, unnest(embedding) AS x, unnest(range(len(embedding))) AS pos FROM to{i} JOIN emb USING (pmid)) GROUP BY cid, pos) GROUP BY cid)"""
+    return out
+
+
+@query(f", {_CENTROIDS} {_steps_sql(2)} SELECT pmid, cid, round(d, 6) AS distance FROM to2")
+def cluster_steps(spark, sf):
+    centres = cluster.centroids_by(B.table(spark, sf, "embeddings"), "label")
+    return cluster.cluster_steps(B.embeddings(spark, sf), centres, 2).withColumn("distance", F.round("distance", 6))
 
 
 @query(f""", {_CENTROIDS}
@@ -845,10 +910,10 @@ SELECT pmid, arg_min(cid, {{d: d, cid: cid}}) AS cid, round(min(d), 6) AS distan
 FROM (SELECT pmid, cid, list_distance(embedding, centroid) AS d FROM emb, cen) GROUP BY pmid""")
 def nearest_centroid(spark, sf):
     centres = cluster.centroids_by(B.table(spark, sf, "embeddings"), "label")
-    return cluster.nearest_centroid(B.embeddings(spark, sf), centres, 10).withColumn("distance", F.round("distance", 6))
+    return cluster.nearest_centroid(B.embeddings(spark, sf), centres).withColumn("distance", F.round("distance", 6))
 
 
-@query(f""", x AS (SELECT a.pmid, a.title, a.category, list_distinct(a.mesh_terms) AS terms, a.evidence_level, e.embedding, {_flags('a')}
+_OPPOSING_SQL = f""", x AS (SELECT a.pmid, a.title, a.category, list_distinct(a.mesh_terms) AS terms, a.evidence_level, e.embedding, {_flags('a')}
   FROM papers a JOIN emb e ON e.pmid = a.pmid),
 c AS (SELECT a.pmid AS pmid1, b.pmid AS pmid2, substring(a.title, 1, 80) AS title1, substring(b.title, 1, 80) AS title2, a.category,
     array_to_string(list_sort(list_intersect(a.terms, b.terms)), ',') AS shared_terms,
@@ -857,13 +922,26 @@ c AS (SELECT a.pmid AS pmid1, b.pmid AS pmid2, substring(a.title, 1, 80) AS titl
       - 0.2 * CAST(a.p_a AND b.p_a AND NOT a.n_a AND NOT b.n_a AS INT) AS DOUBLE) AS score
   FROM x a JOIN x b ON a.category = b.category AND a.pmid < b.pmid AND list_has_any(a.terms, b.terms))
 SELECT pmid1, pmid2, title1, title2, category, shared_terms, round(s, 6) AS similarity, score AS contradiction_score, evidence_levels
-FROM c WHERE s >= {B.MIN_SIMILARITY} AND score > 0.3 ORDER BY score DESC, pmid1, pmid2 LIMIT 20""")
-def contradiction_pairs(spark, sf):
-    return pairs.contradiction_pairs(B.papers(spark, sf), B.embeddings(spark, sf), B.MIN_SIMILARITY, B.POSITIVE, B.NEGATIVE).select(
+FROM c WHERE s >= {B.MIN_SIMILARITY} AND score > 0.3 ORDER BY score DESC, pmid1, pmid2 LIMIT 20"""
+
+
+def _opposing(spark, sf, **kw):
+    return pairs.contradiction_pairs(B.papers(spark, sf, level=True), B.embeddings(spark, sf), B.MIN_SIMILARITY, B.POSITIVE, B.NEGATIVE, **kw).select(
         "pmid1", "pmid2", "title1", "title2", "category", _join("shared_terms").alias("shared_terms"),
         F.round("similarity", 6).alias("similarity"), "contradiction_score", _join("evidence_levels").alias("evidence_levels"))
 
 
+@query(_OPPOSING_SQL)
+def contradiction_pairs(spark, sf):
+    return _opposing(spark, sf)
+
+
+@query(_OPPOSING_SQL)
+def contradiction_pairs_grid(spark, sf):
+    """The same by cells alone, which the probe falls back to."""
+    return _opposing(spark, sf, probe_rows=0)
+
+
 _HASHED = f"""tok AS (SELECT pmid, unnest(list_filter(regexp_split_to_array(lower({{text}}), '[^\\p{{{{L}}}}\\p{{{{N}}}}]+'), lambda w: w <> '')) AS w FROM papers),
 slots AS (SELECT pmid, ('0x' || substring(md5(w), 1, 8))::BIGINT % 384 AS slot, count(*) AS c FROM tok GROUP BY ALL),
 units AS (SELECT pmid, slot, CAST(CAST(c / sqrt(sum(c * c) OVER (PARTITION BY pmid)) AS FLOAT) AS DOUBLE) AS v FROM slots)
@@ -884,11 +962,10 @@ def _vector_digest(df):
 
 @query(", " + _HASHED.format(text="abstract"))
 def embed_text(spark, sf):
-    rows = B.papers(spark, sf).select("pmid", "abstract").repartition(spark.sparkContext.defaultParallelism)
+    rows = B.papers(spark, sf).select("pmid", "abstract")
     return _vector_digest(embed.embed_text(rows, "abstract", kernels.hash_encoder(384)))
 
 
 @query(", " + _HASHED.format(text=_EMBED_TEXT))
 def embed_papers(spark, sf):
-    return _vector_digest(embed.embed_papers(B.papers(spark, sf), now=NOW,
-                                              partitions=spark.sparkContext.defaultParallelism))
+    return _vector_digest(embed.embed_papers(B.papers(spark, sf), now=NOW))

@@ -24,6 +24,9 @@ def matrix(column) -> np.ndarray:
     """Unit vectors of a list column as rows, in double precision."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    sizes = set(column.value_lengths().to_pylist())
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of different lengths in one search: {sorted(sizes, key=str)[:5]}; filter by dim or model first")
     flat = np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
     return flat / np.linalg.norm(flat, axis=1, keepdims=True)
 

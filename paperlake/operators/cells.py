@@ -17,12 +17,13 @@ def to_cells(df: DataFrame, group: list[str], row_key: str, block_rows: int = BL
     cell (i, j) holds block i (side 0) and block j (side 1), cell (i, i) block i
     alone. Every two rows of a group meet in exactly one cell and no cell holds
     more than about two blocks, however large the group is. The output is
-    partitioned and sorted by ``cell``.
+    partitioned and sorted by ``cell``. Rows alone in their group can meet
+    nothing and are dropped before the shuffle; so are rows with a NULL group.
     """
     if group:
-        hot = (df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block_rows)
-               .select(*group, F.ceil(F.col("_n") / block_rows).cast("int").alias("_blocks")))
-        sized = df.join(small_side(hot), group, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+        pairing = (df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+                   .select(*group, F.ceil(F.col("_n") / block_rows).cast("int").alias("_blocks")))
+        sized = df.join(small_side(pairing), group)
     else:
         blocks = df.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_rows)).cast("int")).scalar()
         sized = df.withColumn("_blocks", blocks)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperlake.functions.vectors import squared_distance
-from paperlake.runtime import check_inline
+from paperlake.runtime import MAX_INLINE_ROWS, cut_lineage
 
 
 def cluster_papers(embeddings: DataFrame, n_clusters: int = 5, min_cluster_size: int = 2,
@@ -18,7 +20,6 @@ def cluster_papers(embeddings: DataFrame, n_clusters: int = 5, min_cluster_size:
     The cheapest of ``n_init`` seeded runs is kept. Clusters are numbered by
     their lowest paper id, so numbers do not depend on the run.
     """
-    check_inline(n_clusters, "clusters")
     vectors = (embeddings.filter(F.size("embedding") > 0)
                .select("pmid", array_to_vector(F.col("embedding")).alias("features")))
     kept = vectors.persist()
@@ -70,16 +71,45 @@ def centroids_by(vectors: DataFrame, label: str, vector: str = "embedding") -> D
             .select("cid", F.transform("c", lambda s: s["m"]).alias("centroid")))
 
 
-def nearest_centroid(vectors: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
-    """Assign every vector to the closest of ``k`` centroids, ties to the lower id.
+def _assigned(vectors: DataFrame, centroids: DataFrame, block_rows: int = MAX_INLINE_ROWS) -> DataFrame:
+    """(pmid, embedding, cid, distance) by the closest centroid, ties to the lower id.
+
+    The centroids are written and counted. Blocks of at most about
+    ``block_rows`` of them enter as one array value each, so the vectors are
+    neither joined nor shuffled; with several blocks each gives its best per
+    vector and the least of these is kept.
+    """
+    kept = cut_lineage(centroids.select("cid", "centroid"), "centroids")
+    blocks = max(1, -(-kept.count() // block_rows))
+
+    def best(block: DataFrame) -> DataFrame:
+        table = block.agg(F.collect_list(F.struct("cid", "centroid"))).scalar()
+        ranked = F.transform("_table", lambda c: F.struct(
+            squared_distance(F.col("embedding"), c["centroid"]).alias("distance"), c["cid"].alias("cid")))
+        return (vectors.select("pmid", "embedding", table.alias("_table"))
+                .select("pmid", "embedding", F.array_min(ranked).alias("_best")))
+
+    if blocks == 1:
+        found = best(kept)
+    else:
+        part = F.pmod(F.xxhash64("cid"), F.lit(blocks))
+        found = (reduce(DataFrame.unionByName, (best(kept.filter(part == i)) for i in range(blocks)))
+                 .groupBy("pmid").agg(F.first("embedding").alias("embedding"), F.min("_best").alias("_best")))
+    return found.select("pmid", "embedding", F.col("_best.cid").alias("cid"), F.sqrt("_best.distance").alias("distance"))
+
+
+def nearest_centroid(vectors: DataFrame, centroids: DataFrame, block_rows: int = MAX_INLINE_ROWS) -> DataFrame:
+    """(pmid, cid, distance): every vector's closest centroid, ties to the lower id."""
+    return _assigned(vectors, centroids, block_rows).select("pmid", "cid", "distance")
+
+
+def cluster_steps(vectors: DataFrame, centroids: DataFrame, steps: int) -> DataFrame:
+    """(pmid, cid, distance) after ``steps`` rounds of k-means from given centroids.
 
-    The centroids enter as one small array value, so the vectors are neither
-    joined nor shuffled.
+    A round assigns every vector and moves each centroid to the mean of its
+    vectors; a centroid without vectors goes. Unlike :func:`cluster_papers`
+    nothing is random.
     """
-    check_inline(k, "centroids")
-    table = centroids.agg(F.collect_list(F.struct("cid", "centroid"))).scalar()
-    ranked = F.transform("_table", lambda c: F.struct(
-        squared_distance(F.col("embedding"), c["centroid"]).alias("distance"), c["cid"].alias("cid")))
-    return (vectors.select("pmid", "embedding", table.alias("_table"))
-            .select("pmid", F.array_min(ranked).alias("_best"))
-            .select("pmid", F.col("_best.cid").alias("cid"), F.sqrt("_best.distance").alias("distance")))
+    for _ in range(steps):
+        centroids = cut_lineage(centroids_by(_assigned(vectors, centroids), "cid"), "centroids")
+    return nearest_centroid(vectors, centroids)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,7 +13,8 @@ def number_rows(df: DataFrame, bucket: list[Column], order: list[Column], name:
     """Add dense numbers following ``order``.
 
     ``bucket`` must sort consistently with ``order`` (be a coarser form of its
-    leading part). Rows are counted per bucket, the buckets get their offsets
+    leading part). NULL is a bucket of its own and comes first, as in Spark's
+    ascending order. Rows are counted per bucket, the buckets get their offsets
     from a running sum, and only rows of one bucket are sorted together. Choose
     buckets that stay small: a hash prefix, or a position divided by a block
     size.
@@ -24,16 +27,20 @@ def number_rows(df: DataFrame, bucket: list[Column], order: list[Column], name:
                .select(*keys, F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before")))
     within = Window.partitionBy(*keys).orderBy(*order)
     base = start if isinstance(start, Column) else F.lit(start)
-    return (tagged.withColumn("_rn", F.row_number().over(within))
-            .join(offsets, keys)
+    ranked = tagged.withColumn("_rn", F.row_number().over(within))
+    offsets = offsets.withColumnsRenamed({k: f"{k}o" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"{k}o")) for k in keys))
+    return (ranked.join(offsets, same)
             .withColumn(name, (base + F.col("_before") + F.col("_rn") - 1).cast("long"))
-            .drop(*keys, "_rn", "_before"))
+            .drop(*keys, *(f"{k}o" for k in keys), "_rn", "_before"))
 
 
-def number_by_hash(df: DataFrame, key: Column, name: str = "id", start: Column | int = 1) -> DataFrame:
-    """Dense numbers in the order of the md5 of ``key``, which must be unique per row.
+def number_by_hash(df: DataFrame, key: Column, name: str = "id", start: Column | int = 1, digits: int = 4) -> DataFrame:
+    """Dense numbers in the order of the md5 of ``key``, which must be unique per row; NULL keys come first.
 
-    4096 hash buckets keep every sort small.
+    ``digits`` hexadecimal digits of the hash name the bucket: 65536 buckets
+    unless told otherwise. More digits give smaller sorts; the numbers are the
+    same.
     """
     hashed = df.withColumn("_h", F.md5(key.cast("string")))
-    return number_rows(hashed, [F.substring("_h", 1, 3)], [F.col("_h")], name, start).drop("_h")
+    return number_rows(hashed, [F.substring("_h", 1, digits)], [F.col("_h")], name, start).drop("_h")

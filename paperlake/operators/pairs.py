@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from paperlake import kernels, vocab
 from paperlake.functions import text as T
 from paperlake.operators.cells import BLOCK_ROWS, to_cells
-from paperlake.runtime import check_inline, cut_lineage
+from paperlake.runtime import cut_lineage, small_side
 
 PROBE_ROWS = 512
 
@@ -63,7 +63,6 @@ def contradiction_pairs(papers: DataFrame, embeddings: DataFrame, min_similarity
     finds ``top`` pairs, no later pair can beat them. Only otherwise are all
     candidates compared, in cells per (category, tag). Both ways are exact.
     """
-    check_inline(top, "top")
     pos, neg = T.polarity_flags(T.text_of(), list(positive), list(negative))
     flagged = papers.select("pmid", "category", "mesh_terms", "evidence_level",
                             T.prefix(F.col("title"), 80).alias("title"), pos.alias("pos"), neg.alias("neg"))
@@ -78,27 +77,26 @@ def contradiction_pairs(papers: DataFrame, embeddings: DataFrame, min_similarity
         mixed = rows.filter("pos and neg").select("id", "category", "vec", "terms", "pos", "neg")
         # Both collected tables are bounded, by probe_rows and by top. The lowest ids are found
         # first, so that the tasks send ids and not vectors to the one that merges them.
-        lowest = mixed.select("id").orderBy("id").limit(check_inline(probe_rows, "probe_rows"))
+        lowest = mixed.select("id").orderBy("id").limit(probe_rows)
         chunk = mixed.join(F.broadcast(lowest), "id", "left_semi").toArrow()
         if chunk.num_rows:
             found = mixed.mapInArrow(kernels.opposing_to_chunk(chunk, min_similarity, min_score, top), out)
-            lead = found.dropDuplicates(["pmid1", "pmid2"]).orderBy(*order).limit(top).toArrow()
-            if lead.num_rows == top:
-                best = rows.sparkSession.createDataFrame(lead)
+            lead = cut_lineage(found.dropDuplicates(["pmid1", "pmid2"]).orderBy(*order).limit(top), "lead")
+            if lead.count() == top:
+                best = lead
     if best is None:
         exploded = rows.select("id", "category", "vec", "terms", "pos", "neg", F.explode("terms").alias("term"))
         cells = to_cells(exploded, ["category", "term"], "id", block_rows)
         best = (cells.select("cell", "lone", "side", "id", "category", "terms", "vec", "pos", "neg")
                 .mapInArrow(kernels.opposing_in_cells(min_similarity, min_score, top), out)
                 .dropDuplicates(["pmid1", "pmid2"]).orderBy(*order).limit(top))
-    return _describe(best.persist(), rows).orderBy(*order)
+    return _describe(cut_lineage(best, "best-pairs"), rows).orderBy(*order)
 
 
 def _describe(best: DataFrame, rows: DataFrame) -> DataFrame:
     """Titles, tags and evidence levels of the two papers of a short list of pairs."""
     ids = best.select(F.explode(F.array("pmid1", "pmid2")).alias("id")).distinct()
-    # the list is at most the top-n asked for
-    info = rows.select("id", "title", "category", "terms", "evidence_level").join(F.broadcast(ids), "id", "left_semi")
+    info = rows.select("id", "title", "category", "terms", "evidence_level").join(small_side(ids), "id", "left_semi")
 
     def side(n: int) -> DataFrame:
         return info.select(F.col("id").alias(f"pmid{n}"), F.col("title").alias(f"title{n}"),

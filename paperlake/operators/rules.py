@@ -1,37 +1,33 @@
 """Rule tables applied row by row: first match, products, labels, scores.
 
-A rule table is a short list with an order. It goes into the plan as
-expressions, so every operator here is a projection: nothing is joined,
-grouped or shuffled, and the size of the list is checked.
+A rule table is a list with an order. It goes into the plan as one literal
+array, whatever its length, so every operator here is a projection: nothing is
+joined, grouped or shuffled.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperlake import vocab
 from paperlake.functions import text as T
-from paperlake.runtime import check_inline
 
-# Above this a chain of branches no longer compiles well; the list is then
-# walked as one array literal.
-_CHAIN_LIMIT = 64
+
+def rule_array(rows, *names: str) -> Column:
+    """Tuples of strings as one literal array of structs."""
+    text = json.dumps([dict(zip(names, row)) for row in rows], ensure_ascii=False)
+    return F.from_json(F.lit(text), "array<struct<" + ",".join(f"{n}:string" for n in names) + ">>")
 
 
 def first_rule_match(tags: Column, rules=tuple(vocab.TAG_RULES), default: str = vocab.DEFAULT_CATEGORY) -> Column:
     """Category of the first tag holding any rule key; inside a tag the first rule wins."""
-    check_inline(len(rules), "category rules")
+    table = rule_array(rules, "key", "category")
 
     def category_of(tag: Column) -> Column:
-        low = F.lower(tag)
-        if len(rules) <= _CHAIN_LIMIT:
-            chain = F
-            for key, category in rules:
-                chain = chain.when(F.contains(low, F.lit(key)), F.lit(category))
-            return chain
-        table = F.array(*(F.struct(F.lit(k).alias("key"), F.lit(c).alias("category")) for k, c in rules))
-        return F.get(F.filter(table, lambda r: F.contains(low, r["key"])), F.lit(0))["category"]
+        return F.get(F.filter(table, lambda r: F.contains(F.lower(tag), r["key"])), F.lit(0))["category"]
 
     matched = F.filter(F.transform(tags, category_of), lambda c: c.isNotNull())
     return F.coalesce(F.get(matched, F.lit(0)), F.lit(default))
@@ -44,15 +40,12 @@ def product_match(df: DataFrame, keywords: str, products: list[tuple[str, str]])
     taken in order, each key is used once, at the first keyword that holds it.
     Adds ``rank``, ``product_key`` and ``product``.
     """
-    check_inline(len(products), "products")
-    words = F.transform(F.col(keywords), lambda w: F.lower(w))
+    def hit(rule: Column, place: Column) -> Column:
+        first = F.array_position(F.transform(keywords, lambda w: F.contains(F.lower(w), rule["key"])), F.lit(True))
+        return F.struct(first.alias("word_pos"), place.alias("key_pos"), rule["key"].alias("product_key"),
+                        rule["product"].alias("product"))
 
-    def hit(pos: int, key: str, product: str) -> Column:
-        first = F.array_position(F.transform(words, lambda w: F.contains(w, F.lit(key))), F.lit(True))
-        return F.struct(first.alias("word_pos"), F.lit(pos).alias("key_pos"),
-                        F.lit(key).alias("product_key"), F.lit(product).alias("product"))
-
-    hits = F.array(*(hit(i, key, product) for i, (key, product) in enumerate(products)))
+    hits = F.transform(rule_array(products, "key", "product"), hit)
     ordered = F.array_sort(F.filter(hits, lambda h: h["word_pos"] > 0))
     return (df.select("*", F.posexplode(ordered).alias("_pos", "_hit"))
             .select(*df.columns, (F.col("_pos") + 1).alias("rank"), "_hit.product_key", "_hit.product"))
@@ -60,10 +53,8 @@ def product_match(df: DataFrame, keywords: str, products: list[tuple[str, str]])
 
 def category_label(category: Column, labels=tuple(vocab.CATEGORY_LABELS), default=vocab.DEFAULT_LABEL):
     """Display name and icon of a category code, as two Columns."""
-    check_inline(len(labels), "category labels")
-
     def lookup(position: int) -> Column:
-        table = F.create_map(*(F.lit(x) for row in labels for x in (row[0], row[position])))
+        table = F.map_from_entries(rule_array([(row[0], row[position]) for row in labels], "code", "value"))
         return F.coalesce(F.try_element_at(table, category), F.lit(default[position - 1]))
 
     return lookup(1), lookup(2)

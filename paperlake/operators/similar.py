@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from paperlake import kernels
 from paperlake.functions.vectors import cosine, literal_vector
 from paperlake.operators.cells import BLOCK_ROWS, to_cells, to_rect_cells
-from paperlake.runtime import check_inline, cut_lineage, small_side
+from paperlake.runtime import cut_lineage, small_side
 
 PLAIN_BLOCKS = 4
-BUCKET_ROWS = 512
 MAX_PIVOTS = 8192
 SAMPLE_PER_PIVOT = 4
 PIVOTS_PER_BLOCK = 4
@@ -52,7 +51,6 @@ def recommendations_join(ranked: DataFrame, papers: DataFrame) -> DataFrame:
 
 
 def recommendations(papers: DataFrame, embeddings: DataFrame, pmid: str, top_k: int = 5) -> DataFrame:
-    check_inline(top_k, "top_k")
     return recommendations_join(related_papers(embeddings, pmid, top_k), papers)
 
 
@@ -103,17 +101,20 @@ def _expand(groups: DataFrame, members: DataFrame, near: DataFrame, top_k: int)
                     F.col("_hit.similarity").alias("similarity")))
 
 
-def related_all(embeddings: DataFrame, top_k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def related_all(embeddings: DataFrame, top_k: int = 5, block_rows: int = BLOCK_ROWS,
+                plain_blocks: int = PLAIN_BLOCKS) -> DataFrame:
     """Exact top-k of every paper.
 
     A few blocks of distinct vectors are compared block by block; the tasks
-    emit only each row's local top-k. Above that, vectors are grouped around
-    pivots, see :func:`_near_by_pivots`.
+    emit only each row's local top-k. Above ``plain_blocks`` blocks, vectors are
+    grouped around pivots, see :func:`_near_by_pivots`; the result is the same.
+    Exact search of vectors without structure is quadratic either way: keep
+    it for bounded tables, and use :func:`ann_topk` for large ones.
     """
     groups, members = _vector_groups(embeddings, top_k + 1)
     vectors = groups.select("id", "vec")
     count = vectors.count()
-    if count <= PLAIN_BLOCKS * block_rows:
+    if count <= plain_blocks * block_rows:
         near = to_cells(vectors, [], "id", block_rows).mapInArrow(kernels.neighbours(top_k), _PAIR)
     else:
         pivots = min(MAX_PIVOTS, PIVOTS_PER_BLOCK * -(-count // block_rows))
@@ -157,31 +158,35 @@ def _near_by_pivots(vectors: DataFrame, count: int, top_k: int, pivots: int, blo
     return near.drop("rn").unionByName(cells.mapInArrow(kernels.neighbours_of_left(top_k), _PAIR))
 
 
-def ann_topk(embeddings: DataFrame, dim: int, top_k: int = 5, tables: int = 8, bits: int | None = None,
-             extra_bits: int = 8, block_rows: int = BLOCK_ROWS, seed: int = 42) -> DataFrame:
+def hash_planes(dim: int, tables: int, bits: int, seed: int = 42) -> np.ndarray:
+    """Random hyperplanes of ``tables`` hash tables with ``bits`` signs each, (tables, bits, dim)."""
+    return np.random.default_rng(seed).standard_normal((tables, bits, dim))
+
+
+def ann_topk(embeddings: DataFrame, dim: int, top_k: int = 5, tables: int = 8, bits: int = 6,
+             block_rows: int = BLOCK_ROWS, seed: int = 42) -> DataFrame:
     """Approximate top-k of every paper by random-hyperplane hashing.
 
-    Only vectors sharing a bucket in one of ``tables`` hash tables are compared;
-    without ``bits`` their number follows the table size, for buckets of about
-    ``BUCKET_ROWS``. A bucket above ``block_rows`` is split by ``extra_bits`` more
-    signs, and what is still larger is compared block by block, so no task sees
-    a hot bucket whole. See :func:`recall` for checking the result.
+    Two vectors are compared if in one of ``tables`` hash tables their codes
+    of ``bits`` signs differ in at most two places: each vector lies in its
+    own bucket and in those of the codes with one sign flipped. The planes
+    depend on ``dim``, ``tables``, ``bits`` and ``seed`` only, so the answer for
+    the same vectors is the same at every table size. Choose ``bits`` for the
+    size at hand: a bucket holds about 2^-bits of the vectors, bits + 1 times.
+    A bucket above ``block_rows`` is compared block by block, which changes
+    no result. Vectors of another length than ``dim`` are left out. See
+    :func:`recall` for checking the result.
     """
-    groups, members = _vector_groups(embeddings, top_k + 1)
-    if bits is None:
-        bits = max(1, round(np.log2(max(1, groups.count()) / BUCKET_ROWS)))
-    planes = np.random.default_rng(seed).standard_normal((tables, bits + extra_bits, dim))
+    groups, members = _vector_groups(embeddings.filter(F.size("embedding") == dim), top_k + 1)
+    planes = hash_planes(dim, tables, bits, seed)
     # one row per vector is written; the counts below read only the codes
     coded = cut_lineage(groups.select("id", "vec").mapInArrow(
         kernels.signatures(planes), "id string, vec array<float>, codes array<long>"), "hash-codes")
-    signed = (coded.select("id", "vec", F.posexplode("codes").alias("grp", "code"))
-              .withColumn("bucket", F.pmod("code", F.lit(1 << bits))))
-    crowded = (signed.groupBy("grp", "bucket").agg(F.count(F.lit(1)).alias("_n"))
-               .filter(F.col("_n") > block_rows).select("grp", "bucket", F.lit(True).alias("_crowded")))
-    placed = (signed.join(small_side(crowded), ["grp", "bucket"], "left")
-              .withColumn("fine", F.when(F.col("_crowded"), F.col("code")).otherwise(F.lit(-1)))
-              .drop("_crowded", "code"))
-    cells = to_cells(placed, ["grp", "bucket", "fine"], "id", block_rows)
+    flips = F.array(*(F.lit(m).cast("long") for m in [0, *(1 << b for b in range(bits))]))
+    placed = (coded.select("id", "vec", F.posexplode("codes").alias("grp", "code"))
+              .select("id", "vec", "grp", "code", F.explode(flips).alias("flip"))
+              .select("id", "vec", "grp", F.col("code").bitwiseXOR(F.col("flip")).alias("bucket")))
+    cells = to_cells(placed, ["grp", "bucket"], "id", block_rows)
     near = cells.mapInArrow(kernels.neighbours(top_k), _PAIR).groupBy("id", "neighbour").agg(
         F.max("similarity").alias("similarity"))
     return _expand(groups, members, near, top_k)

@@ -56,10 +56,12 @@ def upsert_papers(existing: DataFrame, incoming: DataFrame, now, key: str = "pmi
 
 
 def ingest_papers(existing: DataFrame, incoming: DataFrame, now,
-                  arrival: list[Column] | None = None) -> tuple[DataFrame, int]:
-    """Upsert a batch; also the number of rows processed, repeats included."""
-    return (upsert_papers(existing, incoming, now, arrival=arrival),
-            processed_count(incoming).first()["processed"])
+                  arrival: list[Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Upsert a batch; also, as a table of one row, the number of rows processed, repeats included.
+
+    No job runs until one of the two is used.
+    """
+    return upsert_papers(existing, incoming, now, arrival=arrival), processed_count(incoming)
 
 
 def processed_count(incoming: DataFrame) -> DataFrame:
@@ -75,8 +77,9 @@ def append_log(log: DataFrame, entries: DataFrame, now, arrival: str | None = No
                block: int = 10_000) -> DataFrame:
     """Log with the entries added, their ids following the highest one.
 
-    Ids go by the integer column ``arrival``; without it the batch has no order
-    and ids are dealt out by a hash of slug and sources.
+    Ids go by the integer column ``arrival``, entries without one first; without
+    the column the batch has no order and ids are dealt out by a hash of slug
+    and sources.
     """
     last = log.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     stamped = (entries.withColumn("created_at", F.coalesce("created_at", F.lit(now).cast("timestamp")))
@@ -119,7 +122,7 @@ def upsert_index_front(index: DataFrame, arrivals: DataFrame, block: int = 10_00
     """Put arrivals in front, latest first, drop their older entries, renumber ``pos``.
 
     ``index.pos`` is the present place of an entry, ``arrivals.pos`` the order
-    of arrival.
+    of arrival. Entries without ``pos`` come first in their part.
     """
     newest = latest_by_key(arrivals, "slug", [F.desc("pos")])
     front = newest.withColumn("_part", F.lit(0)).withColumn("_place", -F.col("pos"))
@@ -136,8 +139,12 @@ def table_counts(**tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def check_constraints(papers: DataFrame, embeddings: DataFrame, log: DataFrame, dim: int) -> DataFrame:
-    """Rows breaking each rule of the data model, one report row per rule."""
+def check_constraints(papers: DataFrame, embeddings: DataFrame, log: DataFrame, dim: int,
+                      sources: DataFrame | None = None, search_index: DataFrame | None = None) -> DataFrame:
+    """Rows breaking each rule of the data model, one report row per rule.
+
+    The rules of ``sources`` and ``search_index`` are reported for the tables that are given.
+    """
     def repeated(df, key, name):
         return (df.groupBy(key).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
                 .agg(F.count(F.lit(1)).alias("bad_rows"))
@@ -162,4 +169,10 @@ def check_constraints(papers: DataFrame, embeddings: DataFrame, log: DataFrame,
         broken(log, {"log.week not null": F.col("week").isNull()}),
         orphans,
     ]
+    if sources is not None:
+        parts += [repeated(sources, "id", "sources.id unique"),
+                  broken(sources, {f"sources.{c} not null": F.col(c).isNull() for c in ("category", "name", "url")})]
+    if search_index is not None:
+        parts += [repeated(search_index, "slug", "search_index.slug unique"),
+                  broken(search_index, {"search_index.title not null": F.col("title").isNull()})]
     return reduce(DataFrame.unionByName, parts)

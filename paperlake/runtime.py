@@ -8,9 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest rule table, centroid set or top-k that may travel inside a plan
-# (as literals, or as a broadcast side). Callers above it get an error, not a
-# silent cut.
+# Largest table that is broadcast or travels inside a plan. Larger ones take
+# the form without a broadcast and give the same result.
 MAX_INLINE_ROWS = 10_000
 
 
@@ -61,17 +60,13 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def check_inline(size: int, what: str) -> int:
-    if size > MAX_INLINE_ROWS:
-        raise ValueError(f"{what}: {size} rows exceed the inline bound of {MAX_INLINE_ROWS}")
-    return size
-
-
 def small_side(df: DataFrame, bound: int = MAX_INLINE_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it is counted to be within ``bound`` rows.
 
     Otherwise it is returned unmarked and the join is shuffled, with AQE
-    splitting skewed partitions.
+    splitting skewed partitions. The rows are written to the work folder, so
+    the count costs no second run, nothing stays in memory, and a later call
+    sees later data.
     """
-    kept = df.persist()
-    return F.broadcast(kept) if kept.limit(bound + 1).count() <= bound else kept
+    kept = cut_lineage(df, "small-side")
+    return F.broadcast(kept) if kept.count() <= bound else kept

@@ -8,7 +8,7 @@ from pyspark.sql.utils import AnalysisException
 
 from paperlake import schemas
 from paperlake.operators.numbering import number_by_hash
-from paperlake.runtime import MAX_INLINE_ROWS, check_inline, cut_lineage
+from paperlake.runtime import cut_lineage
 
 CORRUPT = "_corrupt"
 
@@ -51,7 +51,7 @@ def _two_digits(part: Column) -> Column:
 
 def parse_paper_xml(rows: DataFrame, url_base: str = "https://pubmed.ncbi.nlm.nih.gov/",
                     all_sections: bool = False, keep: list[str] | None = None) -> DataFrame:
-    """Paper records from parsed article elements; unreadable ones are skipped.
+    """Paper records from parsed article elements; see :func:`rejected_papers` for unreadable ones.
 
     ``pub_date`` also reads months by name; ``raw_pub_date`` is the text the
     recency rule looks at.
@@ -82,6 +82,12 @@ def parse_paper_xml(rows: DataFrame, url_base: str = "https://pubmed.ncbi.nlm.ni
         F.coalesce(F.filter(terms, lambda t: t != ""), F.array().cast("array<string>")).alias("mesh_terms"))
 
 
+def rejected_papers(rows: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Article elements that :func:`parse_paper_xml` leaves out, as (reason, raw), behind the columns in ``keep``."""
+    reason = F.when(F.col(CORRUPT).isNotNull(), "unreadable").when(F.col("MedlineCitation").isNull(), "no citation")
+    return rows.select(*(keep or []), reason.alias("reason"), F.col(CORRUPT).alias("raw")).filter(F.col("reason").isNotNull())
+
+
 def flatten_sources(docs: DataFrame, column: str, doc_key: str) -> DataFrame:
     """(id, category, name, url) from nested JSON documents, ``doc_key`` being unique.
 
@@ -136,13 +142,3 @@ def parse_search_index(docs: DataFrame, column: str) -> DataFrame:
 def index_lines(rows: DataFrame) -> DataFrame:
     """Index rows as JSON lines in ``pos`` order, sorted by range across files."""
     return rows.orderBy("pos").select(F.to_json(F.struct(*[c for c in rows.columns if c != "pos"])).alias("value"))
-
-
-def index_document(rows: DataFrame, version: str = "1.0", generated: str | None = None) -> DataFrame:
-    """An index within the inline bound as one pretty JSON document; use :func:`index_lines` above it."""
-    check_inline(rows.limit(MAX_INLINE_ROWS + 1).count(), "search index")
-    fields = [c for c in rows.columns if c != "pos"]
-    listed = F.sort_array(F.collect_list(F.struct("pos", F.struct(*fields).alias("a"))))
-    return (rows.agg(F.transform(listed, lambda x: x["a"]).alias("articles"))
-            .select(F.to_json(F.struct(F.lit(version).alias("version"), F.lit(generated).alias("generated"), "articles"),
-                              {"pretty": "true"}).alias("value")))

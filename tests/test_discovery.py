@@ -45,10 +45,19 @@ def test_clusters(spark, three_groups, make_embeddings):
 
 def test_nearest_centroid(spark, make_embeddings):
     centres = spark.createDataFrame([(1, [0.0, 0.0]), (2, [2.0, 0.0])], "cid int, centroid array<double>")
-    got = cluster.nearest_centroid(make_embeddings({"a": [0.4, 0], "b": [1.9, 0], "tie": [1, 0]}), centres, 2).collect()
+    got = cluster.nearest_centroid(make_embeddings({"a": [0.4, 0], "b": [1.9, 0], "tie": [1, 0]}), centres).collect()
     assert {r["pmid"]: r["cid"] for r in got} == {"a": 1, "b": 2, "tie": 1}
 
 
+def test_nearest_of_many_centroids(spark, make_embeddings):
+    """More centroids than one block holds give the answer of a single block."""
+    centres = spark.range(10_001).selectExpr("cast(id as int) cid", "array(cast(id as double), 0.0D) centroid")
+    vectors = make_embeddings({str(i): [i * 97 + 0.4, 1] for i in range(100)})
+    got = {r["pmid"]: r["cid"] for r in cluster.nearest_centroid(vectors, centres).collect()}
+    assert got == {str(i): i * 97 for i in range(100)}
+    assert got == {r["pmid"]: r["cid"] for r in cluster.nearest_centroid(vectors, centres, 50_000).collect()}
+
+
 @pytest.fixture(scope="module")
 def dated(make_papers):
     return make_papers([{"pmid": str(i), "title": "Study", "abstract": "about Hypertension" if i % 2 else "",

