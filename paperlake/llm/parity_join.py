@@ -255,9 +255,12 @@ def similar_documents(docs: DataFrame, width: int = WORDS, pivot_rounds: int = P
     by_key = Window.partitionBy("key")
     shared = (keyed.withColumn("lo", F.min("set_id").over(by_key)).withColumn("hi", F.max("set_id").over(by_key))
               .filter("lo <> hi").select("key", "set_id").distinct())
-    members = cut_lineage(shared.join(nodes, "set_id").select("key", "id", "n", "bits"), "members")
+    nodes = cut_lineage(nodes, "nodes")
+    # the long columns stay with the nodes: a set has many keys
+    members = cut_lineage(shared.join(nodes.select("set_id", "id"), "set_id").select("key", "id"), "members")
     # one document id may hold several sets: they are one node
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
+    wanted = cut_lineage(members.select(F.col("id").alias("doc_id")).distinct(), "listed")
+    sketches = cut_lineage(nodes.select("id", "n", "bits").join(wanted.withColumnRenamed("doc_id", "id"), "id").distinct(), "sketches")
     listed = bitmaps.gather(wanted.select(F.xxhash64("doc_id").alias("k")), "k")
     some = (texts.filter("doc_id is not null and text is not null").withColumn("k", F.xxhash64("doc_id"))
             .mapInArrow(_listed(listed), "doc_id bigint, text string"))
@@ -273,15 +276,17 @@ def similar_documents(docs: DataFrame, width: int = WORDS, pivot_rounds: int = P
         found = pairs.join(left, "a").join(right, "b").mapInArrow(_verify(width), "a bigint, b bigint")
         return cut_lineage(found.distinct(), "links")
 
-    narrow = members.select("key", "id").distinct()
-    sketches = members.select("id", "n", "bits").dropDuplicates(["id"])
+    # groups that have fallen into one component are done and drop out of the next turn
+    open_groups = members
     for turn in range(pivot_rounds + 1):
         labels = components(links)
-        placed = narrow.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
+        placed = open_groups.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
             "key", "id", F.coalesce("component", "id").alias("component"))
         apart = Window.partitionBy("key")
         placed = (placed.withColumn("lo", F.min("component").over(apart)).withColumn("hi", F.max("component").over(apart))
                   .filter("lo <> hi").drop("lo", "hi"))
+        placed = cut_lineage(placed, "open")
+        open_groups = placed.select("key", "id")
         if turn < pivot_rounds:
             # by hash, so that every turn has other pivots; turn 0 takes the smallest id
             order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))

@@ -123,8 +123,8 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "strat
     grid = F.array(*(F.struct(F.lit(name).alias("rule"), F.expr(value).alias("value"),
                               F.array(*map(F.lit, cuts)).alias("cuts")) for name, (value, cuts) in rules.items()))
     verdicts = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known = (measured.filter(~F.col("base_failed")).join(verdicts, "doc_id")
-             .select(stratum, "quality", F.explode(grid).alias("r"))
+    known = (measured.filter(~F.col("base_failed")).select("doc_id", stratum, grid.alias("grid")).join(verdicts, "doc_id")
+             .select(stratum, "quality", F.explode("grid").alias("r"))
              # cutoffs are descending: a value rejects from position `level` on
              .select(stratum, F.col("r.rule").alias("rule"), (F.col("quality") == 1).alias("good"),
                      F.size(F.filter("r.cuts", lambda c: c >= F.col("r.value"))).alias("level"))
@@ -162,6 +162,10 @@ def apply_cutoffs(measured: DataFrame, cutoffs: DataFrame, stratum: str = "strat
     return joined.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(~hit)).drop("_c")
 
 
+def _with_stratum(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("stratum"))
+
+
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, lang): the counts, base_failed and kept.
 
@@ -170,7 +174,7 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float =
     judged and never count as labelled; repeated rows are judged alike.
     Without labels only the base rules reject. Extra columns are ignored.
     """
-    measured = cut_lineage(measure(docs.withColumn("stratum", F.coalesce("lang", F.lit(""))), "doc_id", "stratum"), "measures")
+    measured = cut_lineage(measure(_with_stratum(docs), "doc_id", "stratum"), "measures")
     cutoffs = cut_lineage(choose_cutoffs(measured, labels, risk=risk, delta=delta), "cutoffs")
     return apply_cutoffs(measured, cutoffs)
 
@@ -181,8 +185,7 @@ def reject(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
     The documents are read once to choose the cutoffs and once to be filtered;
     their texts are not shuffled.
     """
-    mine = docs.withColumn("_stratum", F.coalesce("lang", F.lit("")))
-    measured = cut_lineage(measure(mine.withColumnRenamed("_stratum", "stratum"), "doc_id", "stratum"), "measures")
+    measured = cut_lineage(measure(_with_stratum(docs), "doc_id", "stratum"), "measures")
     cutoffs = cut_lineage(choose_cutoffs(measured, labels, risk=risk, delta=delta), "cutoffs")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     row = docs.select(F.struct(*columns).alias("_row"), F.col("doc_id"), F.col("text"),

@@ -26,7 +26,7 @@ DAMPING = 0.85
 STEPS = 12
 STEPS_PER_PLAN = 4
 RATIO = 1.0
-FLOOR = 1.0
+FLOOR = 0.1
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/")]
 
