@@ -20,6 +20,9 @@ MEDIUM = ["this", "les"]
 FOCUS = "license"
 TAG_RULES = [("the", "heart"), ("und", "brain"), ("les", "gut"), ("que", "eyes")]
 PRODUCTS = [("the", "first"), ("for", "second"), ("und", "third"), ("que", "fourth"), ("ing", "fifth")]
+# words that between one and ten in a hundred of the given documents hold
+TAGS = ("ining ingor ound queque nque sthe thedre under theron queci aique quer athe thshing therble ingnt leque ouque einge "
+        "theaeati thther queeau esing oring").split()
 MIN_SIMILARITY = 0.1
 PAIR_SIMILARITY = 0.3
 
@@ -35,8 +38,9 @@ def _title(text):
     return F.split_part(text, F.lit("\n"), F.lit(1))
 
 
-def _terms(title):
-    return F.filter(F.split(F.lower(title), "[^a-z]+"), lambda w: F.length(w) >= 3)
+def _terms(text):
+    """Tags: the words of a fixed vocabulary that the whole text holds, in the order of the vocabulary."""
+    return F.array_intersect(F.array(*map(F.lit, TAGS)), F.split(F.lower(text), "[^a-z]+"))
 
 
 def papers(spark: SparkSession, sf: str, level: bool = False) -> DataFrame:
@@ -55,7 +59,7 @@ def papers(spark: SparkSession, sf: str, level: bool = False) -> DataFrame:
         F.date_add(first, (F.col("doc_id") % 365).cast("int")).alias("pub_date"),
         F.concat(F.lit("10.1/"), F.col("doc_id")).alias("doi"),
         F.concat(F.lit("/article/"), F.col("doc_id"), F.lit("/")).alias("url"),
-        _terms(_title(F.col("text"))).alias("mesh_terms"), F.col("lang").alias("category"),
+        _terms(F.col("text")).alias("mesh_terms"), F.col("lang").alias("category"),
         level.alias("evidence_level"), stamp.alias("created_at"), stamp.alias("updated_at"))
 
 
@@ -99,7 +103,7 @@ def incoming_papers(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("b"), F.col("item_id")).alias("pmid"), _title(F.col("text")).alias("title"),
         F.col("text").alias("abstract"), F.array(F.lit("bench")).alias("authors"),
         F.lit("bench").alias("journal"), F.lit(AS_OF).cast("date").alias("pub_date"), F.lit("").alias("doi"),
-        F.lit("").alias("url"), _terms(_title(F.col("text"))).alias("mesh_terms"), F.lit("en").alias("category"),
+        F.lit("").alias("url"), _terms(F.col("text")).alias("mesh_terms"), F.lit("en").alias("category"),
         F.lit(None).cast("string").alias("evidence_level"), stamp.alias("created_at"),
         stamp.alias("updated_at"))
     older = fresh.withColumn("title", F.lit("older copy")).withColumn(
@@ -135,8 +139,7 @@ CTE = f"""WITH papers AS (
     [d.source] AS authors, d.source AS journal,
     CAST(DATE '{FIRST_DAY}' + CAST(d.doc_id % 365 AS INT) AS DATE) AS pub_date,
     '10.1/' || d.doc_id AS doi, '/article/' || d.doc_id || '/' AS url,
-    list_filter(regexp_split_to_array(lower(split_part(d.text, chr(10), 1)), '[^a-z]+'),
-                lambda w: length(w) >= 3) AS mesh_terms,
+    list_filter({TAGS}, lambda w: list_contains(regexp_split_to_array(lower(d.text), '[^a-z]+'), w)) AS mesh_terms,
     d.lang AS category,
     CASE WHEN l.quality = 1 AND l.toxic = 0 THEN 'meta-analysis' WHEN l.quality = 1 THEN 'guideline'
          WHEN l.quality = 0 THEN 'RCT' END AS evidence_level,

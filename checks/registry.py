@@ -195,8 +195,7 @@ _INDEX_NEW = """SELECT pmid AS slug, title, substring(abstract, 1, 200) AS descr
   SELECT pmid AS slug, 'Updated ' || title AS title, substring(abstract, 1, 200) AS description, category,
     array_to_string(mesh_terms, ',') AS tags FROM papers WHERE evidence_level = 'meta-analysis'
   UNION ALL SELECT 'b' || item_id, split_part(text, chr(10), 1), substring(text, 1, 200), 'en',
-    array_to_string(list_filter(regexp_split_to_array(lower(split_part(text, chr(10), 1)), '[^a-z]+'),
-      lambda w: length(w) >= 3), ',') FROM benchmark)
+    array_to_string(list_filter({B.TAGS}, lambda w: list_contains(regexp_split_to_array(lower(text), '[^a-z]+'), w)), ',') FROM benchmark)
 SELECT * FROM old WHERE slug NOT IN (SELECT slug FROM fresh) UNION ALL SELECT * FROM fresh""")
 def replace_index_rows(spark, sf):
     index = upsert.index_rows(B.papers(spark, sf, level=True))
@@ -242,11 +241,13 @@ def load_articles(spark, sf):
 @query("""SELECT 'papers' AS table_name, (SELECT count(*) FROM documents) + (SELECT count(*) FROM pages) AS n
   UNION ALL SELECT 'embeddings', (SELECT count(*) FROM embeddings) + (SELECT count(*) FROM pages)
   UNION ALL SELECT 'search_index', (SELECT count(*) FROM documents) + (SELECT count(*) FROM pages)
+  UNION ALL SELECT 'sources', (SELECT count(*) FROM pages)
   UNION ALL SELECT 'rejects', (SELECT count(*) FROM benchmark)""", cte=False)
 def table_counts(spark, sf):
     loaded = _loaded(spark, sf)
     return upsert.table_counts(papers=loaded.papers, embeddings=loaded.embeddings,
-                               search_index=loaded.search_index, rejects=loaded.rejects)
+                               search_index=loaded.search_index, rejects=loaded.rejects,
+                               sources=load.load_sources(B.page_docs(spark, sf), "doc", "page_id", NOW))
 
 
 @query(""", p AS (SELECT pmid, title FROM papers UNION ALL SELECT pmid, NULL FROM papers WHERE evidence_level = 'RCT'),

@@ -39,37 +39,31 @@ def repair_json(df: DataFrame, text_col: str, schema: T.StructType = schemas.GEN
                 default: dict | None = None) -> DataFrame:
     """Add ``parsed`` (struct or NULL) and ``status`` (clean, repaired, default, rejected).
 
+    The text is read as a whole first and the fields are taken from it, so a
+    field of another type than the schema's is NULL and spoils no record.
     ``default`` fills records no attempt could read, for instance
     ``vocab.ERROR_COLUMN``; without it they stay NULL and are marked rejected.
     """
-    marked = T.StructType(schema.fields + [T.StructField("_bad", T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     cleaned = extract_object(F.col(text_col))
+    tried = df.withColumn("_first", F.try_parse_json(cleaned))
+    mended = F.from_json(mend_json(cleaned), "variant", {"mode": "PERMISSIVE", "allowUnquotedControlChars": "true"})
+    tried = tried.withColumn("_second", F.when(~_is_object("_first"), mended))
 
-    def attempt(text, **more):
-        return F.from_json(text, marked, {**options, **more})
-
-    tried = (df.withColumn("_clean", cleaned)
-             .withColumn("_first", attempt(F.col("_clean")))
-             .withColumn("_second", F.when(~_good("_first"), attempt(
-                 mend_json(F.col("_clean")), allowUnquotedControlChars="true"))))
-    names = [f.name for f in schema.fields]
-
-    def pick(source):
-        return F.struct(*(F.col(f"{source}.{n}").alias(n) for n in names))
+    def pick(source: str) -> Column:
+        return F.struct(*(F.try_variant_get(source, f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields))
 
     fallback = (F.from_json(F.lit(_dump(default)), schema) if default is not None
                 else F.lit(None).cast(schema))
+    first, second = _is_object("_first"), _is_object("_second")
     return (tried
-            .withColumn("parsed", F.when(_good("_first"), pick("_first"))
-                        .when(_good("_second"), pick("_second")).otherwise(fallback))
-            .withColumn("status", F.when(_good("_first"), "clean").when(_good("_second"), "repaired")
+            .withColumn("parsed", F.when(first, pick("_first")).when(second, pick("_second")).otherwise(fallback))
+            .withColumn("status", F.when(first, "clean").when(second, "repaired")
                         .otherwise("rejected" if default is None else "default"))
-            .drop("_clean", "_first", "_second"))
+            .drop("_first", "_second"))
 
 
-def _good(name: str) -> Column:
-    return F.col(name).isNotNull() & F.col(f"{name}._bad").isNull()
+def _is_object(name: str) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(name), F.lit("OBJECT")), F.lit(False))
 
 
 def _dump(record: dict) -> str:

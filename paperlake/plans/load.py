@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from paperlake.operators.embed import embed_papers
 from paperlake.operators.upsert import (latest_by_key, replace_index_rows, upsert_embeddings, upsert_papers)
 from paperlake.runtime import cut_lineage
+from paperlake.sources.feeds import flatten_sources
 from paperlake.sources.pages import extract_pages
 
 
+def load_sources(docs: DataFrame, column: str, doc_key: str, now) -> DataFrame:
+    """New content of the sources table: all entries of the nested JSON documents, stamped."""
+    return flatten_sources(docs, column, doc_key).withColumn("created_at", F.lit(now).cast("timestamp"))
+
+
 @dataclass
 class Loaded:
     papers: DataFrame

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperlake import vocab
 from paperlake.functions import text as T
 
-# Named character references that occur in page text.
-_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-             ("&apos;", "'"), ("&amp;", "&")]
+# Names of character references and their text, from the standard library's table of HTML 5.
+NAMED_REFERENCES = {name.rstrip(";"): text for name, text in html5.items()}
+_REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def read_pages(spark: SparkSession, base: str) -> DataFrame:
@@ -26,12 +29,29 @@ def read_pages(spark: SparkSession, base: str) -> DataFrame:
 
 def plain_text(fragment: Column) -> Column:
     """Text of an HTML fragment: tags dropped, references resolved, ends trimmed."""
-    text = F.regexp_replace(fragment, "(?s)<[^>]*>", "")
-    for name, char in _ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
+    text = resolve_references(F.regexp_replace(fragment, "(?s)<[^>]*>", ""))
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def resolve_references(text: Column, named: dict[str, str] | None = None) -> Column:
+    """Named, decimal and hexadecimal character references as characters, each once; unknown ones stay."""
+    table = F.from_json(F.lit(json.dumps(NAMED_REFERENCES if named is None else named)), "map<string,string>")
+
+    def character(code: Column) -> Column:
+        valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def resolved(piece: Column) -> Column:
+        name = F.regexp_extract(piece, _REFERENCE, 1)
+        value = (F.when(F.rlike(name, F.lit("^#[0-9]{1,7}$")), character(F.substring(name, 2, 7).try_cast("long")))
+                 .when(F.rlike(name, F.lit("^#[xX][0-9a-fA-F]{1,6}$")), character(F.conv(F.substring(name, 3, 6), 16, 10).try_cast("long")))
+                 .when(name != "", F.try_element_at(table, name)))
+        return F.coalesce(F.concat(value, F.substring(piece, F.length(name) + 2, F.length(piece))), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
+    return F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(resolved(p))), "")
+
+
 def _with_class(css_class: str) -> str:
     """Pattern for the attributes of an opening tag that has a class among its classes."""
     return rf"\s[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{css_class}(?:\s[^\"']*)?[\"'][^>]*"

@@ -12,6 +12,7 @@ CASES = [
     ('{"title": "\x01a"}', "clean", "a"),
     ('{"title": "a', "rejected", None),
     ("no json at all", "rejected", None),
+    ('{"title": "a", "action_items": "x"}', "clean", "a"),
 ]
 
 

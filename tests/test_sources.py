@@ -193,3 +193,10 @@ def test_stream_intake(spark, tmp_path):
     run_intake(*args).awaitTermination()
     stored = {r["pmid"]: r["title"] for r in tables.read_latest(spark, root, schemas.PAPERS).collect()}
     assert set(stored) == {"11", "12", "13", "22"} and stored["13"] == "Changed"
+
+
+def test_character_references(spark):
+    raw = "a &amp; b &copy;&middot;&#39;&#x2014;&#128512; &amp;lt; &unknown; &nbsp;x & y &#xD800; &#99999999; &eacute"
+    frame = spark.createDataFrame([(raw,), ("plain",), ("",), (None,)], "t string")
+    got = [r["x"] for r in frame.select(pages.resolve_references(F.col("t")).alias("x")).collect()]
+    assert got == ["a & b ©·'—😀 &lt; &unknown; \u00a0x & y &#xD800; &#99999999; &eacute", "plain", "", None]
