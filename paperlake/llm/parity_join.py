@@ -259,20 +259,21 @@ def similar_documents(docs: DataFrame, width: int = WORDS, pivot_rounds: int = P
     # the long columns stay with the nodes: a set has many keys
     members = cut_lineage(shared.join(nodes.select("set_id", "id"), "set_id").select("key", "id"), "members")
     # one document id may hold several sets: they are one node
-    wanted = cut_lineage(members.select(F.col("id").alias("doc_id")).distinct(), "listed")
-    sketches = cut_lineage(nodes.select("id", "n", "bits").join(wanted.withColumnRenamed("doc_id", "id"), "id").distinct(), "sketches")
-    listed = bitmaps.gather(wanted.select(F.xxhash64("doc_id").alias("k")), "k")
-    some = (texts.filter("doc_id is not null and text is not null").withColumn("k", F.xxhash64("doc_id"))
-            .mapInArrow(_listed(listed), "doc_id bigint, text string"))
-    wanted = cut_lineage(some.join(wanted, "doc_id"), "texts")
+    listed = members.select("id").distinct()
+    sketches = cut_lineage(nodes.select("id", "n", "bits").join(listed, "id").distinct(), "sketches")
     own = (named.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).filter("lo <> hi")
            .select("doc_id").join(named, "doc_id").join(nodes.select("set_id", "id"), "set_id")
            .select(F.col("doc_id").alias("a"), F.col("id").alias("b")))
     links = cut_lineage(own, "links")
 
+    named_texts = texts.filter("doc_id is not null and text is not null").withColumn("k", F.xxhash64("doc_id"))
+
     def verify(pairs: DataFrame) -> DataFrame:
-        left = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        right = wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+        # of the texts only those in a pair are shuffled
+        ids = pairs.select(F.xxhash64("a").alias("k")).unionByName(pairs.select(F.xxhash64("b").alias("k")))
+        some = named_texts.mapInArrow(_listed(bitmaps.gather(ids, "k")), "doc_id bigint, text string")
+        left = some.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+        right = some.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
         found = pairs.join(left, "a").join(right, "b").mapInArrow(_verify(width), "a bigint, b bigint")
         return cut_lineage(found.distinct(), "links")
 
