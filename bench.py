@@ -26,6 +26,7 @@ HEADLINE = [
 
 
 def run(spark, name: str, sf: str) -> float:
+    spark.catalog.clearCache()
     start = time.perf_counter()
     QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
