@@ -46,11 +46,11 @@ _NAMES = {name: kind for kind, names in FIRST_NAMES.items() for name in names}
 
 PATTERNS = [
     ("email", r"(?<![\w.+-])[\w.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
-    ("secret", r"(?<![0-9A-Za-z])(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{32,}(?![0-9A-Za-z])"),
+    ("secret", r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[a-fA-F])(?=[0-9a-fA-F]*[0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     ("ip", r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\d]|\.\d)"),
     ("card", r"(?<![\d-])(?:\d[ -]?){12,18}\d(?![\d-])"),
-    ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?|\(\d{2,4}\)[ .-]?|(?=\d{3}[ .-]\d{3}[ .-]\d{4}))\d{2,4}(?:[ .-]\d{2,4}){1,4}(?!\d)"),
+    ("phone", r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?|\(\d{2,4}\)[ .-]?|(?=\d{3}[ .-]\d{3}[ .-]\d{4}))\d{2,4}(?:[ .-](?!(?:\d{1,3}\.){3}\d)\d{2,4}){1,4}(?!\d)"),
     ("name", r"(?<!\w)(?:" + "|".join(sorted(_NAMES, key=lambda n: (-len(n), n))) + r")(?: [^\W\d_a-zа-яα-ω][^\W\d_]+)?(?!\w)"),
 ]
 FOUND = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS))
@@ -77,7 +77,7 @@ def normal_form(kind: str, value: str) -> str:
         return value.lower()
     if kind in ("card", "phone"):
         return re.sub(r"[^\d+]", "", value)
-    return value
+    return value.lower() if kind == "secret" else value
 
 
 class Draw:
@@ -140,7 +140,7 @@ def dress(kind: str, original: str, surrogate: str) -> str:
     if kind in ("card", "phone"):
         digits = iter(surrogate.lstrip("+"))
         return "".join(next(digits, "0") if c.isdigit() else c for c in original)
-    if kind == "email" and original.isupper():
+    if kind in ("email", "secret") and original.isupper():
         return surrogate.upper()
     return surrogate
 

@@ -18,6 +18,8 @@ def test_formats():
     assert S.surrogate_form("phone", "+17435553824", "k", 0).startswith("+1")
     first = S.surrogate_form("name", "Maria", "k", 0)
     assert first in S.FIRST_NAMES["latin", "f"] and S.surrogate_form("name", "Сергей", "k", 0) in S.FIRST_NAMES["cyrillic", "m"]
+    both = [(k, v) for k, _, _, v in S.entities("+1 (826) 555-4081 190.137.223.204 or TOKEN = 9233A8ECF7C5B09FE5949719B6B82BC439E9329B!!")]
+    assert both == [("phone", "+1 (826) 555-4081"), ("ip", "190.137.223.204"), ("secret", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B")]
     assert not list(S.entities("Annas Peterson 12 345 a1b2c3 1.2.3 v1.2.3.4.5"))
 
 
