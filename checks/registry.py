@@ -492,9 +492,7 @@ _HIT = _MATCH.format(B.FOCUS)
   round(count(*) FILTER ({_HIT}) / count(*), 6) AS ratio FROM papers GROUP BY GROUPING SETS ((category), ())""")
 def focus_ratio(spark, sf):
     papers = B.papers(spark, sf)
-    every = trends.focus_ratio(papers, B.FOCUS).withColumn("category", F.lit("all"))
-    each = trends.focus_ratio(papers, B.FOCUS, by_category=True)
-    return each.unionByName(every).withColumn("ratio", F.round("ratio", 6))
+    return trends.focus_ratio_all(papers, B.FOCUS).withColumn("ratio", F.round("ratio", 6))
 
 
 @query(""", c AS (SELECT label AS cluster_id, pmid FROM emb),
@@ -547,11 +545,7 @@ UNION ALL SELECT 'category', pmid, category, score FROM scored
   QUALIFY row_number() OVER (PARTITION BY category ORDER BY score DESC, pmid) <= 3""")
 def score_topn(spark, sf):
     papers = B.papers(spark, sf).select("pmid", "title", "abstract", "category", "pub_date")
-    best = rules.score_topn(papers, AS_OF, 3, **_VOCABULARY)
-    each = rules.score_topn(papers, AS_OF, 3, per="category", **_VOCABULARY)
-    cols = ["pmid", "category", "score"]
-    return best.select(F.lit("overall").alias("scope"), *cols).unionByName(
-        each.select(F.lit("category").alias("scope"), *cols))
+    return rules.score_topn_with_groups(papers, AS_OF, 3, "category", **_VOCABULARY)
 
 
 @query(f""", s AS (SELECT pmid, title, {_TEXT} AS txt, pub_date FROM papers)
@@ -563,6 +557,16 @@ def weekly_candidates(spark, sf):
     return weekly.weekly_candidates(fetched, AS_OF, 3, **_VOCABULARY)
 
 
+@query(rf"""SELECT pmid, CASE category WHEN 'en' THEN 'health' ELSE category END AS category,
+  CASE category WHEN 'en' THEN regexp_replace(title, '</?(?:i|b|u|em|strong|sup|sub|mml:[A-Za-z]+)(?:\s[^<>]*)?/?>', '', 'g') ELSE title END AS title,
+  CASE category WHEN 'en' THEN TIMESTAMP '{NOW}' ELSE updated_at END AS updated_at FROM papers""")
+def weekly_store(spark, sf):
+    """The chain of a drop: article XML to records, category and evidence by rule, upsert."""
+    papers = B.papers(spark, sf)
+    rows = feeds.parse_xml_column(papers.filter("category = 'en'").select(_as_xml().alias("xml")), "xml")
+    return weekly.store_fetched(papers, feeds.parse_paper_xml(rows), NOW).select("pmid", "category", "title", "updated_at")
+
+
 _OPEN = f"""used AS (SELECT DISTINCT unnest(source_pmids) AS pmid FROM gen_log WHERE created_at >= DATE '{AS_OF}' - 28),
 open_papers AS (SELECT *, CASE evidence_level WHEN 'meta-analysis' THEN 3 WHEN 'guideline' THEN 2 WHEN 'RCT' THEN 1 ELSE 0 END AS weight
   FROM papers WHERE pub_date >= DATE '{AS_OF}' - {{days}} AND pmid NOT IN (SELECT pmid FROM used)
@@ -970,3 +974,17 @@ def embed_text(spark, sf):
 @query(", " + _HASHED.format(text=_EMBED_TEXT))
 def embed_papers(spark, sf):
     return _vector_digest(embed.embed_papers(B.papers(spark, sf), now=NOW))
+
+
+SEARCHED = "the und les que from with"
+
+
+@query(", " + _HASHED.format(text=_EMBED_TEXT).partition("SELECT papers.pmid, 384")[0].rstrip() + f""",
+q AS (SELECT ('0x' || substring(md5(w), 1, 8))::BIGINT % 384 AS slot, count(*) AS c FROM
+  (SELECT unnest(string_split('{SEARCHED}', ' ')) AS w) GROUP BY slot),
+found AS (SELECT pmid, round(sum(v * c) / sqrt(sum(v * v)), 9) AS s FROM (SELECT units.pmid, v, coalesce(c, 0) AS c FROM units LEFT JOIN q USING (slot)) GROUP BY pmid)
+SELECT pmid, round(s / sqrt((SELECT sum(c * c) FROM q)), 6) AS similarity FROM found ORDER BY s DESC, pmid LIMIT 10""")
+def text_search(spark, sf):
+    """Papers nearest to a search text, by the vectors of their own texts."""
+    vectors = embed.embed_papers(B.papers(spark, sf), now=NOW)
+    return similar.similar_topk(vectors, embed.embed_query(spark, SEARCHED), 10).withColumn("similarity", F.round("similarity", 6))

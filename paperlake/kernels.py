@@ -18,6 +18,7 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_AT_ONCE = 512
+SLOTS_HELD = 100_000
 
 
 def matrix(column) -> np.ndarray:
@@ -407,6 +408,8 @@ def hash_encoder(dim: int):
 
         def slot(token):
             if token not in slots:
+                if len(slots) >= SLOTS_HELD:  # memory stays bounded, results are the same
+                    slots.clear()
                 slots[token] = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
             return slots[token]
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from paperlake import vocab
 from paperlake.functions import text as T
+from paperlake.runtime import cut_lineage
 
 
 def rule_array(rows, *names: str) -> Column:
@@ -65,6 +66,18 @@ def with_score(papers: DataFrame, as_of, date_col: str = "pub_date", **vocabular
     return papers.withColumn("score", T.relevance_score(T.text_of(), F.col(date_col), as_of, **vocabulary))
 
 
+def score_topn_with_groups(papers: DataFrame, as_of, top_n: int, per: str, **vocabulary) -> DataFrame:
+    """Best papers overall and of every group, told apart by ``scope``, from one pass over the texts.
+
+    The best overall are among the best of their groups, which are written in between.
+    """
+    each = score_topn(papers, as_of, top_n, per, **vocabulary).select("pmid", per, "score")
+    each = cut_lineage(each, "best-of-groups")
+    best = each.orderBy(F.desc("score"), "pmid").limit(top_n)
+    return (best.select(F.lit("overall").alias("scope"), "*")
+            .unionByName(each.select(F.lit(per).alias("scope"), "*")))
+
+
 def score_topn(papers: DataFrame, as_of, top_n: int = 3, per: str | None = None, **vocabulary) -> DataFrame:
     """Best papers overall, or of every group of column ``per``; ties by id."""
     scored = with_score(papers, as_of, **vocabulary)
