@@ -5,7 +5,9 @@ from contextlib import redirect_stdout
 
 import pytest
 
+from checks import bindings as B
 from checks.registry import QUERIES
+from paperlake.operators import rules
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,7 +31,14 @@ def test_no_cross_joins(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["score_topn", "upsert_papers", "replace_index_rows", "cluster_summary"])
+def test_best_of_groups_are_cut_before_the_shuffle(spark):
+    """The query writes this step and takes the overall best from it."""
+    papers = B.papers(spark, SF)
+    plan = rules.score_topn(papers, B.AS_OF, 3, "category")._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and plan.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", ["upsert_papers", "replace_index_rows", "cluster_summary"])
 def test_groups_are_cut_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan_of(spark, name)
 
@@ -56,3 +65,21 @@ def test_filters_reach_the_files(spark):
     assert "EqualTo(lang,fr)" in plan_of(spark, "papers_by_category")
     assert "EqualTo(toxic,1)" in plan_of(spark, "used_ids")
     assert "o_orderdate" in [line for line in plan_of(spark, "category_trend_orders").splitlines() if "PushedFilters" in line][0]
+
+
+@pytest.mark.parametrize("name", ["month_key", "slug", "relevance_score", "fill_template"])
+def test_scalars_join_nothing(spark, name):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert "Join" not in plan_of(spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("name", ["parse_paper_xml", "embed_text", "embed_papers", "focus_ratio"])
+def test_texts_are_not_shuffled(spark, name):
+    plan = plan_of(spark, name)
+    for block in plan.split("\n\n"):
+        if "Exchange" in block.split("\n")[0]:
+            assert "text#" not in block and "abstract#" not in block
