@@ -46,11 +46,20 @@ def op5_surrogates(spark, sf):
     return surrogates.pseudonymise(table(spark, sf, "documents"))
 
 
-def op6_line_runs(spark, sf):
-    cut = line_runs.remove_runs(table(spark, sf, "documents"))
+def _line_runs(spark, sf, min_lines):
+    cut = line_runs.remove_runs(table(spark, sf, "documents"), min_lines)
     return cut.select("doc_id", "n_lines", "n_deleted", "n_runs", F.md5(F.coalesce("kept_text", F.lit(""))).alias("kept_md5"))
 
 
+def op6_line_runs(spark, sf):
+    return _line_runs(spark, sf, line_runs.MIN_LINES)
+
+
+def op6_line_runs_single(spark, sf):
+    """Runs of one line too: every later copy of a line goes."""
+    return _line_runs(spark, sf, 1)
+
+
 def op7_token_file(spark, sf):
     from . import pfor
 
@@ -80,7 +89,9 @@ def op10_temperature_mix(spark, sf):
 
 
 QUERIES = {"op1_host_trust": op1_host_trust, "op2_noisy_or": op2_noisy_or, "op3_risk_rules": op3_risk_rules, "op4_parity_join": op4_parity_join, "op5_surrogates": op5_surrogates, "op6_line_runs": op6_line_runs,
+           "op6_line_runs_single": op6_line_runs_single,
            "op7_token_file": op7_token_file,
            "op8_longest_previous_factors": op8_longest_previous_factors,
            "op9_template_leaks": op9_template_leaks, "op10_temperature_mix": op10_temperature_mix}
-ORACLES: dict[str, str] = {"op1_host_trust": url_graph.oracle(), "op3_risk_rules": risk_rules.oracle(), "op6_line_runs": line_runs.oracle()}
+ORACLES: dict[str, str] = {"op1_host_trust": url_graph.oracle(), "op3_risk_rules": risk_rules.oracle(), "op6_line_runs": line_runs.oracle(),
+                           "op6_line_runs_single": line_runs.oracle(1)}

@@ -1,6 +1,8 @@
 import re
 
+from checks.compare import connect, spark_rows, sql_rows
 from paperlake.llm import line_runs as L
+from paperlake.llm import queries as Q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]")
 
@@ -43,3 +45,18 @@ def test_odd_documents(spark, odd_documents, no_documents):
     assert len(rows) == odd_documents.count() and all(r["n_deleted"] == 0 for r in rows)
     assert {r["n_lines"] for r in rows if r["doc_id"] == 5} == {400} and L.remove_runs(no_documents).count() == 0
     assert sum(r["kept_text"] is None for r in rows) == 2
+
+
+def test_single_lines_go_in_the_query_for_them(spark, tmp_path, prose):
+    passage = prose(77, 55)
+    docs = [(i, "\n".join([prose(10 * i, 9), passage, prose(10 * i + 1, 9)])) for i in range(1, 5)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["n_deleted"], r["n_runs"]) for r in Q.QUERIES["op6_line_runs_single"](spark, str(tmp_path)).collect()}
+    assert got == {1: (0, 0), 2: (1, 1), 3: (1, 1), 4: (1, 1)}
+
+
+def test_single_lines_equal_their_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    names, rows = spark_rows(Q.QUERIES["op6_line_runs_single"](spark, sf))
+    want_names, want = sql_rows(connect(sf), Q.ORACLES["op6_line_runs_single"])
+    assert names == want_names and rows == want
