@@ -9,6 +9,12 @@ quotas; a quota is filled by whole passes over the source and the beginning of
 one more pass. Every pass is its own keyed permutation of the documents, cut
 into blocks: sums over blocks find the block in which the budget ends, and
 only that block is put in order, so no source is sorted as a whole.
+
+Without a budget the mixture is the largest that reaches the target entropy
+from what the sources hold: sources above a level are cut to it, all others
+are whole, and the level is found by the same kind of bisection. Sources far
+below an equal share take no part in the target, and no target takes more than
+a given part of the corpus, so a tiny source limits nothing.
 """
 
 from __future__ import annotations
@@ -22,12 +28,18 @@ from paperlake.runtime import cut_lineage
 
 SEED = 17
 BLOCK_DOCS = 4096
+SHORT = 0.01  # of an equal share of the tokens: smaller sources do not count for the target of a mixture without a budget
+KEEP = 0.5  # of all tokens: a mixture without a budget has no fewer
 _ROUNDS, _CUTS = 6, 16
 
 
 @dataclass(frozen=True)
 class Mixture:
-    """The exponent found, the budget in tokens and (source_key, tokens, weight, passes, last_key) per source."""
+    """The exponent found, the budget in tokens and (source_key, tokens, weight, passes, last_key) per source.
+
+    Without a given budget the exponent is 1 where nothing is cut and else 0,
+    that of sources cut to one level.
+    """
 
     exponent: float
     budget: float
@@ -95,6 +107,40 @@ def find_exponent(totals: DataFrame, entropy: float | None = None, repeats: floa
     return best, held[best][0] if best in held else _trial(totals, [best])[best][0]
 
 
+def find_level(totals: DataFrame, entropy: float, short: float = SHORT, keep: float = KEEP) -> tuple[float, float]:
+    """(level, tokens): the highest level to cut ``limit`` to that leaves the target entropy, and the tokens left by it.
+
+    The entropy is that of the sources with at least ``short`` of an equal
+    share. A level below which less than ``keep`` of the tokens would be left
+    is raised to that. The level is infinite if nothing is to be cut.
+    """
+    import math
+
+    held = totals.filter("tokens > 0")
+    n, total, top = held.agg(F.count(F.lit(1)), F.sum("limit"), F.max("limit")).first()
+    if not n:
+        return math.inf, 0.0
+    counts = F.col("limit") >= short * total / n
+    low, n = held.filter(counts).agg(F.min("limit"), F.count(F.lit(1))).first()
+
+    def tried(levels: list[float]) -> dict[float, tuple[float, bool]]:
+        grid = held.select(counts.alias("counts"), "limit", F.explode(F.array(*map(F.lit, levels))).alias("level")).withColumn(
+            "q", F.least("limit", "level"))
+        rows = grid.groupBy("level").agg(F.sum("q").alias("all"), F.sum(F.when(F.col("counts"), F.col("q"))).alias("s"),
+                                         F.sum(F.when(F.col("counts"), F.col("q") * F.log("q"))).alias("sl")).collect()
+        return {x.level: (x["all"], math.log(x.s) - x.sl / x.s >= entropy * math.log(n) - 1e-12 or x["all"] < keep * total) for x in rows}
+
+    if tried([top])[top][1]:
+        return math.inf, total
+    left = None
+    for _ in range(_ROUNDS):
+        steps = [low * (top / low) ** (i / _CUTS) for i in range(_CUTS)] + [top]
+        seen = tried(sorted(set(steps)))
+        at = max((i for i, c in enumerate(steps) if seen[c][1]), default=0)  # sources of one size have the largest entropy
+        low, top, left = steps[at], steps[min(at + 1, _CUTS)], seen[steps[at]][0]
+    return low, left
+
+
 def measured(docs: DataFrame) -> DataFrame:
     return docs.select(source_key(F.col("source")).alias("source_key"), F.col("doc_id"),
                        F.xxhash64("text").alias("text_hash"), tokens_of(F.col("text")).alias("n"))
@@ -105,22 +151,34 @@ def plan_mixture(docs: DataFrame, entropy: float | None = None, repeats: float |
     """Weights, whole passes and the last permutation key of each source.
 
     Without a ``budget`` it is the largest that repeats no source more often
-    than ``repeats`` (once if not given), which needs a target entropy.
+    than ``repeats`` (once if not given), which needs a target entropy; small
+    sources give all they have and limit no other (see ``find_level``).
     Sources without tokens get the weight 0.
     """
     rows = cut_lineage(measured(docs), "tokens")
     totals = cut_lineage(rows.groupBy("source_key").agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("docs")), "sources")
+    if budget is None:
+        if entropy is None:
+            raise ValueError("give a target entropy or a budget")
+        limited = totals.withColumn("limit", F.col("tokens") * F.lit(float(repeats or 1.0)))
+        level, budget = find_level(limited, entropy)
+        exponent = 1.0 if level == float("inf") else 0.0
+        quota = F.least("limit", F.lit(level))
+        weighted = limited.withColumn("quota", quota).withColumn("weight", F.col("quota") / F.lit(budget or 1.0)).drop("limit")
+        return _planned(rows, weighted, exponent, budget, seed, block_docs)
     exponent, scale = find_exponent(totals, entropy, repeats if entropy is None else None, budget)
     weight = F.when((F.col("tokens") > 0) & F.lit(scale > 0), F.exp(exponent * F.log(F.greatest("tokens", F.lit(1)))) / (scale or 1.0)).otherwise(0.0)
-    weighted = totals.withColumn("weight", weight)
-    if budget is None:
-        budget = weighted.filter("weight > 0").agg(F.min(F.col("tokens") / F.col("weight"))).first()[0]
-        budget = float(budget or 0) * (repeats or 1.0)
-    quota = F.col("weight") * F.lit(float(budget))
+    weighted = totals.withColumn("weight", weight).withColumn("quota", F.col("weight") * F.lit(float(budget)))
+    return _planned(rows, weighted, exponent, budget, seed, block_docs)
+
+
+def _planned(rows: DataFrame, weighted: DataFrame, exponent: float, budget: float, seed: int, block_docs: int) -> Mixture:
+    """Passes and last keys for the quotas of ``weighted`` (source_key, tokens, docs, weight, quota)."""
+    quota = F.col("quota")
     # a hair of tolerance, so that a quota of exactly one pass is one
     passes = F.when(F.col("tokens") > 0, F.floor(quota / F.col("tokens") + 1e-9)).otherwise(0).cast("long")
     planned = cut_lineage(weighted.withColumn("passes", passes).withColumn(
-        "rest", F.greatest(quota - F.col("passes") * F.col("tokens"), F.lit(0.0))), "quotas")
+        "rest", F.greatest(quota - F.col("passes") * F.col("tokens"), F.lit(0.0))).drop("quota"), "quotas")
 
     bits = F.least(F.lit(40), F.ceil(F.log2(F.greatest(F.col("docs") / block_docs, F.lit(1.0))))).cast("int")
     spread = (rows.join(planned.select("source_key", "passes", "rest", bits.alias("bits")).filter("rest > 0"), "source_key")

@@ -54,6 +54,34 @@ def test_repetition_limit(spark):
     assert M.plan_mixture(frame, repeats=1.0, budget=1040.0).exponent == 1.0
 
 
+def thinned(spark, sizes, per_doc=50):
+    """Tokens kept by source when sources of these sizes are thinned."""
+    rows = [(s, min(per_doc, n - at)) for s, n in sizes.items() for at in range(0, n, per_doc)]
+    frame = spark.createDataFrame([(i, "w " * k, s) for i, (s, k) in enumerate(rows)], "doc_id long, text string, source string")
+    kept = M.thin(frame, entropy=0.95).collect()
+    assert len({r["doc_id"] for r in kept}) == len(kept)
+    out = Counter()
+    for r in kept:
+        out[r["source"]] += len(r["text"].split())
+    return out
+
+
+def test_tiny_sources_limit_nothing(spark):
+    equal = {f"s{i}": 1000 for i in range(19)}
+    got = thinned(spark, {**equal, "hot": 9500, "tiny": 2, None: 3})
+    alone = thinned(spark, {**equal, "hot": 9500})
+    assert {s: n for s, n in got.items() if s != "hot"} == {**equal, "tiny": 2, None: 3}
+    assert got["hot"] == alone["hot"] and 1000 < got["hot"] < 9500
+    # the entropy of what is left is the target
+    total = sum(alone.values())
+    assert -sum(n / total * math.log(n / total) for n in alone.values()) / math.log(20) == pytest.approx(0.95, abs=0.003)
+    assert thinned(spark, {"big": 10_000, None: 5}) == {"big": 10_000, None: 5}
+    # no target takes more than half
+    half = thinned(spark, {"big": 10_000, "small": 400})
+    assert half["small"] == 400 and 5200 - 50 <= sum(half.values()) <= 5200
+    assert thinned(spark, equal) == equal
+
+
 def test_odd_documents(spark, odd_documents, no_documents):
     rows = M.mix(odd_documents, entropy=0.5).collect()
     assert Counter((r["doc_id"], r["pass"]) for r in rows) <= Counter({(i, 0): 2 for i in (7, 9, 5, 1, 2, 3, 4, 6, 8, None)})
