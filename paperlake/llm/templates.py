@@ -9,7 +9,8 @@ find verbatim copies even where names lost their capitals). Hits with one
 offset between document and item belong together; their placeholders must be
 filled consistently, each value of the item by one value of the document. A
 question with other numbers or names is thereby found, while a text that only
-shares the form and mixes the values is not.
+shares the form and mixes the values is not. With ``verbatim`` so many tokens
+in plain windows are enough by themselves, whatever the slots beside them say.
 """
 
 from __future__ import annotations
@@ -113,11 +114,12 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, min_literal: int = MIN_LITERAL,
-                   min_tokens: int = MIN_TOKENS) -> DataFrame:
+                   min_tokens: int = MIN_TOKENS, verbatim: int | None = None) -> DataFrame:
     """(doc, h, item_id, n_tokens, changed): items found in rows of ``docs`` (see ``keyed`` for doc and h).
 
     An item is found where windows on one offset cover ``min_tokens`` tokens
-    (or the whole of a shorter item) with consistent slots. ``changed`` says
+    (or the whole of a shorter item) with consistent slots, or where plain
+    windows alone cover ``verbatim`` tokens (if given). ``changed`` says
     that some slot has another value than in the item.
     """
     items = (benchmark.filter("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -134,9 +136,17 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, m
              .groupBy(*place, "s.item_slots").agg(F.count_distinct("s.slots").alias("values"),
                                                   F.max(F.col("s.slots") != F.col("s.item_slots")).alias("changed"))
              .groupBy(*place).agg((F.max("values") > 1).alias("mixed"), F.max("changed").alias("changed")))
-    runs = hits.groupBy(*place).agg(F.count_distinct("item_pos").alias("windows"))
-    found = (runs.join(slots, place, "left").filter("mixed is null or not mixed").join(ends, "item_id")
-             .filter(F.col("windows") >= F.least(F.lit(min_tokens - width + 1), F.col("n_windows"))))
+    # only template windows carry slots
+    runs = hits.groupBy(*place).agg(F.count_distinct("item_pos").alias("windows"),
+                                    F.count_distinct(F.when(F.size("slots") == 0, F.col("item_pos"))).alias("plain"))
+
+    def enough(windows: str, tokens: int):
+        return F.col(windows) >= F.least(F.lit(tokens - width + 1), F.col("n_windows"))
+
+    runs = runs.join(slots, place, "left").join(ends, "item_id").withColumn("whole", F.coalesce(~F.col("mixed"), F.lit(True)))
+    found = F.col("whole") & enough("windows", min_tokens)
+    found = runs.filter(found if verbatim is None else found | enough("plain", verbatim)).withColumn(
+        "windows", F.when(F.col("whole"), F.col("windows")).otherwise(F.col("plain")))
     return found.groupBy("doc", "h", "item_id").agg(
         (F.max("windows") + (width - 1)).alias("n_tokens"), F.max(F.coalesce("changed", F.lit(False))).alias("changed"))
 

@@ -1,3 +1,5 @@
+import corpus_pipeline as C
+from paperlake.llm import queries as Q
 from paperlake.llm import templates as T
 
 ITEM = "A train leaves Berlin at 9 and travels 120 km in 2 hours before Anna boards it; how many km does it cover in 5 hours"
@@ -24,6 +26,20 @@ def test_verbatim_and_reparameterised(spark, prose):
     assert [g[0] for g in judged(spark, [around(inconsistent), around(twice.replace("9", "6")), around(mixed)], [(1, twice)])] == [False, True, False]
 
 
+def test_verbatim_runs_beside_mixed_slots(spark, tmp_path, prose):
+    """One of two equal numbers changed, all else word for word: the query and the pipeline find it."""
+    item = "A train leaves Berlin at 9 and travels on for 9 more of the long winter hours before Anna boards it at the green river"
+    near = item.replace("for 9", "for 4")
+    docs = [(1, f"{prose(1, 30)}. {near}. {prose(2, 30)}"), (2, prose(3, 80))]
+    sf = str(tmp_path)
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(sf + "/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(sf + "/benchmark.parquet")
+    rows = {r["doc_id"]: (r["contaminated"], r["item_id"], r["changed"]) for r in Q.op9_template_leaks(spark, sf).collect()}
+    assert rows == {1: (True, 1, True), 2: (False, None, False)}
+    kept = C.benchmark_leaks(spark, spark.read.parquet(sf + "/documents.parquet"), sf)
+    assert [r["doc_id"] for r in kept.collect()] == [2]
+
+
 def test_short_items_and_ties(spark, prose):
     items = [(3, "one two three"), (4, "one two three"), (5, None), (None, ITEM), (6, "")]
     got = judged(spark, ["One, two three", "zero one two three four", prose(4, 20)], items)
