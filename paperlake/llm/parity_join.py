@@ -323,20 +323,37 @@ def component_table(docs: DataFrame, **kw) -> DataFrame:
                     .when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")))
 
 
-def representatives(docs: DataFrame, **kw) -> DataFrame:
+def representatives(docs: DataFrame, by_text: bool = False, **kw) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component does, with all their columns.
 
-    It is the one with the smallest doc_id, one row of it where the id is
-    repeated with equal texts. Rows without shingles or without doc_id stay.
+    It is the one with the smallest doc_id. Of rows that share a doc_id any
+    one stays, whatever their texts. With ``by_text`` they are one document
+    only if their texts are equal, and of these the row that is smallest as
+    JSON stays; rows without shingles all stay. Rows without doc_id stay.
     The list of dropped ids is joined against the rows, which are shuffled
     only if it is too long to be broadcast.
     """
-    signatures, labels = similar_documents(docs, **kw)
-    placed = signatures.filter("doc_id is not null and n_shingles > 0").join(labels, "set_id")
-    dropped = cut_lineage(placed.filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    rows = docs.join(dropped, "doc_id", "left_anti")
-    again = signatures.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    again = cut_lineage(again, "repeated")
-    if again.isEmpty():
-        return rows
-    return rows.join(again, "doc_id", "left_anti").unionByName(rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    again = docs.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().filter("count > 1")
+    again = cut_lineage(again.select("doc_id"), "repeated")
+    if not by_text or again.isEmpty():
+        signatures, labels = similar_documents(docs, **kw)
+        placed = signatures.filter("doc_id is not null and n_shingles > 0").join(labels, "set_id")
+        dropped = cut_lineage(placed.filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
+        rows = docs.join(dropped, "doc_id", "left_anti")
+        if again.isEmpty():
+            return rows
+        return rows.join(again, "doc_id", "left_anti").unionByName(rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    # a repeated id gives way to a hash of id and text, which names a row by both
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_doc"), "text")
+    marked = row.join(again.select(F.col("doc_id").alias("_doc"), F.lit(True).alias("_again")), "_doc", "left")
+    node = F.when(F.col("_again"), F.xxhash64("_doc", F.coalesce("text", F.lit("")))).otherwise(F.col("_doc"))
+    marked = marked.select("_row", "_doc", "text", "_again", node.alias("_node"))
+    signatures, labels = similar_documents(marked.select(F.col("_node").alias("doc_id"), "text"), **kw)
+    nodes = signatures.filter("doc_id is not null and n_shingles > 0").withColumnRenamed("doc_id", "_node")
+    placed = nodes.join(labels, "set_id").join(marked.select("_node", "_doc").distinct(), "_node").select("_node", "_doc", "component_id")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("_doc", "_node")).alias("first"))
+    dropped = cut_lineage(placed.join(first, "component_id").filter("_node <> first._node").select("_node").distinct(), "copies")
+    same = cut_lineage(nodes.groupBy("_node").count().filter("count > 1").select("_node"), "same")
+    rows = marked.join(dropped, "_node", "left_anti")
+    one = rows.join(same, "_node", "left_semi").groupBy("_node").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return rows.join(same, "_node", "left_anti").select("_row.*").unionByName(one.select("_row.*"))

@@ -82,6 +82,18 @@ def test_odd_documents(spark, odd_documents, no_documents):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 7, 8, 9]
 
 
+def test_representatives_of_repeated_ids(spark, prose):
+    """Rows of one doc_id with different texts are documents of their own."""
+    texts = [prose(500 + i, 40) for i in range(6)]
+    rows = [(5, t, "a") for t in texts] + [(5, texts[0], "b"), (5, None, "a"), (5, "", "a"), (5, "", "a"),
+                                            (3, texts[1] + " extra", "a"), (9, texts[2] + " extra", "a"), (8, prose(600, 40), "a")]
+    for turn in (rows, rows[::-1]):
+        frame = spark.createDataFrame(turn, "doc_id long, text string, source string")
+        kept = sorted(((r["doc_id"], r["text"], r["source"]) for r in P.representatives(frame, by_text=True).collect()), key=str)
+        want = [(5, t, "a") for i, t in enumerate(texts) if i != 1] + [(5, None, "a"), (5, "", "a"), (5, "", "a"), (3, texts[1] + " extra", "a"), (8, prose(600, 40), "a")]
+        assert kept == sorted(want, key=str)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (7, 7), (None, 3)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(edges).collect()}
