@@ -40,6 +40,19 @@ def test_verbatim_runs_beside_mixed_slots(spark, tmp_path, prose):
     assert [r["doc_id"] for r in kept.collect()] == [2]
 
 
+def test_whole_numbers_names_and_openers(spark, prose):
+    around = lambda x: f"{prose(1, 30)}. {x} {prose(2, 30)}"
+    item = "Janet sells fresh eggs at the market for 1,250 a day. Janet eats three of them for breakfast with Anna and bakes muffins for friends."
+    short = item.replace("1,250", "75")
+    long = item.replace("Anna", "Maria Lopez").replace("1,250", "3.5")
+    other = item.replace("Janet", "Hugo")
+    all_three = long.replace("Janet", "Karla Maria")
+    got = judged(spark, [around(x) for x in (item, short, long, other, all_three)] + [prose(5, 90)], [(1, item)])
+    assert got == [(True, 1, False)] + [(True, 1, True)] * 4 + [(False, None, False)]
+    dense = "Janet eats 3 for breakfast at home. Janet sells 16 to 4 friends daily."
+    assert judged(spark, [around(dense.replace("Janet", "Hugo").replace("16", "1,250"))], [(1, dense)]) == [(True, 1, True)]
+
+
 def test_short_items_and_ties(spark, prose):
     items = [(3, "one two three"), (4, "one two three"), (5, None), (None, ITEM), (6, "")]
     got = judged(spark, ["One, two three", "zero one two three four", prose(4, 20)], items)
