@@ -1,4 +1,7 @@
-"""Repeated passages from the suffix order of the texts: longest previous factors.
+"""Repeated passages by hashes of windows, in place of longest previous factors from a suffix order.
+
+No suffix order and no factor lengths are computed; in terms of suffixes, this
+is why the passages are the same:
 
 Texts are byte strings; a suffix stands for the position it starts at, and
 positions are ordered by (doc_id, byte). Suffixes are compared to a depth of
