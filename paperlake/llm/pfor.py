@@ -167,13 +167,28 @@ class WordIds:
         return kept[1]
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        """In one call where each word is one unit of the tokenizer, else word by word."""
+        """In one call: words of ASCII letters, one unit each, are cut by their ends, all others by offsets."""
         texts = [w.decode("utf-8") for w in words]
+        if not all(t.isascii() and t.isalpha() for t in texts):
+            return self._encode_any(texts)
         ids = np.array(self.tokenizer.encode(" ".join(texts), add_special_tokens=False).ids, dtype="<u4")
         ends = np.flatnonzero(self.closing[ids]) + 1 if len(ids) else []
         if len(ends) == len(words) and (not len(ends) or ends[-1] == len(ids)):
             data, cuts = ids.tobytes(), (4 * ends).tolist() if len(ends) else []
             return [data[i:j] for i, j in zip([0, *cuts], cuts)]
+        return self._encode_each(texts)
+
+    def _encode_any(self, texts: list[str]) -> list[bytes]:
+        """A joint call cut by the word that each id begins in; a word may have no ids or several ends."""
+        joint = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        stops = np.cumsum([len(t) + 1 for t in texts])
+        at = np.searchsorted(stops, np.array([start for start, _ in joint.offsets], dtype=np.int64), side="right")
+        if (at[1:] < at[:-1]).any():
+            return self._encode_each(texts)
+        data, cuts = np.array(joint.ids, dtype="<u4").tobytes(), (4 * np.searchsorted(at, np.arange(len(texts) + 1))).tolist()
+        return [data[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def _encode_each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 

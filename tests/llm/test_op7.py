@@ -61,3 +61,10 @@ def test_files(spark, odd_documents, no_documents, prose):
     assert [r["start"] for r in ordered] == starts[:-1].tolist()
     assert all(r["n_tokens"] == 1 for r in rows if r["doc_id"] in (2, 3, 4))
     assert pfor.token_file(no_documents, tokenizer_path()).count() == 0
+
+
+def test_words_without_ids_beside_words_of_two_units():
+    words = pfor.WordIds(tokenizer_path())
+    for group in (["\u00a0", "3d"], ["3d", "\u3000"], ["a1b2", "\u2028", "\u00a0", "x-y", "\u6f22\u5b57", "caf\u00e9", "..."]):
+        each = [np.array(words.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes() for w in group]
+        assert words._encode([w.encode() for w in group]) == each
