@@ -88,10 +88,29 @@ def op10_temperature_mix(spark, sf):
     return mixing.mix(docs, entropy=0.99, budget=float(total or 0))
 
 
+def op11_language_tree(spark, sf):
+    from . import language_tree
+
+    return language_tree.judge(table(spark, sf, "documents"))
+
+
+def op12_turn_trie(spark, sf):
+    from . import turn_trie
+
+    return turn_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+def op13_whitening(spark, sf):
+    from . import whitening
+
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 QUERIES = {"op1_host_trust": op1_host_trust, "op2_noisy_or": op2_noisy_or, "op3_risk_rules": op3_risk_rules, "op4_parity_join": op4_parity_join, "op5_surrogates": op5_surrogates, "op6_line_runs": op6_line_runs,
            "op6_line_runs_single": op6_line_runs_single,
            "op7_token_file": op7_token_file,
            "op8_longest_previous_factors": op8_longest_previous_factors,
-           "op9_template_leaks": op9_template_leaks, "op10_temperature_mix": op10_temperature_mix}
+           "op9_template_leaks": op9_template_leaks, "op10_temperature_mix": op10_temperature_mix,
+           "op11_language_tree": op11_language_tree, "op12_turn_trie": op12_turn_trie, "op13_whitening": op13_whitening}
 ORACLES: dict[str, str] = {"op1_host_trust": url_graph.oracle(), "op3_risk_rules": risk_rules.oracle(), "op6_line_runs": line_runs.oracle(),
                            "op6_line_runs_single": line_runs.oracle(1)}
