@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ from checks import bindings as B
 from checks.bindings import AS_OF, CTE, NOW
 from paperlake import kernels
 from paperlake.functions import jsontext, text, vectors
-from paperlake.operators import cluster, embed, lookup, pairs, rules, similar, trends, upsert
+from paperlake.operators import cluster, embed, ivf, lookup, pairs, rules, similar, trends, upsert
 from paperlake.plans import load, theme, weekly
 from paperlake.runtime import work_dir
 from paperlake.sources import feeds, pages, tables
@@ -886,6 +887,64 @@ def ann_recall(spark, sf):
     return similar.recall(similar.ann_topk(vectors, **ANN).filter(asked), exact)
 
 
+# an index whose centroids and codewords SQL computes too: the centroids of the labels, and what the vectors of
+# the ids below 16 leave of their own centroid, in eight parts
+INDEX = {"probes": 6, "size": 30}
+_INDEX_SQL = f""", {_CENTROIDS},
+u AS (SELECT pmid, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS v FROM (SELECT pmid, CAST(embedding AS DOUBLE[]) AS e FROM emb)),
+own AS (SELECT pmid, arg_min(cid, {{d: d, cid: cid}}) AS cid FROM (SELECT pmid, cid, list_distance(v, centroid) AS d FROM u, cen) GROUP BY pmid),
+rest AS (SELECT pmid, cid, v, centroid, list_transform(range(1, 65), lambda i: v[i] - centroid[i]) AS r FROM u JOIN own USING (pmid) JOIN cen USING (cid)),
+parts AS (SELECT pmid, m, r[8 * m + 1:8 * m + 8] AS w FROM rest, range(8) t(m)),
+book AS (SELECT m, CAST(pmid AS INTEGER) AS j, w FROM parts WHERE CAST(pmid AS BIGINT) < 16),
+code AS (SELECT p.pmid, p.m, arg_min(b.j, {{d: list_distance(p.w, b.w), j: b.j}}) AS j FROM parts p JOIN book b ON p.m = b.m GROUP BY p.pmid, p.m),
+words AS (SELECT pmid, flatten(list(w ORDER BY m)) AS rr FROM code JOIN book USING (m, j) GROUP BY pmid),
+hat AS (SELECT pmid, cid, list_transform(range(1, 65), lambda i: centroid[i] + rr[i]) AS x FROM rest JOIN words USING (pmid)),
+probe AS (SELECT pmid, v, cid FROM u, cen QUALIFY row_number() OVER (PARTITION BY pmid ORDER BY round(list_dot_product(v, centroid), 9) DESC, cid) <= {INDEX["probes"]}),
+short AS (SELECT q.pmid AS p, h.pmid AS o FROM probe q JOIN hat h ON q.cid = h.cid
+  QUALIFY row_number() OVER (PARTITION BY q.pmid ORDER BY h.pmid = q.pmid, round(list_dot_product(q.v, h.x), 9) DESC, h.pmid) <= {INDEX["size"]})"""
+
+
+def _given_index(spark, sf):
+    """The index of the embeddings with the centroids and codewords of ``_INDEX_SQL``."""
+    table, rows = B.table(spark, sf, "embeddings"), B.embeddings(spark, sf)
+    coarse = np.array([r["centroid"] for r in cluster.centroids_by(table, "label").orderBy("cid").collect()])
+    first = kernels.matrix(table.filter("vec_id < 16").orderBy("vec_id").select("embedding").toArrow().column("embedding"))
+    rest = first - coarse[kernels.nearest_rows(first, coarse)]
+    return ivf.build(rows, ivf.Model(coarse, rest.reshape(len(first), 8, -1).transpose(1, 0, 2)))
+
+
+@query(_INDEX_SQL + f""" SELECT a.pmid, CAST(row_number() OVER w AS INTEGER) AS rank, b.pmid AS related,
+  round({_COS.format(a="a.embedding", b="b.embedding")}, 6) + 0.0 AS similarity
+  FROM short JOIN emb a ON a.pmid = p JOIN emb b ON b.pmid = o WHERE p <> o
+  WINDOW w AS (PARTITION BY a.pmid ORDER BY {_COS.format(a="a.embedding", b="b.embedding")} DESC, b.pmid)
+  QUALIFY row_number() OVER w <= 5""")
+def ann_index_topk(spark, sf):
+    return ivf.index_topk(_given_index(spark, sf), 5, **INDEX).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(_INDEX_SQL + f""" SELECT b.pmid, round({_COS.format(a="a.embedding", b="b.embedding")}, 6) AS similarity
+  FROM (SELECT h.pmid FROM probe q JOIN hat h ON q.cid = h.cid WHERE q.pmid = '0' ORDER BY round(list_dot_product(q.v, h.x), 9) DESC, h.pmid LIMIT {INDEX["size"]}) s
+  JOIN emb b ON b.pmid = s.pmid, (SELECT embedding FROM emb WHERE pmid = '0') a
+  ORDER BY {_COS.format(a="a.embedding", b="b.embedding")} DESC, b.pmid LIMIT 10""")
+def ann_index_nearest(spark, sf):
+    """Nearest to one stored paper, reading only the probed lists."""
+    vector = B.embeddings(spark, sf).filter("pmid = '0'").agg(F.max("embedding")).first()[0]
+    return ivf.nearest(_given_index(spark, sf), vector, 10, **INDEX).withColumn("similarity", F.round("similarity", 6))
+
+
+TRAINED = {"probes": 24, "size": 40}
+
+
+@query()
+def ann_index_recall(spark, sf):
+    """Recall of a trained index for the ids divisible by 100, and the shares of all pairs it decodes and compares in full."""
+    rows = B.embeddings(spark, sf)
+    index = ivf.build(rows, ivf.train(rows, lists=32))
+    asked = F.col("pmid").cast("long") % 100 == 0
+    found = similar.recall(ivf.index_topk(index, 5, asked=asked, **TRAINED), similar.related_all(rows).filter(asked))
+    return found.crossJoin(F.broadcast(ivf.index_costs(index, asked=asked, **TRAINED)))
+
+
 @query()
 def cluster_papers(spark, sf):
     return cluster.cluster_papers(B.embeddings(spark, sf))

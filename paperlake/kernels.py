@@ -421,3 +421,139 @@ def hash_encoder(dim: int):
         return encode
 
     return factory
+
+
+# ---- inverted lists with product codes ---------------------------------------
+
+def nearest_rows(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Closest centre of every point, the lowest of equally close ones."""
+    return ((centres * centres).sum(axis=1) - 2 * points @ centres.T).argmin(axis=1)
+
+
+def product_codes(unit: np.ndarray, coarse: np.ndarray, books: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """List of every row and the codeword of each part of its residual."""
+    owner = nearest_rows(unit, coarse)
+    rest = (unit - coarse[owner]).reshape(len(unit), len(books), -1)
+    return owner, np.stack([nearest_rows(rest[:, m], book) for m, book in enumerate(books)], axis=1).astype(np.uint8)
+
+
+def decoded(owner: np.ndarray, codes: np.ndarray, coarse: np.ndarray, books: np.ndarray) -> np.ndarray:
+    return coarse[owner] + np.concatenate([book[codes[:, m]] for m, book in enumerate(books)], axis=1)
+
+
+def inverted_rows(coarse: np.ndarray, books: np.ndarray):
+    """Adds ``list`` and ``codes`` (one byte per part) to rows with a ``vec`` column."""
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                owner, codes = product_codes(matrix(part.column("vec")), coarse, books)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(owner.astype(np.int32)), pa.array([c.tobytes() for c in codes], type=pa.binary())],
+                    names=[*part.schema.names, "list", "codes"])
+
+    return run
+
+
+def probed_lists(unit: np.ndarray, coarse: np.ndarray, probes: int) -> np.ndarray:
+    """The ``probes`` lists of largest product with each row, as a mask (rows, lists)."""
+    near = np.argsort(-np.round(unit @ coarse.T, 9), axis=1, kind="stable")[:, :probes]
+    out = np.zeros((len(unit), len(coarse)), dtype=bool)
+    np.put_along_axis(out, near, True, axis=1)
+    return out
+
+
+def shard_visits(coarse: np.ndarray, probes: int, shards: int):
+    """One row per query and shard (list modulo ``shards``) that holds one of its probed lists."""
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                mask = probed_lists(matrix(part.column("vec")), coarse, probes)
+                there = np.stack([mask[:, s::shards].any(axis=1) for s in range(shards)], axis=1)
+                row, shard = np.nonzero(there)
+                picked = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(picked), part.column("vec").take(picked), pa.array(shard.astype(np.int32))],
+                    names=["id", "vec", "shard"])
+
+    return run
+
+
+def list_visits(coarse: np.ndarray, probes: int):
+    """How often each list is probed by the rows of a task."""
+
+    def run(batches):
+        total = np.zeros(len(coarse), dtype=np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                total += probed_lists(matrix(batch.slice(start, ROWS_AT_ONCE).column("vec")), coarse, probes).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(coarse), dtype=np.int32)), pa.array(total)], names=["list", "visits"])
+
+    return run
+
+
+def shortlists(coarse: np.ndarray, books: np.ndarray, probes: int, size: int):
+    """Per cell: the ``size`` rows of probed lists with the largest approximate product, for every query (side 0).
+
+    Products with decoded vectors, rounded to nine decimals so that the order
+    does not depend on the order of summation; equal ones go by id. A row is
+    not listed for itself.
+    """
+
+    def run(batches):
+        for table in cell_stream(batches):
+            side = table.column("side").to_numpy()
+            left, right = table.filter(pa.array(side == 0)), table.filter(pa.array(side == 1))
+            if not left.num_rows or not right.num_rows:
+                continue
+            right = right.sort_by("id")
+            others = np.array(right.column("id").to_pylist(), dtype=object)
+            owner = right.column("list").to_numpy()
+            codes = np.frombuffer(b"".join(right.column("codes").to_pylist()), dtype=np.uint8).reshape(len(owner), -1)
+            rough = decoded(owner, codes, coarse, books)
+            ids = np.array(left.column("id").to_pylist(), dtype=object)
+            place = np.searchsorted(others, ids)
+            unit = matrix(left.column("vec"))
+            for start in range(0, len(ids), ROWS_AT_ONCE):
+                part = slice(start, start + ROWS_AT_ONCE)
+                near = np.round(unit[part] @ rough.T, 9)
+                near[~probed_lists(unit[part], coarse, probes)[:, owner]] = -np.inf
+                own = np.flatnonzero(place[part] < len(others))
+                own = own[others[place[part][own]] == ids[part][own]]
+                near[own, place[part][own]] = -np.inf
+                row, col = best_of_rows(near, size)
+                yield hits(ids[part][row], others[col], near[row, col])
+
+    return run
+
+
+def shortlist_of(query: np.ndarray, coarse: np.ndarray, books: np.ndarray, size: int):
+    """The task's ``size`` rows with the largest approximate product with one vector."""
+    unit = query / np.linalg.norm(query)
+
+    def run(batches):
+        kept = []
+        for batch in batches:
+            if batch.num_rows:
+                codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
+                near = np.round(decoded(batch.column("list").to_numpy(), codes, coarse, books) @ unit, 9)
+                kept = sorted([*kept, *zip((-near).tolist(), batch.column("id").to_pylist())])[:size]
+        if kept:
+            yield pa.RecordBatch.from_arrays([pa.array([k[1] for k in kept]), pa.array([-k[0] for k in kept])], names=["id", "similarity"])
+
+    return run
+
+
+def lloyd(points: np.ndarray, count: int, rounds: int, seed: int) -> np.ndarray:
+    """Centres of ``points`` by k-means, begun with a random choice; empty clusters keep their centre."""
+    rng = np.random.default_rng(seed)
+    centres = points[np.sort(rng.choice(len(points), min(count, len(points)), replace=False))].copy()
+    for _ in range(rounds):
+        owner = nearest_rows(points, centres)
+        size = np.bincount(owner, minlength=len(centres))
+        for j in np.flatnonzero(size):
+            centres[j] = points[owner == j].mean(axis=0)
+    return centres

@@ -56,14 +56,18 @@ def recommendations(papers: DataFrame, embeddings: DataFrame, pmid: str, top_k:
 
 # ---- every row -------------------------------------------------------------
 
+def vector_key() -> Column:
+    """Two hashes that stand for a vector."""
+    return F.struct(F.xxhash64("embedding").alias("a"), F.xxhash64(F.lit(1), "embedding").alias("b"))
+
+
 def _vector_groups(embeddings: DataFrame, keep: int):
     """Distinct vectors with their ``keep`` lowest ids, and the vector key of every id.
 
     Copies of a vector, however many, are searched once.
     """
     keyed = embeddings.filter(F.exists("embedding", lambda x: x != 0)).select(
-        "pmid", "embedding",
-        F.struct(F.xxhash64("embedding").alias("a"), F.xxhash64(F.lit(1), "embedding").alias("b")).alias("vkey"))
+        "pmid", "embedding", vector_key().alias("vkey"))
     lowest = F.row_number().over(Window.partitionBy("vkey").orderBy("pmid"))
     groups = (keyed.withColumn("_rn", lowest).filter(F.col("_rn") <= keep)
               .groupBy("vkey").agg(F.min("pmid").alias("id"), F.min_by("embedding", "pmid").alias("vec"),
