@@ -850,8 +850,8 @@ def related_all(spark, sf):
   WINDOW w AS (PARTITION BY a.pmid ORDER BY {_COS.format(a="a.embedding", b="b.embedding")} DESC, b.pmid)
   QUALIFY row_number() OVER w <= 5""")
 def related_all_pivots(spark, sf):
-    """The same by the pivot path, which large tables take."""
-    return similar.related_all(B.embeddings(spark, sf), block_rows=128, plain_blocks=0).withColumn(
+    """The same with small blocks, hence many pivots."""
+    return similar.related_all(B.embeddings(spark, sf), block_rows=128).withColumn(
         "similarity", F.round("similarity", 6))
 
 

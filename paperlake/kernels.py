@@ -101,30 +101,110 @@ def neighbours(k: int):
     return run
 
 
-def neighbours_of_left(k: int):
-    """Per cell: the k nearest side-1 rows of every side-0 row."""
+TILE_ROWS = 128
+
+
+def principal_axes(sample: np.ndarray) -> np.ndarray:
+    """Orthogonal axes of the sample, one a column, those of most energy first."""
+    return np.linalg.eigh(sample.T @ sample)[1][:, ::-1]
+
+
+class Turned:
+    """Unit vectors along given axes: the leading coordinates and the length of what they leave."""
+
+    def __init__(self, ids, unit: np.ndarray, axes: np.ndarray, lead: int):
+        turned = unit @ axes
+        # alike rows side by side, so that a tile of rows rules out the same others
+        self.order = order = np.lexsort((ids, turned[:, 0]))
+        self.ids, self.full, self.head = ids[order], turned[order], turned[order, :lead]
+        self.tail = np.sqrt(np.maximum(0.0, 1.0 - (self.head * self.head).sum(axis=1)))
+        self.rank = np.argsort(np.argsort(self.ids))
+
+    def __len__(self):
+        return len(self.ids)
+
+
+def bounded_search(left: Turned, right: Turned, k: int, bars: np.ndarray | None):
+    """(rows of ``left``, rows of ``right``, similarity, full products) tile by tile: the k nearest right rows of every left row.
+
+    A product is at most that of the leading coordinates plus that of the
+    remaining lengths. Right rows that stay below the bar of every row of a
+    tile by this bound are not compared in full. ``bars`` are similarities
+    that count only if reached; without them the two are the same rows, and a
+    tile's own rows give the bar.
+    """
+    own = bars is None
+    slack = 1e-9  # above the rounding of the bound
+    for start in range(0, len(left), TILE_ROWS):
+        tile = np.arange(start, min(start + TILE_ROWS, len(left)))
+        if own:
+            inside = left.full[tile] @ left.full[tile].T
+            inside[np.arange(len(tile)), np.arange(len(tile))] = -np.inf
+            bar = np.partition(inside, len(tile) - k, axis=1)[:, len(tile) - k] if len(tile) > k else np.full(len(tile), -np.inf)
+        else:
+            bar = bars[tile]
+        most = left.head[tile] @ right.head.T + left.tail[tile][:, None] * right.tail[None, :]
+        kept = np.flatnonzero((most >= bar[:, None] - slack).any(axis=0))
+        kept = kept[np.argsort(right.rank[kept])]
+        if not len(kept):
+            continue
+        sims = left.full[tile] @ right.full[kept].T
+        if own:
+            at = np.flatnonzero(np.isin(kept, tile))
+            sims[kept[at] - start, at] = -np.inf
+        sims[np.isnan(sims) | (sims < bar[:, None] - slack)] = -np.inf
+        row, col = best_of_rows(sims, k)
+        yield tile[row], kept[col], sims[row, col], len(tile) * len(kept)
+
+
+def cell_searches(k: int, axes: np.ndarray, lead: int, one_way: bool):
+    """Searches of every cell: the right rows (side 1) of the left ones with their ``bar`` if ``one_way``, else both ways."""
 
     def run(batches):
         for table in cell_stream(batches):
-            side = table.column("side").to_numpy()
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            if not len(left) or not len(right):
-                continue
             ids = np.array(table.column("id").to_pylist(), dtype=object)
-            right = right[np.argsort(ids[right])]
             unit = matrix(table.column("vec"))
-            for start in range(0, len(left), ROWS_AT_ONCE):
-                part = left[start:start + ROWS_AT_ONCE]
-                row, col, sims = nearest(unit[part], unit[right], k)
-                yield hits(ids[part][row], ids[right][col], sims)
+            if one_way:
+                side = table.column("side").to_numpy()
+                first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+                bars = table.column("bar").to_numpy()
+            else:
+                first, second = sides(table)
+                bars = np.full(len(ids), -1.0)
+            if not len(first) or (second is not None and not len(second)):
+                continue
+            left = Turned(ids[first], unit[first], axes, lead)
+            if second is None:
+                yield left, left, bounded_search(left, left, k, None)
+                continue
+            right = Turned(ids[second], unit[second], axes, lead)
+            yield left, right, bounded_search(left, right, k, bars[first][left.order])
+            if not one_way:
+                yield right, left, bounded_search(right, left, k, bars[second][right.order])
+
+    return run
+
+
+def bounded_neighbours(k: int, axes: np.ndarray, lead: int, one_way: bool = False):
+    """Per cell: the k nearest rows of every row, as (id, neighbour, similarity), see ``bounded_search``."""
+
+    def run(batches):
+        for left, right, found in cell_searches(k, axes, lead, one_way)(batches):
+            for row, col, sims, _ in found:
+                if len(row):
+                    yield hits(left.ids[row], right.ids[col], sims)
 
     return run
 
 
-def nearest(a, b, k):
-    sims = a @ b.T
-    row, col = best_of_rows(sims, k)
-    return row, col, sims[row, col]
+def bounded_costs(k: int, axes: np.ndarray, lead: int, one_way: bool = False):
+    """The task's number of full products."""
+
+    def run(batches):
+        total = sum(n for _, _, found in cell_searches(k, axes, lead, one_way)(batches) for *_, n in found)
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], names=["compared"])
+
+    return run
 
 
 def hits(ids, others, sims):
@@ -183,8 +263,8 @@ def visits(pivots: np.ndarray, radii: np.ndarray):
                     picked = pa.array(row)
                     yield pa.RecordBatch.from_arrays(
                         [part.column("id").take(picked), part.column("vec").take(picked),
-                         pa.array(ball.astype(np.int32))],
-                        names=["id", "vec", "ball"])
+                         pa.array(ball.astype(np.int32)), pa.array(np.cos(part.column("bound").to_numpy())[row])],
+                        names=["id", "vec", "ball", "bar"])
 
     return run
 

@@ -11,8 +11,9 @@ from paperlake.functions.vectors import cosine, literal_vector
 from paperlake.operators.cells import BLOCK_ROWS, to_cells, to_rect_cells
 from paperlake.runtime import cut_lineage, small_side
 
-PLAIN_BLOCKS = 4
-MAX_PIVOTS = 8192
+LEAD = 16
+MAX_PIVOTS = 2048
+AXES_SAMPLE = 1024
 SAMPLE_PER_PIVOT = 4
 PIVOTS_PER_BLOCK = 4
 
@@ -105,29 +106,47 @@ def _expand(groups: DataFrame, members: DataFrame, near: DataFrame, top_k: int)
                     F.col("_hit.similarity").alias("similarity")))
 
 
-def related_all(embeddings: DataFrame, top_k: int = 5, block_rows: int = BLOCK_ROWS,
-                plain_blocks: int = PLAIN_BLOCKS) -> DataFrame:
+def related_all(embeddings: DataFrame, top_k: int = 5, block_rows: int = BLOCK_ROWS, lead: int = LEAD) -> DataFrame:
     """Exact top-k of every paper.
 
-    A few blocks of distinct vectors are compared block by block; the tasks
-    emit only each row's local top-k. Above ``plain_blocks`` blocks, vectors are
-    grouped around pivots, see :func:`_near_by_pivots`; the result is the same.
-    Exact search of vectors without structure is quadratic either way: keep
-    it for bounded tables, and use :func:`ann_topk` for large ones.
+    Distinct vectors are grouped around pivots and searched within their own
+    group first; other groups are visited only where the triangle inequality
+    leaves a chance (:func:`_balls`). Where two blocks of rows meet, vectors are
+    turned to the principal axes, and the ``lead`` leading coordinates with the
+    lengths of the rest rule out rows before they are compared in full
+    (:func:`kernels.bounded_search`). The same steps run at every size. Exact
+    search of vectors without structure is quadratic either way: keep it for
+    bounded tables, and use :mod:`paperlake.operators.ivf` for large ones.
     """
     groups, members = _vector_groups(embeddings, top_k + 1)
-    vectors = groups.select("id", "vec")
-    count = vectors.count()
-    if count <= plain_blocks * block_rows:
-        near = to_cells(vectors, [], "id", block_rows).mapInArrow(kernels.neighbours(top_k), _PAIR)
-    else:
-        pivots = min(MAX_PIVOTS, PIVOTS_PER_BLOCK * -(-count // block_rows))
-        near = _near_by_pivots(vectors, count, top_k, pivots, block_rows)
+    own, axes, visits = _balls(groups.select("id", "vec"), top_k, block_rows, lead)
+    near = own.mapInArrow(kernels.bounded_neighbours(top_k, axes, lead), _PAIR)
+    if visits:
+        first = _best_of_own(near, top_k)
+        near = first.drop("rn").unionByName(visits(first).mapInArrow(kernels.bounded_neighbours(top_k, axes, lead, one_way=True), _PAIR))
     return _expand(groups, members, near, top_k)
 
 
-def _near_by_pivots(vectors: DataFrame, count: int, top_k: int, pivots: int, block_rows: int) -> DataFrame:
-    """Exact neighbours with pruning by angles, after the usual pivot-based kNN join.
+def related_costs(embeddings: DataFrame, top_k: int = 5, block_rows: int = BLOCK_ROWS, lead: int = LEAD) -> DataFrame:
+    """One row: the number of distinct vectors, of their ordered pairs, and of full products that ``related_all`` takes."""
+    groups, _ = _vector_groups(embeddings, top_k + 1)
+    own, axes, visits = _balls(groups.select("id", "vec"), top_k, block_rows, lead)
+    costs = own.mapInArrow(kernels.bounded_costs(top_k, axes, lead), "compared bigint")
+    if visits:
+        first = _best_of_own(own.mapInArrow(kernels.bounded_neighbours(top_k, axes, lead), _PAIR), top_k)
+        costs = costs.unionByName(visits(first).mapInArrow(kernels.bounded_costs(top_k, axes, lead, one_way=True), "compared bigint"))
+    n = groups.agg(F.count(F.lit(1)).alias("n_vectors"))
+    return (costs.agg(F.coalesce(F.sum("compared"), F.lit(0)).alias("compared"))
+            .select(n.scalar().alias("n_vectors"), "compared").withColumn("n_pairs", F.col("n_vectors") * (F.col("n_vectors") - 1)))
+
+
+def _best_of_own(near: DataFrame, top_k: int) -> DataFrame:
+    best = Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour")
+    return cut_lineage(near.withColumn("rn", F.row_number().over(best)).filter(F.col("rn") <= top_k), "near-own")
+
+
+def _balls(vectors: DataFrame, top_k: int, block_rows: int, lead: int):
+    """Cells of the balls around pivots, principal axes, and a function from first hits to the cells still to visit.
 
     Every vector joins the ball of its closest pivot and is searched there
     first. Its k-th angle so far bounds the search: another ball is visited only
@@ -135,31 +154,37 @@ def _near_by_pivots(vectors: DataFrame, count: int, top_k: int, pivots: int, blo
     are cut into blocks, so neither a crowded ball nor a popular one is met
     whole by a task.
     """
-    # on the driver: a sample of about SAMPLE_PER_PIVOT * MAX_PIVOTS rows at most, pivots and radii.
+    count = vectors.count()
+    pivots = min(MAX_PIVOTS, max(1, PIVOTS_PER_BLOCK * (count // block_rows)))
+    # on the driver: a sample of about SAMPLE_PER_PIVOT * MAX_PIVOTS rows at most, axes, pivots and radii.
     # It is drawn by id hash, each task keeping its share; it only steers the pruning.
-    share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE_PER_PIVOT * pivots / count))
+    wanted = max(AXES_SAMPLE, SAMPLE_PER_PIVOT * pivots)
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, wanted / max(1, count)))
     sample = vectors.filter(share).select("vec").toArrow()
     if not sample.num_rows:
         sample = vectors.select("vec").limit(pivots).toArrow()
-    centres = kernels.spread_out(kernels.matrix(sample.column("vec")), pivots)
+    points = kernels.matrix(sample.column("vec")) if sample.num_rows else np.ones((1, 1))
+    axes = kernels.principal_axes(points)
+    if pivots == 1:  # one ball holds all rows, and nothing is left to visit
+        return to_cells(vectors, [], "id", block_rows), axes, None
+    centres = kernels.spread_out(points, pivots)
     placed = cut_lineage(vectors.mapInArrow(kernels.nearest_pivot(centres),
                                             "id string, vec array<float>, ball int, angle double"), "balls")
     radii = np.full(len(centres), -1.0)
     for row in placed.groupBy("ball").agg(F.max("angle").alias("radius")).toLocalIterator():
         radii[row["ball"]] = row["radius"]
 
-    own = to_cells(placed.select("id", "vec", "ball"), ["ball"], "id", block_rows)
-    best = Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour")
-    near = cut_lineage(own.mapInArrow(kernels.neighbours(top_k), _PAIR)
-                       .withColumn("rn", F.row_number().over(best)).filter(F.col("rn") <= top_k), "near-own")
-    reached = near.filter(F.col("rn") == top_k).select("id", F.acos(F.greatest(F.lit(-1.0), F.least(
-        F.lit(1.0), "similarity"))).alias("bound"))
-    asking = (placed.join(reached, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(np.pi)))
-              .select("id", "vec", "ball", "bound"))
-    # used twice, counted and placed; repeating the angles is cheaper than storing every visit's vector
-    visiting = asking.mapInArrow(kernels.visits(centres, radii), "id string, vec array<float>, ball int")
-    cells = to_rect_cells(visiting, placed.select("id", "vec", "ball"), "ball", "id", block_rows)
-    return near.drop("rn").unionByName(cells.mapInArrow(kernels.neighbours_of_left(top_k), _PAIR))
+    def visits(near: DataFrame) -> DataFrame:
+        reached = near.filter(F.col("rn") == top_k).select("id", F.acos(F.greatest(F.lit(-1.0), F.least(
+            F.lit(1.0), "similarity"))).alias("bound"))
+        asking = (placed.join(reached, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(np.pi)))
+                  .select("id", "vec", "ball", "bound"))
+        # used twice, counted and placed; repeating the angles is cheaper than storing every visit's vector
+        visiting = asking.mapInArrow(kernels.visits(centres, radii), "id string, vec array<float>, ball int, bar double")
+        there = placed.select("id", "vec", "ball", F.lit(None).cast("double").alias("bar"))
+        return to_rect_cells(visiting, there, "ball", "id", block_rows)
+
+    return to_cells(placed.select("id", "vec", "ball"), ["ball"], "id", block_rows), axes, visits
 
 
 def hash_planes(dim: int, tables: int, bits: int, seed: int = 42) -> np.ndarray:
