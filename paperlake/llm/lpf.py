@@ -45,7 +45,7 @@ GRAM = 96
 _NO_ID = -(1 << 63)
 _U = np.uint64
 
-RUNS = "doc bigint, h int, start int, n int, anchor bigint, name bigint"
+RUNS = "doc bigint, h bigint, start int, n int, anchor bigint, name bigint"
 
 
 def anchored_runs(data, offsets, powers, length: int, gram: int):
@@ -117,7 +117,7 @@ def _opened(length: int, bitmap=None):
                     keep = bitmaps.holds(bitmap, names)
                     k = int(keep.sum())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(k, doc, dtype=np.int64)), pa.array(np.full(k, h, dtype=np.int32)),
+                        [pa.array(np.full(k, doc, dtype=np.int64)), pa.array(np.full(k, h, dtype=np.int64)),
                          pa.array(at[keep].astype(np.int32)), pa.array(names[keep])], names=["doc", "h", "start", "name"])
 
     return run
@@ -153,12 +153,12 @@ def repeated_spans(texts: DataFrame, length: int, gram: int) -> DataFrame:
             keep = bitmaps.holds(wanted, batch.column("k").to_numpy())
             yield batch.select(["doc", "h", "text"]).filter(pa.array(keep))
 
-    held = texts.withColumn("k", F.xxhash64("doc", "h")).mapInArrow(only_wanted, "doc bigint, h int, text string")
+    held = texts.withColumn("k", F.xxhash64("doc", "h")).mapInArrow(only_wanted, "doc bigint, h bigint, text string")
     held = cut_lineage(held.join(opened, ["doc", "h"]).select("doc", "h", "text", "runs"), "texts")
     names = (held.mapInArrow(_opened(length), "name bigint").groupBy("name")
              .agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("name"))
     names = cut_lineage(names, "names")
-    windows = (held.mapInArrow(_opened(length, bitmaps.gather(names, "name")), "doc bigint, h int, start int, name bigint")
+    windows = (held.mapInArrow(_opened(length, bitmaps.gather(names, "name")), "doc bigint, h bigint, start int, name bigint")
                .join(names, "name"))
     windows = cut_lineage(windows, "windows")
     firsts = windows.groupBy("name").agg(F.min(place).alias("first"))
@@ -214,7 +214,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep
     if keep not in ("first", "none"):
         raise ValueError(f"keep must be 'first' or 'none', not {keep!r}")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.hash("text").alias("h"), "text")
+    texts = texts.select("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.xxhash64("text").alias("h"), "text")
     spans = repeated_spans(texts.select("doc", "h", "text"), length, gram)
     if keep == "first":
         spans = spans.filter("earlier")

@@ -207,7 +207,9 @@ class WordIds:
                 young[w] = known
                 continue
             base = w.rstrip(self.MARKS)
-            if not base.decode("utf-8").isalpha():
+            letters = base.decode("utf-8")
+            # a letter whose small form ends in a combining mark joins the marks that follow
+            if not (letters.isalpha() and letters.lower().isalpha()):
                 odd.append(w)
                 continue
             marks = w[len(base):]

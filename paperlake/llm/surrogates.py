@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 
 from paperlake.runtime import cut_lineage
 
+from . import bitmaps
+
+STRICT, ATTEMPTS = 48, 192  # rounds without entities as surrogates, and in all
 KEY = "documented default key; pass your own"
 _NO_ID = -(1 << 63)
 
@@ -117,9 +120,12 @@ def surrogate_form(kind: str, form: str, key: str, attempt: int) -> str:
         keep = re.match(r"\+\d{1,3}?(?=\d{7,10}$)|", form)[0]  # the country code stays
         return keep + "".join(c if c == "+" else str(draw.below(10)) for c in form[len(keep):])
     if kind == "ssn":
-        return f"9{draw.below(100):02d}-{draw.below(99) + 1:02d}-{draw.below(9999) + 1:04d}"  # a range that is not issued
-    if kind == "ip":
-        return f"10.{draw.below(256)}.{draw.below(256)}.{draw.below(256)}"  # a private network
+        # a range that is not issued, later any number
+        area = 900 + draw.below(100) if attempt < 8 else draw.below(1000)
+        return f"{area:03d}-{draw.below(99) + 1:02d}-{draw.below(9999) + 1:04d}"
+    if kind == "ip":  # a private network, later any address
+        first = 10 if attempt < 8 else 1 + draw.below(223)
+        return f"{first}.{draw.below(256)}.{draw.below(256)}.{draw.below(256)}"
     if kind == "secret":
         return "".join("0123456789abcdef"[draw.below(16)] for _ in form)
     first, _, family = form.partition(" ")
@@ -161,15 +167,22 @@ def assign(found: DataFrame, key: str = KEY) -> DataFrame:
 
     Attempts go on until every entity has a surrogate that no other entity
     has and that is no entity itself. Of entities that draw the same one, the
-    smallest form gets it.
+    smallest form gets it. Where a kind has more entities than half of its
+    forms, such as short phone numbers, entities become surrogates of others
+    after ``STRICT`` attempts; what has none after ``ATTEMPTS`` ends the job with an error.
     """
     todo = cut_lineage(found.distinct().withColumn("attempt", F.lit(0)), "entities")
     known = todo.select("kind", F.col("form").alias("surrogate"))
-    done = None
+    done, attempt = None, 0
     while done is None or not todo.isEmpty():
+        if attempt >= ATTEMPTS:
+            kinds = [r["kind"] for r in todo.select("kind").distinct().orderBy("kind").collect()]
+            raise ValueError(f"no free surrogates left for entities of kind {', '.join(kinds)}")
         drawn = cut_lineage(todo.select("kind", "form", "attempt").mapInArrow(
             _propose(key), "kind string, form string, attempt int, surrogate string"), "drawn")
-        taken = known if done is None else known.unionByName(done.select("kind", "surrogate"))
+        given = known.limit(0) if done is None else done.select("kind", "surrogate")
+        taken = known.unionByName(given) if attempt < STRICT else given
+        attempt += 1
         free = drawn.join(taken, ["kind", "surrogate"], "left_anti")
         winners = free.groupBy("kind", "surrogate").agg(F.min_by(F.struct("form", "attempt"), "form").alias("w"))
         won = winners.select("kind", "w.form", "surrogate", "w.attempt")
@@ -186,7 +199,7 @@ def _located(batches):
             for kind, form in {(kind, normal_form(kind, value)) for kind, _, _, value in entities(text)}:
                 out["doc"].append(doc), out["h"].append(h), out["kind"].append(kind), out["form"].append(form)
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
-            [("doc", pa.int64()), ("h", pa.int32()), ("kind", pa.string()), ("form", pa.string())]))
+            [("doc", pa.int64()), ("h", pa.int64()), ("kind", pa.string()), ("form", pa.string())]))
 
 
 def _replace(batches):
@@ -208,6 +221,14 @@ def _replace(batches):
                                          names=["doc_id", "text", "n_entities", "n_distinct"])
 
 
+def _marked(bitmap, wanted: bool):
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(bitmaps.holds(bitmap, batch.column("k").to_numpy()) == wanted))
+
+    return run
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """doc_id, text with surrogates, n_entities and n_distinct for every row of ``docs`` (doc_id, text).
 
@@ -218,12 +239,19 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     entities are gathered per document, which its length bounds.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"),
-                       F.hash(F.coalesce("text", F.lit(""))).alias("h"), "text")
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
     found = cut_lineage(rows.filter("text is not null").select("doc", "h", "text").mapInArrow(
-        _located, "doc bigint, h int, kind string, form string"), "found").distinct()
+        _located, "doc bigint, h bigint, kind string, form string"), "found").distinct()
     given = assign(found.select("kind", "form"), key)
     # an entity that a third of all documents share meets one row of `given`; Spark splits that side
     known = (found.join(given.select("kind", "form", "surrogate"), ["kind", "form"])
              .groupBy("doc", "h").agg(F.collect_list(F.struct("kind", "form", "surrogate")).alias("known")))
-    return (rows.join(cut_lineage(known, "known"), ["doc", "h"], "left").select("doc_id", "text", "known")
-            .mapInArrow(_replace, "doc_id bigint, text string, n_entities bigint, n_distinct bigint"))
+    known = cut_lineage(known, "known")
+    # only texts that hold an entity are shuffled
+    place = F.xxhash64("doc", "h")
+    bitmap = bitmaps.gather(known.select(place.alias("k")), "k")
+    rows = rows.withColumn("k", place)
+    schema = rows.schema
+    held = rows.mapInArrow(_marked(bitmap, True), schema).join(known.hint("merge"), ["doc", "h"], "left").select("doc_id", "text", "known")
+    rest = rows.mapInArrow(_marked(bitmap, False), schema).select("doc_id", "text", F.lit(None).cast(held.schema["known"].dataType).alias("known"))
+    return held.unionByName(rest).mapInArrow(_replace, "doc_id bigint, text string, n_entities bigint, n_distinct bigint")

@@ -39,7 +39,7 @@ _NUMBER, _NAME, _UNIT = (np.uint64(x) for x in (0x1D8E4E27C47D124F, 0x2545F4914F
 _U = np.uint64
 
 RAW, WHOLE, OPENERS = 0, 1, 2  # sequences: single tokens, whole numbers and names, the same with names as openers
-HITS = "doc bigint, h int, kind int, pos int, name bigint, slots array<bigint>"
+HITS = "doc bigint, h bigint, kind int, pos int, name bigint, slots array<bigint>"
 
 
 def _unit_hashes(powers) -> np.ndarray:
@@ -156,7 +156,7 @@ def _windows(width: int, min_literal: int, bitmap, id_columns):
 def keyed(docs: DataFrame) -> DataFrame:
     """A key for every row that also tells rows without doc_id apart by their text."""
     return docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)),
-                             "_h": F.hash(F.coalesce("text", F.lit("")))})
+                             "_h": F.xxhash64(F.coalesce("text", F.lit("")))})
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, min_literal: int = MIN_LITERAL,

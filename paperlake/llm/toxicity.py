@@ -132,10 +132,14 @@ def _features(bits: int):
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN,
           bits: int = BITS) -> tuple[np.ndarray, float]:
-    """Weights and bias from the sample. Without labelled documents of both kinds every score is 0 or 1/2."""
+    """Weights and bias from the sample. Without labelled documents of both kinds every score is 0 or 1/2.
+
+    Of several rows with a sampled doc_id, the one with the smallest text hash is taken.
+    """
     sample = training_ids(labels, folds, max_toxic, max_clean)
     # the sample has a fixed bound, so the texts stay where they are
-    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
+    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")).orderBy("doc_id").select("toxic", "text")
             .mapInArrow(_features(bits), "toxic int, feature binary, sentence binary").toArrow().to_pydict())
     counts = dict(labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
                   .filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds != 0).groupBy("toxic").count().collect())

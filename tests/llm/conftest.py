@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 WORDS = ("the of and to in is that for with on as was at by this from are or an be river stone light cloud green table winter "
          "summer north south under over again never always small large quick slow bright dark").split()
@@ -36,3 +37,12 @@ def odd_documents(spark, prose):
 @pytest.fixture(scope="session")
 def no_documents(odd_documents):
     return odd_documents.limit(0)
+
+
+@pytest.fixture(scope="session")
+def clashing_texts(spark):
+    """Two different texts, one short and one long, with the same 32-bit hash."""
+    made = spark.range(300_000).selectExpr("case when id % 2 = 0 then concat('short ', id) else concat('a much longer text ', id, repeat(' and on', 60)) end text")
+    pair = made.selectExpr("text", "hash(text) h", "length(text) < 100 short").groupBy("h").agg(
+        F.max_by("text", "short").alias("a"), F.min_by("text", "short").alias("b"), F.count_distinct("short").alias("n")).filter("n = 2").first()
+    return pair["a"], pair["b"]

@@ -67,3 +67,12 @@ def test_odd_documents(spark, odd_documents, no_documents):
     assert all(r["held_out"] is False for r in rows if r["doc_id"] is None)
     assert X.judge(no_documents, labels).count() == 0
     assert {r["predicted"] for r in X.judge(odd_documents, labels.limit(0)).collect()} == {0}
+
+
+def test_one_row_of_a_repeated_id_is_learned(spark, prose):
+    rows = [(i, prose(i, 20) + (" vile vile" if i % 2 else "")) for i in range(40)]
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    shape = "doc_id long, text string"
+    once = X.train(spark.createDataFrame(rows, shape), labels)
+    again = X.train(spark.createDataFrame(rows + [rows[3]] * 500, shape), labels)
+    assert (once[0] == again[0]).all() and once[1] == again[1]

@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from paperlake.llm import surrogates as S
 
 
@@ -53,3 +55,23 @@ def test_odd_documents(spark, odd_documents, no_documents):
     before = sorted((r["doc_id"] or 0, r["text"] or "") for r in odd_documents.collect())
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in rows) == before
     assert sum(r["text"] is None for r in rows) == 2 and S.pseudonymise(no_documents).count() == 0
+
+
+def test_more_entities_than_free_forms(spark, monkeypatch):
+    """Seven of the ten one-digit forms are taken: they become surrogates of each other, and with twelve there is an end."""
+    monkeypatch.setattr(S, "surrogate_form", lambda kind, form, key, attempt: str(S.Draw(key, kind, form, attempt).below(10)))
+    monkeypatch.setattr(S, "STRICT", 3)
+    monkeypatch.setattr(S, "ATTEMPTS", 6)
+    with pytest.raises(ValueError, match="no free surrogates left for entities of kind phone"):
+        S.assign(spark.createDataFrame([("phone", str(i)) for i in range(12)], "kind string, form string"))
+    monkeypatch.setattr(S, "ATTEMPTS", 60)
+    given = S.assign(spark.createDataFrame([("phone", str(i)) for i in range(7)], "kind string, form string")).collect()
+    assert len({r["surrogate"] for r in given}) == 7 == len(given)
+
+
+def test_entities_of_rows_without_id_and_copies(spark):
+    rows = [(None, "mail a.b@c.org"), (None, "mail a.b@c.org"), (1, None), (1, "mail a.b@c.org and 190.137.223.204"), (1, "plain"), (2, "")]
+    got = S.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' k", "1 h", "2 doc")).collect()
+    mails = {w for r in got for w in (r["text"] or "").split() if "@" in w}
+    assert len(got) == 6 and len(mails) == 1 and "a.b@c.org" not in mails
+    assert sorted((r["doc_id"] or 0, r["n_entities"]) for r in got) == [(0, 1), (0, 1), (1, 0), (1, 0), (1, 2), (2, 0)]

@@ -68,3 +68,17 @@ def test_words_without_ids_beside_words_of_two_units():
     for group in (["\u00a0", "3d"], ["3d", "\u3000"], ["a1b2", "\u2028", "\u00a0", "x-y", "\u6f22\u5b57", "caf\u00e9", "..."]):
         each = [np.array(words.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes() for w in group]
         assert words._encode([w.encode() for w in group]) == each
+
+
+def test_fuzzed_words():
+    """Letters that become a letter and a mark in small form, marks, digits and blanks of several kinds in any order."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    rng = random.Random(11)
+    units = ["İ", "I", "ß", "é", "É", "Ǆ", "ﬁ", "Σ", "ς", "ı", "Ñ", "漢", "H̱", "̇", "a", "B", "zz", "GALERİ", "BELEDİYESİ", "der", ".", ",", "!?", "'s", "…", "3", "½", " ", " ", "\n", " "]
+    texts = ["GALERİ.", "BELEDİYESİ, BELEDİYESİ", *("".join(rng.choice(units) for _ in range(rng.randint(1, 14))) for _ in range(4000))]
+    whole, words = Tokenizer.from_file(tokenizer_path()), pfor.WordIds(tokenizer_path())
+    for text, ids in zip(texts, words.encode([t.encode() for t in texts])):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text

@@ -59,3 +59,11 @@ def test_odd_documents(spark, odd_documents, no_documents, prose):
     assert lpf.remove_repeats(no_documents).count() == 0
     with pytest.raises(ValueError):
         lpf.remove_repeats(no_documents, keep="last")
+
+
+def test_rows_with_equal_short_hashes(spark, clashing_texts):
+    short, long = clashing_texts
+    frame = spark.createDataFrame([(None, short), (None, long), (1, long)], "doc_id long, text string")
+    got = sorted((r["n_bytes"], r["n_removed"]) for r in lpf.remove_repeats(frame, keep="none").collect())
+    n = len(long.encode())
+    assert got == sorted([(len(short.encode()), 0), (n, n), (n, n)])

@@ -68,3 +68,10 @@ def test_odd_documents(spark, odd_documents, no_documents):
     kept = T.remove(odd_documents, own)
     assert kept.columns == odd_documents.columns and kept.count() == odd_documents.count() - 4
     assert T.judge(no_documents, bench).count() == 0 and not any(r["contaminated"] for r in T.judge(odd_documents, bench.limit(0)).collect())
+
+
+def test_rows_with_equal_short_hashes(spark, clashing_texts):
+    short, long = clashing_texts
+    docs = spark.createDataFrame([(None, short), (None, long)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, long)], "item_id long, text string")
+    assert [r["text"] for r in T.remove(docs, bench).collect()] == [short]
