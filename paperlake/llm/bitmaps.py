@@ -9,6 +9,7 @@ and changes no result.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +32,28 @@ def gather(df: DataFrame, column: str) -> np.ndarray:
 def holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     at = (hashes.astype(np.int64) & (BITS - 1))
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def only(bitmap: np.ndarray, column: str, wanted: bool):
+    """Rows whose hash in ``column`` is in the bitmap, or with ``wanted=False`` the others; for ``mapInArrow``."""
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(holds(bitmap, batch.column(column).to_numpy()) == wanted))
+
+    return run
+
+
+def meet(rows: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` left-joined with ``few`` on ``keys``, shuffling only rows that may have a match.
+
+    For wide rows of which some have a match: the others pass in place. The
+    join is a sort-merge join at every size, which splits hot keys.
+    """
+    place = F.xxhash64(*keys)
+    bitmap = gather(few.select(place.alias("_place")), "_place")
+    marked = rows.withColumn("_place", place)
+    held = marked.mapInArrow(only(bitmap, "_place", True), marked.schema).drop("_place").join(few.hint("merge"), keys, "left")
+    rest = marked.mapInArrow(only(bitmap, "_place", False), marked.schema).drop("_place")
+    added = [F.lit(None).cast(few.schema[c].dataType).alias(c) for c in few.columns if c not in keys]
+    return held.select(*rows.columns, *(c for c in few.columns if c not in keys)).unionByName(rest.select("*", *added))

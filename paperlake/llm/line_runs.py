@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from paperlake.runtime import cut_lineage
 
+from . import bitmaps
 from .columns import has_word, let
 
 MIN_LINES = 2
@@ -38,11 +39,13 @@ def with_row_keys(docs: DataFrame) -> DataFrame:
 
 def line_table(docs: DataFrame) -> DataFrame:
     """(doc, h, pos, line, name): lines with a word, numbered by ``pos``; ``line`` is the number among all lines."""
-    rows = with_row_keys(docs).filter("text is not null").select(F.col("_doc").alias("doc"), F.col("_h").alias("h"), "text").distinct()
+    rows = with_row_keys(docs).filter("text is not null").select(F.col("_doc").alias("doc"), F.col("_h").alias("h"), "text")
     split = F.transform(F.split("text", "\n"), lambda line, i: F.struct(
         i.alias("line"), F.xxhash64(line).alias("name"), has_word(line).alias("full")))
     kept = F.filter(split, lambda s: s["full"])
-    return rows.select("doc", "h", F.posexplode(kept).alias("pos", "s")).select("doc", "h", "pos", "s.line", "s.name")
+    lines = rows.select("doc", "h", F.posexplode(kept).alias("pos", "s")).select("doc", "h", "pos", "s.line", "s.name")
+    # equal rows are one place; their lines are narrower than their texts
+    return lines.dropDuplicates(["doc", "h", "pos"])
 
 
 def _intervals(named: DataFrame) -> DataFrame:
@@ -104,8 +107,9 @@ def remove_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     lines = line_table(docs)
     runs = repeated_runs(lines, min_lines).groupBy("doc", "h").agg(
         F.collect_list(F.struct("pos", "n")).alias("runs"), F.max("n").alias("longest"))
-    rows = (with_row_keys(docs.select("doc_id", "text")).withColumnsRenamed({"_doc": "doc", "_h": "h"})
-            .join(cut_lineage(runs, "runs"), ["doc", "h"], "left"))
+    # only texts with a run are shuffled
+    rows = bitmaps.meet(with_row_keys(docs.select("doc_id", "text")).withColumnsRenamed({"_doc": "doc", "_h": "h"}),
+                        cut_lineage(runs, "runs"), ["doc", "h"])
     body = F.split("text", "\n")
     places = F.array_compact(F.transform(body, lambda x, i: F.when(has_word(x), i)))
     covered = F.flatten(F.transform("runs", lambda r: F.sequence(r["pos"], r["pos"] + r["n"] - 1)))

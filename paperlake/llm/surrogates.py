@@ -221,14 +221,6 @@ def _replace(batches):
                                          names=["doc_id", "text", "n_entities", "n_distinct"])
 
 
-def _marked(bitmap, wanted: bool):
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(bitmaps.holds(bitmap, batch.column("k").to_numpy()) == wanted))
-
-    return run
-
-
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """doc_id, text with surrogates, n_entities and n_distinct for every row of ``docs`` (doc_id, text).
 
@@ -246,12 +238,6 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     # an entity that a third of all documents share meets one row of `given`; Spark splits that side
     known = (found.join(given.select("kind", "form", "surrogate"), ["kind", "form"])
              .groupBy("doc", "h").agg(F.collect_list(F.struct("kind", "form", "surrogate")).alias("known")))
-    known = cut_lineage(known, "known")
     # only texts that hold an entity are shuffled
-    place = F.xxhash64("doc", "h")
-    bitmap = bitmaps.gather(known.select(place.alias("k")), "k")
-    rows = rows.withColumn("k", place)
-    schema = rows.schema
-    held = rows.mapInArrow(_marked(bitmap, True), schema).join(known.hint("merge"), ["doc", "h"], "left").select("doc_id", "text", "known")
-    rest = rows.mapInArrow(_marked(bitmap, False), schema).select("doc_id", "text", F.lit(None).cast(held.schema["known"].dataType).alias("known"))
-    return held.unionByName(rest).mapInArrow(_replace, "doc_id bigint, text string, n_entities bigint, n_distinct bigint")
+    return (bitmaps.meet(rows, cut_lineage(known, "known"), ["doc", "h"]).select("doc_id", "text", "known")
+            .mapInArrow(_replace, "doc_id bigint, text string, n_entities bigint, n_distinct bigint"))
