@@ -1032,7 +1032,8 @@ def embed_text(spark, sf):
 
 @query(", " + _HASHED.format(text=_EMBED_TEXT))
 def embed_papers(spark, sf):
-    return _vector_digest(embed.embed_papers(B.papers(spark, sf), now=NOW))
+    # encoding is spread over all cores, also where the file has one row group
+    return _vector_digest(embed.embed_papers(B.papers(spark, sf), now=NOW, partitions=spark.sparkContext.defaultParallelism))
 
 
 SEARCHED = "the und les que from with"

@@ -269,45 +269,62 @@ def visits(pivots: np.ndarray, radii: np.ndarray):
     return run
 
 
+class TermBits:
+    """Terms of the rows of a cell as rows of packed bits, terms in sorted order."""
+
+    def __init__(self, lists):
+        column = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+        lengths = np.asarray(column.value_lengths(), dtype=np.int64)
+        names, codes = np.unique(np.asarray(column.flatten().to_pylist(), dtype=object), return_inverse=True)
+        self.names = names
+        bits = np.zeros((len(lengths), len(names)), dtype=bool)
+        bits[np.repeat(np.arange(len(lengths)), lengths), codes] = True
+        self.packed = np.packbits(bits, axis=1)
+
+    def shared(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pair, term) of the terms that the pairs of rows have in common, terms ascending."""
+        both = np.unpackbits(self.packed[first] & self.packed[second], axis=1, count=len(self.names))
+        return np.nonzero(both)
+
+
+PAIRS_AT_ONCE = 1 << 14
+
+
 def near_pairs(min_similarity: float):
     """Per cell: pairs at least that similar whose first common term owns the cell."""
 
     def run(batches):
         for table in cell_stream(batches):
-            ids = np.array(table.column("id").to_pylist(), dtype=object)
-            if len(ids) < 2:
+            if table.num_rows < 2:
                 continue
-            term = table.column("term")[0].as_py()
-            terms = table.column("terms")
+            ids = np.array(table.column("id").to_pylist(), dtype=object)
+            terms = TermBits(table.column("terms"))
+            own = int(np.searchsorted(terms.names, table.column("term")[0].as_py()))
             first, second = sides(table)
             unit = matrix(table.column("vec"))
             right = first if second is None else second
-            sets = {}
-
-            def terms_of(i):
-                if i not in sets:
-                    sets[i] = frozenset(terms[int(i)].as_py())
-                return sets[i]
-
             for start in range(0, len(first), ROWS_AT_ONCE):
                 part = first[start:start + ROWS_AT_ONCE]
                 sims = unit[part] @ unit[right].T
                 near = sims >= min_similarity
                 if second is None:
                     near &= np.arange(len(right))[None, :] > np.arange(start, start + len(part))[:, None]
-                row, col = np.nonzero(near)
-                found = []
-                for r, c in zip(row, col):
-                    shared = terms_of(part[r]) & terms_of(right[c])
-                    if min(shared) == term:
-                        a, b = ids[part[r]], ids[right[c]]
-                        found.append((min(a, b), max(a, b), float(sims[r, c]), sorted(shared)))
-                if found:
+                rows, cols = np.nonzero(near)
+                for at in range(0, len(rows), PAIRS_AT_ONCE):
+                    row, col = rows[at:at + PAIRS_AT_ONCE], cols[at:at + PAIRS_AT_ONCE]
+                    pair, term = terms.shared(part[row], right[col])
+                    lead = term[np.searchsorted(pair, np.arange(len(row)))]  # every pair shares the term of the cell
+                    mine = lead == own
+                    if not mine.any():
+                        continue
+                    a, b = ids[part[row[mine]]], ids[right[col[mine]]]
+                    held = mine[pair]
+                    counts = np.bincount(pair[held], minlength=len(row))[mine]
+                    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    low = a < b
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([f[0] for f in found], pa.string()),
-                         pa.array([f[1] for f in found], pa.string()),
-                         pa.array([f[2] for f in found], pa.float64()),
-                         pa.array([f[3] for f in found], pa.list_(pa.string()))],
+                        [pa.array(np.where(low, a, b), pa.string()), pa.array(np.where(low, b, a), pa.string()), pa.array(sims[row[mine], col[mine]]),
+                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(terms.names[term[held]], pa.string()))],
                         names=["pmid1", "pmid2", "similarity", "shared_terms"])
 
     return run

@@ -75,8 +75,11 @@ def focus_ratio(papers: DataFrame, term: str = vocab.FOCUS_TERM, by_category: bo
 
 def focus_ratio_all(papers: DataFrame, term: str = vocab.FOCUS_TERM, total: str = "all") -> DataFrame:
     """:func:`focus_ratio` of every category and, named ``total``, of all papers, in one pass."""
-    return (papers.rollup("category").agg(F.count(F.lit(1)).alias("total"), F.count_if(keyword_match(term)).alias("matching"),
-                                          F.grouping("category").alias("_sum"))
+    # texts are matched before the grouping; the totals are made from one row per category
+    per = papers.select("category", keyword_match(term).alias("_hit")).groupBy("category").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("_hit").alias("_m"))
+    return (per.rollup("category").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.coalesce(F.sum("_m"), F.lit(0)).alias("matching"),
+                                       F.grouping("category").alias("_sum"))
             .withColumn("category", F.when(F.col("_sum") == 1, F.lit(total)).otherwise(F.col("category"))).drop("_sum")
             .withColumn("ratio", F.coalesce(F.try_divide(F.col("matching"), F.col("total")), F.lit(0.0))))
 
