@@ -401,15 +401,15 @@ def share_topic(left, right, n_left, n_right) -> np.ndarray:
 
 
 def compare(left: Block, right: Block, leaders: Leaders, min_similarity: float, min_score: float,
-            same_block: bool):
-    """Offer the best qualifying pairs of two blocks to ``leaders``."""
+            same_block: bool, tier: float | None = None):
+    """Offer the best qualifying pairs of two blocks to ``leaders``; with ``tier`` only pairs of that score."""
     names, place = np.unique(np.concatenate([left.ids, right.ids]), return_inverse=True)
     place_left, place_right = place[:len(left)].astype(np.int64), place[len(left):].astype(np.int64)
     for start in range(0, len(left), ROWS_AT_ONCE):
         stop = min(start + ROWS_AT_ONCE, len(left))
         part = slice(start, stop)
         score = scores(left.pos[part], left.neg[part], right.pos, right.neg)
-        fit = score > min_score
+        fit = score > min_score if tier is None else score == tier
         if leaders.bar is not None:
             # what sorts behind the last leader cannot enter the list
             worst, low = -leaders.bar[0], leaders.bar[1]
@@ -439,7 +439,7 @@ def compare(left: Block, right: Block, leaders: Leaders, min_similarity: float,
         leaders.offer(keys, [float(sims[row[i], col[i]]) for i in best])
 
 
-def opposing_in_cells(min_similarity: float, min_score: float, top: int):
+def opposing_in_cells(min_similarity: float, min_score: float, top: int, tier: float | None = None):
     """The task's best opposing pairs inside its cells."""
 
     def run(batches):
@@ -450,15 +450,15 @@ def opposing_in_cells(min_similarity: float, min_score: float, top: int):
             first, second = sides(table)
             left = Block(table, first)
             if second is None:
-                compare(left, left, leaders, min_similarity, min_score, True)
+                compare(left, left, leaders, min_similarity, min_score, True, tier)
             elif len(first) and len(second):
-                compare(left, Block(table, second), leaders, min_similarity, min_score, False)
+                compare(left, Block(table, second), leaders, min_similarity, min_score, False, tier)
         yield from leaders.batches()
 
     return run
 
 
-def opposing_to_chunk(chunk: pa.Table, min_similarity: float, min_score: float, top: int):
+def opposing_to_chunk(chunk: pa.Table, min_similarity: float, min_score: float, top: int, tier: float | None = None):
     """The task's best opposing pairs between its rows and a small set of other rows."""
     # plain bytes: the chunk travels inside the closure
     sink = pa.BufferOutputStream()
@@ -471,7 +471,7 @@ def opposing_to_chunk(chunk: pa.Table, min_similarity: float, min_score: float,
         leaders = Leaders(top)
         for batch in batches:
             if batch.num_rows:
-                compare(left, Block(pa.Table.from_batches([batch])), leaders, min_similarity, min_score, False)
+                compare(left, Block(pa.Table.from_batches([batch])), leaders, min_similarity, min_score, False, tier)
         yield from leaders.batches()
 
     return run

@@ -17,6 +17,7 @@ from paperlake.operators.cells import BLOCK_ROWS, to_cells
 from paperlake.runtime import cut_lineage, small_side
 
 PROBE_ROWS = 512
+RANGES = 5
 
 
 def topic_sizes(papers: DataFrame) -> DataFrame:
@@ -58,10 +59,10 @@ def contradiction_pairs(papers: DataFrame, embeddings: DataFrame, min_similarity
     """The ``top`` opposing pairs by (score desc, pmid1, pmid2).
 
     Scores are 1.0 (both papers carry words of both kinds) or 0.5, and ties go
-    by id. So a probe first compares the ``probe_rows`` lowest ids of papers
-    carrying both kinds with all such papers, in one scan without a shuffle: once it
-    finds ``top`` pairs, no later pair can beat them. Only otherwise are all
-    candidates compared, in cells per (category, tag). Both ways are exact.
+    by id, so the list is filled from the lowest ids of the higher score on
+    (:func:`_first_pairs`) and ends as soon as nothing can enter it. With
+    ``probe_rows=0`` all candidates are compared, in cells per (category, tag).
+    Both ways are exact.
     """
     pos, neg = T.polarity_flags(T.text_of(), list(positive), list(negative))
     flagged = papers.select("pmid", "category", "mesh_terms", "evidence_level",
@@ -69,28 +70,64 @@ def contradiction_pairs(papers: DataFrame, embeddings: DataFrame, min_similarity
     # The texts are read once; every later step reads this narrow table. Filtering by the flags
     # comes after, else the word tests would run in the filter and again in the projection.
     rows = cut_lineage(_with_vectors(flagged, embeddings), "pair-candidates").filter("pos or neg")
-    out = "pmid1 string, pmid2 string, similarity double, contradiction_score double"
-    order = [F.desc("contradiction_score"), F.col("pmid1"), F.col("pmid2")]
-
-    best = None
+    narrow = rows.select("id", "category", "vec", "terms", "pos", "neg")
     if probe_rows:
-        mixed = rows.filter("pos and neg").select("id", "category", "vec", "terms", "pos", "neg")
-        # Both collected tables are bounded, by probe_rows and by top. The lowest ids are found
-        # first, so that the tasks send ids and not vectors to the one that merges them.
-        lowest = mixed.select("id").orderBy("id").limit(probe_rows)
-        chunk = mixed.join(F.broadcast(lowest), "id", "left_semi").toArrow()
-        if chunk.num_rows:
-            found = mixed.mapInArrow(kernels.opposing_to_chunk(chunk, min_similarity, min_score, top), out)
-            lead = cut_lineage(found.dropDuplicates(["pmid1", "pmid2"]).orderBy(*order).limit(top), "lead")
-            if lead.count() == top:
-                best = lead
-    if best is None:
-        exploded = rows.select("id", "category", "vec", "terms", "pos", "neg", F.explode("terms").alias("term"))
-        cells = to_cells(exploded, ["category", "term"], "id", block_rows)
-        best = (cells.select("cell", "lone", "side", "id", "category", "terms", "vec", "pos", "neg")
-                .mapInArrow(kernels.opposing_in_cells(min_similarity, min_score, top), out)
-                .dropDuplicates(["pmid1", "pmid2"]).orderBy(*order).limit(top))
-    return _describe(cut_lineage(best, "best-pairs"), rows).orderBy(*order)
+        best, missing = papers.sparkSession.createDataFrame([], _FOUND), top
+        for tier, held in ((1.0, narrow.filter("pos and neg")), (0.5, narrow)):
+            if tier > min_score and missing > 0:
+                found = _first_pairs(held, tier, missing, min_similarity, block_rows, probe_rows)
+                best, missing = best.unionByName(found), missing - found.count()
+    else:
+        best = _first(_in_cells(narrow, min_similarity, min_score, top, None, block_rows), top)
+    return _describe(cut_lineage(best, "best-pairs"), rows).orderBy(*_order())
+
+
+_FOUND = "pmid1 string, pmid2 string, similarity double, contradiction_score double"
+
+
+def _order():
+    return [F.desc("contradiction_score"), F.col("pmid1"), F.col("pmid2")]
+
+
+def _first(found: DataFrame, top: int) -> DataFrame:
+    return found.dropDuplicates(["pmid1", "pmid2"]).orderBy(*_order()).limit(top)
+
+
+def _in_cells(rows: DataFrame, min_similarity: float, min_score: float, top: int, tier: float | None, block_rows: int) -> DataFrame:
+    cells = to_cells(rows.withColumn("term", F.explode("terms")), ["category", "term"], "id", block_rows)
+    return (cells.select("cell", "lone", "side", "id", "category", "terms", "vec", "pos", "neg")
+            .mapInArrow(kernels.opposing_in_cells(min_similarity, min_score, top, tier), _FOUND))
+
+
+def _first_pairs(rows: DataFrame, tier: float, top: int, min_similarity: float, block_rows: int, probe_rows: int) -> DataFrame:
+    """The ``top`` pairs with score ``tier`` by (pmid1, pmid2), from rising ranges of pmid1.
+
+    A range of the lowest ids not yet seen is compared with all rows from its
+    first id on, in one scan without a shuffle. That finds every pair whose
+    lower id is in the range, so once ``top`` pairs are found, a later range
+    has none that sorts before them. Ranges double from ``probe_rows`` to
+    ``probe_rows * 2^(RANGES - 1)`` ids, which bounds what travels to the
+    tasks. If they do not fill the list, the rows above the last range are
+    compared in cells per (category, tag).
+    """
+    found, last = None, None
+    for step in range(RANGES):
+        size = probe_rows << step
+        ahead = rows if last is None else rows.filter(F.col("id") > F.lit(last))
+        # the ids are found first, so that the tasks send no vectors to the one that merges them
+        lowest = ahead.select("id").orderBy("id").limit(size)
+        chunk = ahead.join(F.broadcast(lowest), "id", "left_semi").toArrow()
+        if not chunk.num_rows:
+            break
+        scan = ahead.mapInArrow(kernels.opposing_to_chunk(chunk, min_similarity, 0.0, top, tier), _FOUND)
+        found = cut_lineage(_first(scan if found is None else scan.unionByName(found), top), "lead")
+        if found.count() == top or chunk.num_rows < size:
+            return found
+        last = max(chunk.column("id").to_pylist())
+    if found is None:
+        return rows.sparkSession.createDataFrame([], _FOUND)
+    rest = _in_cells(rows.filter(F.col("id") > F.lit(last)), min_similarity, 0.0, top, tier, block_rows)
+    return cut_lineage(_first(rest.unionByName(found), top), "lead")
 
 
 def _describe(best: DataFrame, rows: DataFrame) -> DataFrame:
