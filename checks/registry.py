@@ -945,7 +945,34 @@ def ann_index_recall(spark, sf):
     return found.crossJoin(F.broadcast(ivf.index_costs(index, asked=asked, **TRAINED)))
 
 
-@query()
+def _k_means_sql(k: int = 5, runs: int = 10, seed: int = 42, rounds: int = 30, pool: int = 8, least: int = 2) -> str:
+    """Restarts of k-means, one table expression for every round; ends with the clusters of the cheapest run."""
+    out = f""", pool AS MATERIALIZED (SELECT run, place, embedding FROM (SELECT run, pmid, embedding, row_number() OVER (
+    PARTITION BY run ORDER BY md5(concat_ws(':', {seed}, run, pmid)), pmid) AS place
+  FROM emb, range({runs}) AS r(run)) WHERE place <= {pool * k}),
+pick0 AS (SELECT run, 0 AS label, embedding FROM pool WHERE place = 1)"""
+    for i in range(1, k):
+        out += f""", pick{i} AS MATERIALIZED (SELECT * FROM pick{i - 1} UNION ALL
+  SELECT run, {i} AS label, arg_min(embedding, {{far: -far, place: place}}) FROM (
+    SELECT p.run, p.place, any_value(p.embedding) AS embedding, min(list_distance(p.embedding::DOUBLE[], s.embedding::DOUBLE[])) AS far
+    FROM pool p JOIN pick{i - 1} s ON p.run = s.run GROUP BY p.run, p.place) WHERE far > 0 GROUP BY run)"""
+    out += f""", c0 AS MATERIALIZED (SELECT run, label, embedding::DOUBLE[] AS centre FROM pick{k - 1}
+  WHERE label < (SELECT min(n) FROM (SELECT count(*) AS n FROM pick{k - 1} GROUP BY run)))"""
+    for i in range(rounds):
+        out += f""", a{i} AS MATERIALIZED (SELECT run, pmid, arg_min(label, {{d: d, label: label}}) AS label, min(d) AS d, any_value(embedding) AS embedding
+  FROM (SELECT run, c{i}.label, pmid, list_distance(embedding::DOUBLE[], centre) AS d, embedding FROM emb, c{i}) GROUP BY run, pmid)"""
+        if i + 1 < rounds:
+            out += f""", c{i + 1} AS MATERIALIZED (SELECT run, label, coalesce(m.centre, c{i}.centre) AS centre FROM c{i} LEFT JOIN (
+  SELECT run, label, list(x ORDER BY pos) AS centre FROM (SELECT run, label, pos, avg(x) AS x FROM (
+    SELECT run, label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS pos FROM a{i}) GROUP BY run, label, pos)
+  GROUP BY run, label) m USING (run, label))"""
+    return out + f""", best AS (SELECT run FROM a{rounds - 1} GROUP BY run ORDER BY sum(d * d), run LIMIT 1),
+chosen AS (SELECT label, pmid FROM a{rounds - 1} JOIN best USING (run)),
+sized AS (SELECT label, row_number() OVER (ORDER BY min(pmid)) - 1 AS cluster_id FROM chosen GROUP BY label HAVING count(*) >= {least})
+SELECT cluster_id, pmid FROM chosen JOIN sized USING (label)"""
+
+
+@query(_k_means_sql())
 def cluster_papers(spark, sf):
     return cluster.cluster_papers(B.embeddings(spark, sf))
 

@@ -13,6 +13,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -654,3 +655,141 @@ def lloyd(points: np.ndarray, count: int, rounds: int, seed: int) -> np.ndarray:
         for j in np.flatnonzero(size):
             centres[j] = points[owner == j].mean(axis=0)
     return centres
+
+
+# ---- k-means and nearest centroids --------------------------------------------
+
+CENTRE_SUMS = "run int, label int, n bigint, cost double, total array<double>"
+
+
+def double_rows(column) -> np.ndarray:
+    """Vectors of a list column as rows, in double precision and unscaled."""
+    if len(column) == 0:
+        return np.zeros((0, 0))
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = set(column.value_lengths().to_pylist())
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of different lengths in one search: {sorted(sizes, key=str)[:5]}; filter by dim or model first")
+    return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
+
+
+def far_apart(points: np.ndarray, count: int) -> np.ndarray:
+    """The first point and then the one farthest from those before, the first of equally far ones; no point twice."""
+    picks = points[:1]
+    while 0 < len(picks) < count:
+        far = ((points[:, None, :] - picks[None, :, :]) ** 2).sum(axis=2).min(axis=1)
+        if far.max() <= 0:
+            break
+        picks = np.vstack([picks, points[far.argmax()]])
+    return picks
+
+
+def closest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(label, squared distance) of every point and run for centres (runs, k, width), each of shape (points, runs)."""
+    flat = centres.reshape(-1, centres.shape[2])
+    square = (flat * flat).sum(axis=1) - 2 * points @ flat.T
+    square = square.reshape(len(points), *centres.shape[:2])
+    label = square.argmin(axis=2)
+    least = np.take_along_axis(square, label[:, :, None], axis=2)[:, :, 0]
+    return label, np.maximum(least + (points * points).sum(axis=1)[:, None], 0.0)
+
+
+def centre_sums(centres: np.ndarray):
+    """Count, cost and sum of the vectors of every run and centre, one row each for a task."""
+    runs, k, width = centres.shape
+
+    def run(batches):
+        number, cost, total = np.zeros((runs, k), np.int64), np.zeros((runs, k)), np.zeros((runs, k, width))
+        for batch in batches:
+            points = double_rows(batch.column("embedding"))
+            for at in range(0, len(points), ROWS_AT_ONCE):
+                tile = points[at:at + ROWS_AT_ONCE]
+                label, square = closest(tile, centres)
+                for r in range(runs):
+                    member = np.arange(k)[:, None] == label[:, r][None, :]
+                    number[r] += member.sum(axis=1)
+                    cost[r] += member @ square[:, r]
+                    total[r] += member @ tile
+        r, j = np.nonzero(number)
+        if len(r):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(r, pa.int32()), pa.array(j, pa.int32()), pa.array(number[r, j]), pa.array(cost[r, j]),
+                 pa.array(list(total[r, j]), pa.list_(pa.float64()))], names=["run", "label", "n", "cost", "total"])
+
+    return run
+
+
+def centre_labels(centres: np.ndarray):
+    """(pmid, label) by the closest of the centres (k, width)."""
+
+    def run(batches):
+        for batch in batches:
+            points = double_rows(batch.column("embedding"))
+            labels = [closest(points[at:at + ROWS_AT_ONCE], centres[None])[0][:, 0] for at in range(0, len(points), ROWS_AT_ONCE)]
+            if labels:
+                yield pa.RecordBatch.from_arrays([batch.column("pmid"), pa.array(np.concatenate(labels), pa.int64())],
+                                                 names=["pmid", "label"])
+
+    return run
+
+
+def least_exact(tile: np.ndarray, centres: np.ndarray, bars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of centres, squared distance) nearest to every point of a tile, the lower row of equal ones; infinite if none is under its bar.
+
+    The first quarter of the coordinates gives a lower bound. Only centres
+    that are under the bar of a point by it are compared in full, and what
+    lies within rounding of the least is summed up term by term, so that equal
+    distances are equal.
+    """
+    lead = max(1, centres.shape[1] // 4)
+    head, norms = centres[:, :lead], (centres * centres).sum(axis=1)
+    size = (tile * tile).sum(axis=1)
+    slack = 1e-9 * (size + norms.max())
+    bound = (tile[:, :lead] ** 2).sum(axis=1)[:, None] + (head * head).sum(axis=1) - 2 * tile[:, :lead] @ head.T
+    bars = np.minimum(bars, ((tile - centres[bound.argmin(axis=1)]) ** 2).sum(axis=1)) + slack
+    left = np.flatnonzero((bound <= bars[:, None]).any(axis=0))
+    pick, least = np.zeros(len(tile), np.int64), np.full(len(tile), np.inf)
+    if len(left):
+        square = size[:, None] + norms[left] - 2 * tile @ centres[left].T
+        row, col = np.nonzero(square <= np.minimum(square.min(axis=1), bars)[:, None] + slack[:, None])
+        col = left[col]
+        true = np.empty(len(row))
+        for at in range(0, len(row), ROWS_AT_ONCE):
+            part = slice(at, at + ROWS_AT_ONCE)
+            true[part] = np.cumsum((tile[row[part]] - centres[col[part]]) ** 2, axis=1)[:, -1]
+        order = np.lexsort((col, true, row))
+        found, first = np.unique(row[order], return_index=True)
+        pick[found], least[found] = col[order][first], true[order][first]
+    return pick, least
+
+
+def closer_centroids(block: pa.Table):
+    """Batches of (pmid, embedding, cid, distance) with the squared distance improved by the centroids of a block, sorted by id.
+
+    Of equally close centroids, of this block or one before, the lower id
+    wins. Rows without a vector, or with a missing entry, stay without one.
+    """
+    def run(batches):
+        ids = block.column("cid").combine_chunks()
+        centres = double_rows(block.column("centroid"))
+        for batch in batches:
+            if batch.num_rows == 0 or len(ids) == 0:
+                yield batch
+                continue
+            known = np.flatnonzero(batch.column("embedding").is_valid().to_numpy(zero_copy_only=False))
+            points = double_rows(batch.column("embedding").take(pa.array(known)))
+            before = batch.column("distance").to_numpy(zero_copy_only=False).astype(np.float64)
+            best, pick = np.where(np.isnan(before), np.inf, before), np.full(len(before), -1)
+            for at in range(0, len(points), ROWS_AT_ONCE):
+                rows = known[at:at + ROWS_AT_ONCE]
+                near, square = least_exact(points[at:at + ROWS_AT_ONCE], centres, best[rows])
+                closer = square < best[rows]
+                for i in np.flatnonzero((square == best[rows]) & np.isfinite(square)):
+                    closer[i] = ids[near[i]].as_py() < batch.column("cid")[rows[i]].as_py()
+                best[rows[closer]], pick[rows[closer]] = square[closer], near[closer]
+            cid = pc.coalesce(ids.take(pa.array(pick, mask=pick < 0)), batch.column("cid"))
+            yield pa.RecordBatch.from_arrays([batch.column("pmid"), batch.column("embedding"), cid, pa.array(best, mask=np.isinf(best))],
+                                             names=["pmid", "embedding", "cid", "distance"])
+
+    return run

@@ -43,6 +43,42 @@ def test_clusters(spark, three_groups, make_embeddings):
     assert cluster.cluster_papers(make_embeddings({"a": [1, 0]}), 5, 1).count() == 1
 
 
+def test_k_means_does_not_depend_on_partitions(spark, make_embeddings):
+    """Several runs share a pass, the cheapest wins, and copies, nulls and partitions change nothing."""
+    rng = np.random.default_rng(3)
+    spots = rng.normal(scale=8, size=(4, 6))
+    points = {f"p{i:03d}": spots[i % 4] + rng.normal(size=6) for i in range(200)}
+    vectors = make_embeddings({**points, **{f"q{i:03d}": points["p000"] for i in range(100)}, "none": None, "empty": []})
+    found = [{r["pmid"]: r["cluster_id"] for r in cluster.cluster_papers(vectors.repartition(n), 4, n_init=3, rounds=12).collect()}
+             for n in (1, 7)]
+    assert found[0] == found[1] and len(found[0]) == 300
+    assert all(found[0][f"p{i:03d}"] == found[0][f"p{i % 4:03d}"] for i in range(200))
+    assert len(set(found[0].values())) == 4
+
+
+def test_k_means_costs_fall(spark, make_embeddings):
+    """More rounds or more runs never cost more, against a plain numpy cost."""
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(150, 5)).astype(np.float32).astype(float)
+    vectors = make_embeddings({f"p{i:03d}": row for i, row in enumerate(rows)}).select("pmid", "embedding")
+
+    def cost(n_init, rounds):
+        centres = cluster.k_means(vectors, 6, n_init, rounds=rounds)
+        return ((rows[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum()
+
+    assert cost(1, 1) > cost(1, 3) >= cost(1, 8) >= cost(4, 8)
+
+
+def test_nearest_centroid_of_odd_rows(spark, make_embeddings):
+    """Rows without a vector stay, copies of a centroid go to the lower id, in one block or many."""
+    centres = spark.createDataFrame([(i, [float(i // 2 % 5), 1.0, 0.0, 0.0, 2.0]) for i in range(40)], "cid int, centroid array<double>")
+    vectors = make_embeddings({"a": [3, 1, 0, 0, 2], "b": [3.5, 1, 0, 0, 2], "none": None})
+    for block in (3, 100):
+        got = {r["pmid"]: (r["cid"], r["distance"]) for r in cluster.nearest_centroid(vectors, centres, block).collect()}
+        assert got == {"a": (6, 0.0), "b": (6, 0.5), "none": (None, None)}
+    assert [r["cid"] for r in cluster.nearest_centroid(vectors, centres.limit(0)).collect()] == [None] * 3
+
+
 def test_nearest_centroid(spark, make_embeddings):
     centres = spark.createDataFrame([(1, [0.0, 0.0]), (2, [2.0, 0.0])], "cid int, centroid array<double>")
     got = cluster.nearest_centroid(make_embeddings({"a": [0.4, 0], "b": [1.9, 0], "tie": [1, 0]}), centres).collect()
