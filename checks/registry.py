@@ -6,6 +6,7 @@ A key may have no SQL when the result depends on a random or iterative method.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from checks import bindings as B
 from checks.bindings import AS_OF, CTE, NOW
 from paperlake import kernels
 from paperlake.functions import jsontext, text, vectors
-from paperlake.operators import cluster, embed, ivf, lookup, pairs, rules, similar, trends, upsert
+from paperlake.operators import cluster, embed, ivf, lookup, pairs, rules, similar, textindex, trends, upsert
 from paperlake.plans import load, theme, weekly
 from paperlake.runtime import work_dir
 from paperlake.sources import feeds, pages, tables
@@ -407,6 +408,19 @@ def recommendations_join(spark, sf):
         "similarity", F.round("similarity", 6))
 
 
+
+_SEARCHED = ["license", "hant reth ouor", "éçeau"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{w}' AS keyword, pmid, title FROM papers WHERE {_MATCH.format(w)}" for w in _SEARCHED))
+def keyword_search(spark, sf):
+    """``keyword_match`` as a filter, by the stored index of three-character runs."""
+    papers, root = B.papers(spark, sf), work_dir(spark, "textindex")
+    textindex.build(papers, root, part_rows=2000)
+    return reduce(DataFrame.unionByName, (textindex.search(spark, root, papers, w).select(F.lit(w).alias("keyword"), "pmid", "title")
+                                          for w in _SEARCHED))
+
+
 _RULES = "(VALUES " + ", ".join(f"('{k}', '{c}', {i})" for i, (k, c) in enumerate(B.TAG_RULES)) + ") r(key, cat, key_pos)"
 _FIRST_RULE = f"""tags AS (SELECT pmid, unnest(mesh_terms) AS tag, generate_subscripts(mesh_terms, 1) AS tag_pos FROM papers),
 hits AS (SELECT pmid, arg_min(cat, tag_pos * 1000 + key_pos) AS cat FROM tags JOIN {_RULES} ON contains(lower(tag), key) GROUP BY pmid),

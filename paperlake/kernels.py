@@ -793,3 +793,50 @@ def closer_centroids(block: pa.Table):
                                              names=["pmid", "embedding", "cid", "distance"])
 
     return run
+
+
+# ---- runs of three characters ----------------------------------------------
+
+CHARS_AT_ONCE = 1 << 20
+PAIRS_HELD = 1 << 22
+
+
+def gram_codes(text: str) -> np.ndarray:
+    """Every distinct run of three code points as one number, in order."""
+    found = np.empty(0, dtype=np.int64)
+    for start in range(0, max(len(text) - 2, 0), CHARS_AT_ONCE):
+        points = np.frombuffer(text[start:start + CHARS_AT_ONCE + 2].encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        found = np.union1d(found, (points[:-2] << 42) | (points[1:-1] << 21) | points[2:])
+    return found
+
+
+def gram_postings(buckets: int):
+    """(bucket, gram, part, places) of rows (part, place, fields); a full buffer ends a posting early."""
+    def flush(part, grams, places):
+        grams, places = np.concatenate(grams), np.concatenate(places)
+        order = np.lexsort((places, grams))
+        grams, places = grams[order], places[order]
+        starts = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+        keys = grams[starts]
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(grams)], pa.int32()), pa.array(places, pa.int32()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys % buckets, pa.int32()), pa.array(keys), pa.array(np.full(len(keys), part), pa.int32()), lists],
+            ["bucket", "gram", "part", "places"])
+
+    def run(batches):
+        part, grams, places, held = None, [], [], 0
+        for batch in batches:
+            fields = batch.column("fields")
+            for i, (p, place) in enumerate(zip(batch.column("part").to_pylist(), batch.column("place").to_pylist())):
+                if held and (p != part or held > PAIRS_HELD):
+                    yield flush(part, grams, places)
+                    grams, places, held = [], [], 0
+                codes = [gram_codes(t.as_py()) for t in fields[i].values or ()]
+                codes = np.unique(np.concatenate(codes)) if codes else np.empty(0, dtype=np.int64)
+                part, held = p, held + len(codes)
+                grams.append(codes)
+                places.append(np.full(len(codes), place, dtype=np.int32))
+        if held:
+            yield flush(part, grams, places)
+
+    return run
