@@ -15,12 +15,13 @@ from pyspark.sql import types as T
 
 from checks import bindings as B
 from checks.bindings import AS_OF, CTE, NOW
-from paperlake import kernels
+from paperlake import kernels, schemas
 from paperlake.functions import jsontext, text, vectors
 from paperlake.operators import cluster, embed, ivf, lookup, pairs, rules, similar, textindex, trends, upsert
 from paperlake.plans import load, theme, weekly
 from paperlake.runtime import work_dir
-from paperlake.sources import feeds, pages, tables
+from paperlake.sources import buckets, feeds, pages, tables
+from paperlake.streaming import intake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,6 +156,17 @@ def upsert_papers(spark, sf):
         F.date_format("updated_at", "yyyy-MM-dd").alias("updated"))
 
 
+@query("," + _UPSERTED + """SELECT pmid, title, category, strftime(created_at, '%Y-%m-%d') AS created,
+  strftime(updated_at, '%Y-%m-%d') AS updated FROM merged""")
+def upsert_buckets(spark, sf):
+    """The same upsert on a table in buckets, of which only those of the batch are replaced."""
+    table = buckets.BucketedTable(work_dir(spark, "papers"), schemas.PAPERS, buckets=64)
+    buckets.create(B.papers(spark, sf, level=True), table)
+    buckets.upsert_papers(table, B.incoming_papers(spark, sf), NOW)
+    return table.read(spark).select("pmid", "title", "category", F.date_format("created_at", "yyyy-MM-dd").alias("created"),
+                                    F.date_format("updated_at", "yyyy-MM-dd").alias("updated"))
+
+
 _EMB_UPSERT = """,
 new_emb AS (
   SELECT pmid, list_reverse(embedding) AS embedding, 'second' AS model FROM emb WHERE label = 0
@@ -206,6 +218,20 @@ def replace_index_rows(spark, sf):
         "slug", "title", "description", "category", _join("tags").alias("tags"))
 
 
+_ENTRY_RULES = "CASE " + " ".join(f"WHEN contains(lower(t), '{k}') THEN '{c}'" for k, c in B.TAG_RULES) + " END"
+
+
+@query(f"""SELECT pmid AS slug, title, substring(abstract, 1, 200) AS description,
+  coalesce(list_filter(list_transform(mesh_terms, lambda t: {_ENTRY_RULES}), lambda c: c IS NOT NULL)[1], 'health') AS category,
+  CASE WHEN category = 'es' THEN '' ELSE array_to_string(list_reverse(mesh_terms), ',') END AS tags,
+  strftime(pub_date, '%Y-%m-%d') AS "date", '/article/' || pmid || '/' AS url FROM papers""")
+def index_entries(spark, sf):
+    made = F.struct("title", F.substring("abstract", 1, 200).alias("lead"),
+                    F.when(F.col("category") != "es", F.reverse("mesh_terms")).alias("affiliate_keywords"))
+    columns = B.papers(spark, sf).select(F.col("pmid").alias("slug"), "mesh_terms", "pub_date", made.alias("parsed"))
+    return upsert.index_entries(columns, tag_rules=B.TAG_RULES).withColumn("tags", _join("tags"))
+
+
 @query(""", arrivals AS (SELECT pmid AS slug, 'Updated ' || title AS title, CAST(pmid AS BIGINT) AS pos FROM papers
     WHERE evidence_level = 'meta-analysis'
   UNION ALL SELECT 'b' || item_id, split_part(text, chr(10), 1), -1 - item_id FROM benchmark),
@@ -572,9 +598,12 @@ def weekly_candidates(spark, sf):
     return weekly.weekly_candidates(fetched, AS_OF, 3, **_VOCABULARY)
 
 
-@query(rf"""SELECT pmid, CASE category WHEN 'en' THEN 'health' ELSE category END AS category,
+_STORED = (rf"""SELECT pmid, CASE category WHEN 'en' THEN 'health' ELSE category END AS category,
   CASE category WHEN 'en' THEN regexp_replace(title, '</?(?:i|b|u|em|strong|sup|sub|mml:[A-Za-z]+)(?:\s[^<>]*)?/?>', '', 'g') ELSE title END AS title,
   CASE category WHEN 'en' THEN TIMESTAMP '{NOW}' ELSE updated_at END AS updated_at FROM papers""")
+
+
+@query(_STORED)
 def weekly_store(spark, sf):
     """The chain of a drop: article XML to records, category and evidence by rule, upsert."""
     papers = B.papers(spark, sf)
@@ -582,6 +611,19 @@ def weekly_store(spark, sf):
     return weekly.store_fetched(papers, feeds.parse_paper_xml(rows), NOW).select("pmid", "category", "title", "updated_at")
 
 
+@query(_STORED)
+def run_intake(spark, sf):
+    """The same chain from XML files that a stream takes in, into a table in buckets."""
+    papers = B.papers(spark, sf)
+    drop, checkpoint = work_dir(spark, "drop"), work_dir(spark, "intake")
+    table = buckets.BucketedTable(work_dir(spark, "papers"), schemas.PAPERS, buckets=64)
+    buckets.create(papers, table)
+    rows = feeds.parse_xml_column(papers.filter("category = 'en'").select(_as_xml().alias("xml")), "xml").drop("xml", feeds.CORRUPT)
+    rows.write.format("xml").option("rootTag", "PubmedArticleSet").option("rowTag", "PubmedArticle").save(drop)
+    intake.run_intake(spark, drop, table, checkpoint, NOW).awaitTermination()
+    return table.read(spark).select("pmid", "category", "title", "updated_at")
+
+
 _OPEN = f"""used AS (SELECT DISTINCT unnest(source_pmids) AS pmid FROM gen_log WHERE created_at >= DATE '{AS_OF}' - 28),
 open_papers AS (SELECT *, CASE evidence_level WHEN 'meta-analysis' THEN 3 WHEN 'guideline' THEN 2 WHEN 'RCT' THEN 1 ELSE 0 END AS weight
   FROM papers WHERE pub_date >= DATE '{AS_OF}' - {{days}} AND pmid NOT IN (SELECT pmid FROM used)

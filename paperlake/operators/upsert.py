@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperlake import vocab
 from paperlake.functions import text as T
 from paperlake.operators.numbering import number_by_hash, number_rows
 from paperlake.operators.rules import first_rule_match
@@ -100,15 +101,15 @@ def index_rows(papers: DataFrame) -> DataFrame:
         F.col("mesh_terms").alias("tags"), "pub_date", "url")
 
 
-def index_entries(columns: DataFrame, generated: str = "parsed") -> DataFrame:
+def index_entries(columns: DataFrame, generated: str = "parsed", tag_rules=tuple(vocab.TAG_RULES)) -> DataFrame:
     """Search-index entries of generated columns and the papers they rest on.
 
     Expects ``slug``, ``mesh_terms``, ``pub_date`` and the generated record as a
-    struct.
+    struct. The category comes from the tags of the paper by ``tag_rules``.
     """
     return columns.select(
         "slug", F.col(f"{generated}.title").alias("title"), F.col(f"{generated}.lead").alias("description"),
-        first_rule_match(F.col("mesh_terms")).alias("category"),
+        first_rule_match(F.col("mesh_terms"), tag_rules).alias("category"),
         F.coalesce(F.col(f"{generated}.affiliate_keywords"), F.array().cast("array<string>")).alias("tags"),
         F.col("pub_date").cast("string").alias("date"),
         F.concat(F.lit("/article/"), "slug", F.lit("/")).alias("url"))
