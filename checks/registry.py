@@ -458,19 +458,38 @@ def first_rule_match(spark, sf):
     return B.papers(spark, sf).select("pmid", rules.first_rule_match(F.col("mesh_terms"), B.TAG_RULES).alias("rule_category"))
 
 
+@query(f", {_FIRST_RULE} SELECT * FROM ruled")
+def first_rule_match_many(spark, sf):
+    """The same rules behind ten thousand others, which match no tag."""
+    long = [(f"no tag {i}", "none") for i in range(10_000)] + B.TAG_RULES
+    return B.papers(spark, sf).select("pmid", rules.first_rule_match_many(F.col("mesh_terms"), long).alias("rule_category"))
+
+
 _PRODUCTS = "(VALUES " + ", ".join(f"('{k}', '{c}', {i})" for i, (k, c) in enumerate(B.PRODUCTS)) + ") r(key, product, key_pos)"
 
 
-@query(f""", tags AS (SELECT pmid, unnest(mesh_terms) AS tag, generate_subscripts(mesh_terms, 1) AS tag_pos FROM papers),
+_MATCHED = (f""", tags AS (SELECT pmid, unnest(mesh_terms) AS tag, generate_subscripts(mesh_terms, 1) AS tag_pos FROM papers),
 hits AS (SELECT pmid, key, product, key_pos, min(tag_pos) AS tag_pos FROM tags JOIN {_PRODUCTS}
   ON contains(lower(tag), key) GROUP BY ALL)
 SELECT pmid, CAST(row_number() OVER (PARTITION BY pmid ORDER BY tag_pos, key_pos) AS INTEGER) AS rank,
   key AS product_key, product FROM hits""")
+
+
+@query(_MATCHED)
 def product_match(spark, sf):
     rows = B.papers(spark, sf).select("pmid", "mesh_terms")
     return rules.product_match(rows, "mesh_terms", B.PRODUCTS).drop("mesh_terms")
 
 
+@query(_MATCHED)
+def product_match_many(spark, sf):
+    """The same products behind ten thousand others, which match no keyword."""
+    long = [(f"no keyword {i}", "none") for i in range(10_000)] + B.PRODUCTS
+    rows = B.papers(spark, sf).select("pmid", "mesh_terms")
+    return rules.product_match_many(rows, "mesh_terms", long).drop("mesh_terms")
+
+
+
 @query(f""", {_FIRST_RULE} SELECT pmid, rule_category,
   CASE rule_category WHEN 'heart' THEN '心臓・血管' WHEN 'brain' THEN '脳・認知' WHEN 'gut' THEN '腸内フローラ'
     WHEN 'eyes' THEN '目の健康' ELSE '健康' END AS name,

@@ -840,3 +840,80 @@ def gram_postings(buckets: int):
             yield flush(part, grams, places)
 
     return run
+
+
+# ---- many patterns at once -------------------------------------------------
+
+def pattern_finder(keys: list[str]):
+    """Function from a text to the sorted positions of all keys that it holds; one automaton for all keys."""
+    import ahocorasick
+
+    always, places = [], {}
+    for i, key in enumerate(keys):
+        if key:
+            places.setdefault(key, []).append(i)
+        elif key is not None:
+            always.append(i)
+    machine = ahocorasick.Automaton()
+    for key, at in places.items():
+        machine.add_word(key, tuple(at))
+    if places:
+        machine.make_automaton()
+
+    def find(text: str) -> list[int]:
+        found = set(always)
+        if places:
+            for _, at in machine.iter(text):
+                found.update(at)
+        return sorted(found)
+
+    return find
+
+
+def distinct_values(lists):
+    """Distinct texts of a list column, and the row, place in its list and number of every text; nulls are left out."""
+    values = lists.flatten()
+    lengths = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
+    row = np.repeat(np.arange(len(lists)), lengths)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    coded = values.dictionary_encode()
+    kept = np.asarray(coded.indices.is_valid())
+    return coded.dictionary.to_pylist(), row[kept], place[kept], np.asarray(coded.indices.drop_null(), dtype=np.int64)
+
+
+def first_rules(keys: list[str], results: list[str | None], default: str):
+    """Result of the first text with a rule; inside a text the first rule wins."""
+    def run(batches):
+        find = pattern_finder(keys)
+        for lists in batches:
+            texts, row, _, code = distinct_values(lists)
+            first = [next(iter(find(t)), None) for t in texts]
+            result = np.array([None if i is None else results[i] for i in first], dtype=object)
+            hit = np.flatnonzero(np.array([r is not None for r in result], dtype=bool)[code])
+            out = np.full(len(lists), default, dtype=object)
+            rows, at = np.unique(row[hit], return_index=True)
+            out[rows] = result[code[hit[at]]]
+            yield pa.array(out, pa.string())
+
+    return run
+
+
+def keys_in_order(keys: list[str]):
+    """Positions of all keys that the texts of a list hold, by the first text that holds them and by position."""
+    def run(batches):
+        find = pattern_finder(keys)
+        for lists in batches:
+            texts, row, place, code = distinct_values(lists)
+            found = [np.array(find(t), dtype=np.int64) for t in texts]
+            sizes = np.array([len(f) for f in found], dtype=np.int64)[code] if texts else np.empty(0, np.int64)
+            key = np.concatenate([found[c] for c in code]) if len(code) else np.empty(0, np.int64)
+            row, place = np.repeat(row, sizes), np.repeat(place, sizes)
+            order = np.lexsort((place, key, row))
+            row, place, key = row[order], place[order], key[order]
+            new = np.r_[True, (row[1:] != row[:-1]) | (key[1:] != key[:-1])][:len(row)]
+            row, place, key = row[new], place[new], key[new]
+            key = key[np.lexsort((key, place, row))]
+            ends = np.cumsum(np.bincount(row, minlength=len(lists)))
+            yield pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(key, pa.int32()))
+
+    return run

@@ -136,6 +136,23 @@ def test_products(spark):
     assert [(r["i"], r["rank"], r["product"]) for r in got] == [(1, 1, "monitor"), (1, 2, "stock"), (1, 3, "powder")]
 
 
+def test_many_rules_match_as_few(spark):
+    import random
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abç") for _ in range(rng.randrange(0, 6))) for _ in range(300)]
+    lists = [[rng.choice(words + [None, "Abç A", "ABC"]) for _ in range(rng.randrange(0, 5))] for _ in range(200)] + [None, []]
+    frame = spark.createDataFrame(list(enumerate(lists)), "i int, tags array<string>").repartition(3)
+    table = [(w, f"c{i}" if i % 7 else None) for i, w in enumerate(rng.sample([w for w in words if len(w) > 1], 40))] + [("ab", "again")]
+    for chosen in (table, table + [("", "all")], [], [("zz", "none")]):
+        pair = frame.select("i", rules.first_rule_match(F.col("tags"), chosen).alias("a"),
+                            rules.first_rule_match_many(F.col("tags"), chosen).alias("b")).collect()
+        assert len(pair) == 202 and all(r["a"] == r["b"] for r in pair)
+        few, many = (sorted(map(str, f(frame, "tags", chosen).collect()))
+                     for f in (rules.product_match, rules.product_match_many))
+        assert few == many
+
+
 def test_labels(spark):
     name, icon = rules.category_label(F.col("c"))
     got = spark.createDataFrame([("heart",), ("health",), (None,)], "c string").select("c", name.alias("n"), icon.alias("i")).collect()
