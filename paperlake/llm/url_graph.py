@@ -4,9 +4,11 @@ Hosts with pages that rules allow are trusted seeds, hosts with pages that
 rules block are blocked seeds, each by the number of such pages. Trust follows
 the links (a personalised PageRank from the trusted seeds); distrust goes
 against them (the same from the blocked seeds on the reversed edges), since
-whoever links to a blocked host is suspect and not the one linked to. A host
-and its parent domain, where both have pages, are linked both ways. A host is
-blocked if its distrust exceeds ``ratio`` times its trust and ``floor`` times
+whoever links to a blocked host is suspect and not the one linked to. Domains
+are nodes too, whether or not they have pages: a host and its parent domain are
+linked both ways, and so are that domain and its own parent, down to names of
+two labels, so hosts of one owner meet there. Top-level domains are no nodes. A
+host is blocked if its distrust exceeds ``ratio`` times its trust and ``floor`` times
 an equal share of all hosts.
 
 Only columns are used. The graph is aggregated to one row per pair of hosts
@@ -33,6 +35,8 @@ RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 # an absolute or protocol-relative address in a link attribute
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
+_ADDRESS = r"^[0-9.]+(:[0-9]*)?$"
+MAX_LABELS = 127
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -65,16 +69,32 @@ def parsed(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     return parts.withColumns({"rule": rule, "verdict": verdict})
 
 
+def domain_steps(host: Column) -> Column:
+    """(src, dst) from a host to its parent domain, from there to the next one, and so on to two labels.
+
+    Addresses of digits have no domains, and neither have hosts of more than
+    ``MAX_LABELS`` labels, which no name server can hold.
+    """
+    labels = F.split(host, r"\.")
+    size = F.size(labels)
+    named = size.between(3, MAX_LABELS) & ~F.rlike(host, F.lit(_ADDRESS))
+
+    def step(i: Column) -> Column:
+        return F.struct(F.array_join(F.slice(labels, i, size), ".").alias("src"),
+                        F.array_join(F.slice(labels, i + 1, size), ".").alias("dst"))
+
+    return F.transform(F.when(named, F.sequence(F.lit(1), size - 2)), step)
+
+
 def host_links(pages: DataFrame) -> DataFrame:
-    """(src, dst, n): links between different hosts, and between a host and its parent domain."""
+    """(src, dst, n): links between different hosts, and between hosts, their domains and the domains' parents."""
     own = host_of(F.col("url"))
     linked = (pages.select(own.alias("src"), F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(_LINK), 1))).alias("dst"))
               .select("src", lower_ascii(F.col("dst")).alias("dst")).filter("src <> dst and src <> ''")
               .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
-    hosts = pages.select(own.alias("host")).filter("host <> ''").distinct()
-    parents = hosts.select(F.col("host").alias("src"), F.regexp_extract("host", r"^[^.]+\.(.+)$", 1).alias("dst")).join(
-        hosts.select(F.col("host").alias("dst")), "dst", "left_semi").select("src", "dst")
-    both = parents.unionByName(parents.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    hosts = pages.select(own.alias("host")).distinct()
+    up = hosts.select(F.inline(domain_steps(F.col("host")))).distinct()
+    both = up.unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return (linked.unionByName(both.withColumn("n", F.lit(1).cast("long")))
             .groupBy("src", "dst").agg(F.sum("n").alias("n")))
 
@@ -165,7 +185,9 @@ hosts AS (SELECT host, count(*) FILTER (verdict = 'allow') AS trust, count(*) FI
 seeds AS (SELECT 'trust' AS kind, host, trust / sum(trust) OVER () AS seed FROM hosts WHERE trust > 0
     UNION ALL SELECT 'distrust', host, distrust / sum(distrust) OVER () FROM hosts WHERE distrust > 0),
 anchors AS (SELECT host AS src, unnest(list_distinct(regexp_extract_all(html, '{link}', 1))) AS dst FROM cut),
-parents AS (SELECT h.host AS src, p.host AS dst FROM hosts h JOIN hosts p ON p.host = regexp_extract(h.host, '^[^.]+\\.(.+)$', 1)),
+labels AS (SELECT string_split(host, '.') AS l FROM hosts WHERE NOT regexp_matches(host, '{_ADDRESS}')),
+parents AS (SELECT DISTINCT array_to_string(l[i:], '.') AS src, array_to_string(l[i + 1:], '.') AS dst
+    FROM (SELECT l, unnest(range(1, len(l) - 1)) AS i FROM labels WHERE len(l) BETWEEN 3 AND {MAX_LABELS})),
 links AS (SELECT src, dst, count(*) AS n FROM (
     SELECT src, translate(dst, {ascii_lower}) AS dst FROM anchors UNION ALL SELECT src, dst FROM parents
     UNION ALL SELECT dst, src FROM parents) WHERE src <> dst AND src <> '' GROUP BY src, dst),

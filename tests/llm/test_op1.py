@@ -46,6 +46,27 @@ def test_distrust_goes_against_the_links(spark):
     assert verdicts == {1: "allow", 2: "allow", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow"}
 
 
+def test_hosts_of_one_domain_meet(spark):
+    urls = ["http://shop.bad.net/es/1", "http://www.blog.bad.net/x", "http://bad.net.org/", "http://www.good.net/y", "http://10.1.2.3/", "http://10.1.2.4:80/"]
+    frame = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], PAGES)
+    up = [("shop.bad.net", "bad.net"), ("www.blog.bad.net", "blog.bad.net"), ("blog.bad.net", "bad.net"), ("bad.net.org", "net.org"), ("www.good.net", "good.net")]
+    links = sorted(map(tuple, U.host_links(frame).collect()))
+    assert links == sorted([(a, b, 1) for a, b in up] + [(b, a, 1) for a, b in up])
+    distrust = scores_by_hand(links, {"shop.bad.net": 1.0}, U.STEPS)
+    got = {r["host"]: r for r in U.host_verdicts(frame).collect()}
+    assert all(abs(r["distrust"] - distrust.get(h, 0)) < 1e-9 for h, r in got.items()) and "bad.net" not in got
+    # no rule and no page links the second host: only the domain nodes explain it
+    assert {h for h, r in got.items() if r["blocked"]} == {"shop.bad.net", "www.blog.bad.net"}
+    assert [r["verdict"] for r in U.judge_urls(frame).orderBy("page_id").collect()] == ["block", "block"] + ["allow"] * 4
+    deep = spark.createDataFrame([(1, "http://" + ".".join("a" * 20000) + ".net/", None)], PAGES)
+    assert U.host_links(deep).count() == 0 and U.judge_urls(deep).first()["verdict"] == "allow"
+
+
+def test_the_given_pages_have_edges(spark):
+    links = U.host_links(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    assert links.count() > 0
+
+
 def test_odd_pages(spark):
     rows = [(None, None, None), (1, "http://a.com/", None), (1, "http://a.com/", None), (2, "", "<a href=>")]
     frame = spark.createDataFrame(rows, PAGES).selectExpr("*", "'x' host", "'y' path", "'z' rule", "1 n", "'v' verdict")
