@@ -20,7 +20,7 @@ from paperlake.functions import jsontext, text, vectors
 from paperlake.operators import cluster, embed, ivf, lookup, pairs, rules, similar, textindex, trends, upsert
 from paperlake.plans import load, theme, weekly
 from paperlake.runtime import work_dir
-from paperlake.sources import buckets, feeds, pages, tables
+from paperlake.sources import buckets, feeds, frontindex, pages, tables
 from paperlake.streaming import intake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -249,6 +249,29 @@ def upsert_index_front(spark, sf):
     return upsert.upsert_index_front(index, changed.unionByName(fresh)).select("pos", "slug", "title")
 
 
+@query(""", entries AS (SELECT 0 AS batch, CAST(pmid AS BIGINT) AS place, pmid AS slug, title FROM papers
+  UNION ALL SELECT 1, -CAST(pmid AS BIGINT), pmid, 'Updated ' || title FROM papers WHERE evidence_level = 'meta-analysis'
+  UNION ALL SELECT 2, -CAST(pmid AS BIGINT), pmid, 'Moved ' || title FROM papers WHERE category = 'es'
+  UNION ALL SELECT 2, 1 + item_id, 'b' || item_id, split_part(text, chr(10), 1) FROM benchmark),
+live AS (SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY slug ORDER BY batch DESC) = 1)
+SELECT row_number() OVER (ORDER BY batch DESC, place) AS pos, slug, title FROM live""")
+def push_index_front(spark, sf):
+    papers = B.papers(spark, sf, level=True)
+
+    def entries(rows, word):
+        return rows.select(F.col("pmid").alias("slug"), F.concat(F.lit(word), "title").alias("title"), F.col("pmid").cast("long").alias("pos"))
+
+    fresh = B.table(spark, sf, "benchmark").select(
+        F.concat(F.lit("b"), F.col("item_id")).alias("slug"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), (F.lit(-1) - F.col("item_id")).alias("pos"))
+    table = frontindex.FrontIndex(work_dir(spark, "front-index"), T.StructType([
+        T.StructField("slug", T.StringType()), T.StructField("title", T.StringType())]))
+    frontindex.create(entries(papers, ""), table)
+    frontindex.push_front(table, entries(papers.filter("evidence_level = 'meta-analysis'"), "Updated "), 1)
+    frontindex.push_front(table, entries(papers.filter("category = 'es'"), "Moved ").unionByName(fresh), 2)
+    return frontindex.export(spark, table).select("pos", "slug", "title")
+
+
 def _loaded(spark, sf) -> load.Loaded:
     html = B.table(spark, sf, "pages").select(F.concat(F.lit("p"), F.col("page_id")).alias("slug"), "html")
     broken = B.table(spark, sf, "benchmark").select(F.concat(F.lit("b"), F.col("item_id")).alias("slug"),
