@@ -20,7 +20,7 @@ from paperlake.functions import jsontext, text, vectors
 from paperlake.operators import cluster, embed, ivf, lookup, pairs, rules, similar, textindex, trends, upsert
 from paperlake.plans import load, theme, weekly
 from paperlake.runtime import work_dir
-from paperlake.sources import buckets, feeds, frontindex, pages, tables
+from paperlake.sources import buckets, feeds, frontindex, markup, pages, tables
 from paperlake.streaming import intake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,17 +66,44 @@ _UNESCAPE = "trim(" + "replace(" * 7 + "regexp_replace({x}, '<[^>]*>', '', 'g')"
     ", '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&apos;', ''''), '&amp;', '&'))")
 
 
-@query("SELECT CAST(page_id AS VARCHAR) AS slug, "
+_PAGES_SQL = ("SELECT CAST(page_id AS VARCHAR) AS slug, "
        + _UNESCAPE.format(x="regexp_extract(html, '(?s)<article[^>]*>.*?<h1[^>]*>(.*?)</h1>', 1)") + f""" AS title,
   'health' AS category, DATE '{AS_OF}' AS pub_date, '' AS abstract, '' AS doi,
-  'site/' || page_id || '/' AS url, '' AS tags, '' AS body FROM pages""", cte=False)
-def extract_pages(spark, sf):
+  'site/' || page_id || '/' AS url, '' AS tags, '' AS body FROM pages""")
+
+
+def _page_records(extract, spark, sf):
     rows = B.table(spark, sf, "pages").withColumn("slug", F.col("page_id").cast("string"))
-    return pages.extract_pages(rows, AS_OF, url_base="site/").select(
+    return extract(rows, AS_OF, url_base="site/").select(
         "slug", "title", "category", "pub_date", "abstract", "doi", "url", _join("mesh_terms").alias("tags"),
         F.col("body_html").alias("body"))
 
 
+@query(_PAGES_SQL, cte=False)
+def extract_pages(spark, sf):
+    return _page_records(pages.extract_pages, spark, sf)
+
+
+@query(_PAGES_SQL, cte=False)
+def parse_pages(spark, sf):
+    return _page_records(pages.parse_pages, spark, sf)
+
+
+@query("""SELECT page_id, coalesce(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '') AS title,
+  array_to_string(regexp_extract_all(coalesce(html, ''), '<a href="([^"]*)">', 1), ' ') AS links,
+  coalesce(regexp_replace(regexp_extract(html, '(?s)<article>.*?<p>(.*?)(?:<p>|</p>|</article>)', 1), '<[^>]*>', '', 'g'), '') AS first_text,
+  coalesce(regexp_extract(html, '(?s)<div class="ad">.*?</div>'), '') AS ad FROM pages""", cte=False)
+def page_elements(spark, sf):
+    wanted = {"title": markup.Wanted("title"), "link": markup.Wanted("a", every=True),
+              "text": markup.Wanted("p", within="article"), "ad": markup.Wanted("div", "ad", markup=True)}
+    found = F.col("found")
+    return B.table(spark, sf, "pages").select("page_id", markup.elements(F.col("html"), wanted).alias("found")).select(
+        "page_id", F.coalesce(markup.first_of(found, "title")["text"], F.lit("")).alias("title"),
+        F.array_join(F.transform(markup.all_of(found, "link"), lambda e: F.try_element_at(e["attributes"], F.lit("href"))), " ").alias("links"),
+        F.coalesce(markup.first_of(found, "text")["text"], F.lit("")).alias("first_text"),
+        F.coalesce(markup.first_of(found, "ad")["markup"], F.lit("")).alias("ad"))
+
+
 @query("""SELECT row_number() OVER (ORDER BY md5(page_id || '|' || category || '|0')) AS id, category, name, url
   FROM sources""")
 def flatten_sources(spark, sf):

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from paperlake import vocab
 from paperlake.functions import text as T
+from paperlake.sources import markup
+from paperlake.sources.markup import Wanted
 
 # Names of character references and their text, from the standard library's table of HTML 5.
 NAMED_REFERENCES = {name.rstrip(";"): text for name, text in html5.items()}
@@ -29,7 +31,10 @@ def read_pages(spark: SparkSession, base: str) -> DataFrame:
 
 def plain_text(fragment: Column) -> Column:
     """Text of an HTML fragment: tags dropped, references resolved, ends trimmed."""
-    text = resolve_references(F.regexp_replace(fragment, "(?s)<[^>]*>", ""))
+    return _trimmed(resolve_references(F.regexp_replace(fragment, "(?s)<[^>]*>", "")))
+
+
+def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
@@ -100,29 +105,80 @@ def extract_pages(pages: DataFrame, as_of, html: str = "html", slug: str = "slug
     """Paper-shaped records of HTML pages, plus slug, body and source link.
 
     One pass of built-in expressions per page. A page with a slug but no HTML
-    comes out with ``problem`` set; see ``plans.load``.
+    comes out with ``problem`` set; see ``plans.load``. Patterns find the
+    elements; for pages with comments, scripts or nested elements that mislead
+    patterns there is :func:`parse_pages`.
     """
     page = F.col(html)
-    date_text = F.coalesce(F.nullif(plain_text(element(page, "p", "masthead-date")), F.lit("")),
-                           plain_text(element(page, "div", "article-meta")))
     link = F.regexp_extract(page, rf"(?is)<a{_with_class('source-link')}>", 0)
-    tags = F.transform(F.regexp_extract_all(page, F.lit(rf"(?is)<a{_with_class('tag')}>(.*?)</a\s*>"), 1), plain_text)
-    source = F.replace(F.regexp_extract(link, r"(?is)\bhref\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit("&amp;"), F.lit("&"))
+    parts = {
+        "title": article_title(page),
+        "date": F.coalesce(F.nullif(plain_text(element(page, "p", "masthead-date")), F.lit("")),
+                           plain_text(element(page, "div", "article-meta"))),
+        "lead": plain_text(element(page, "p", "article-lead")),
+        "tags": F.transform(F.regexp_extract_all(page, F.lit(rf"(?is)<a{_with_class('tag')}>(.*?)</a\s*>"), 1), plain_text),
+        "badge": plain_text(element(page, "span", "cat-badge")),
+        "body": nested_block(page, "article-content"),
+        "source": F.replace(F.regexp_extract(link, r"(?is)\bhref\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit("&amp;"), F.lit("&")),
+    }
+    return pages.select(*_record(parts, page, as_of, slug, authors, journal, url_base))
+
+
+# the elements of an article page, by the names that parse_pages gives them
+ARTICLE = {
+    "title": Wanted("h1", within="article"), "heading": Wanted("h1"), "date": Wanted("p", "masthead-date"),
+    "meta": Wanted("div", "article-meta"), "lead": Wanted("p", "article-lead"), "badge": Wanted("span", "cat-badge"),
+    "body": Wanted("div", "article-content", markup=True), "source": Wanted("a", "source-link"), "tag": Wanted("a", "tag", every=True),
+}
+
+
+def parse_pages(pages: DataFrame, as_of, html: str = "html", slug: str = "slug",
+                authors: list[str] | None = None, journal: str = "", url_base: str = "") -> DataFrame:
+    """The records of :func:`extract_pages`, their elements found by ``markup.elements``.
+
+    The scan runs once a page in Arrow batches; dates, references, labels and
+    links are the same columns as there. Absent elements and null pages give
+    empty texts; a null page or an absent slug sets ``problem``.
+    """
+    found = pages.select(F.col(slug).alias("_slug"), F.col(html).isNotNull().alias("_has"),
+                         markup.elements(F.col(html), ARTICLE).alias("_found"))
+
+    def text(name: str) -> Column:
+        return F.coalesce(_trimmed(resolve_references(markup.first_of(F.col("_found"), name)["text"])), F.lit(""))
+
+    def filled(first: str, second: str) -> Column:
+        return F.coalesce(F.nullif(text(first), F.lit("")), text(second))
+
+    href = F.try_element_at(markup.first_of(F.col("_found"), "source")["attributes"], F.lit("href"))
+    parts = {
+        "title": filled("title", "heading"),
+        "date": filled("date", "meta"),
+        "lead": text("lead"),
+        "tags": F.transform(markup.all_of(F.col("_found"), "tag"), lambda e: _trimmed(resolve_references(e["text"]))),
+        "badge": text("badge"),
+        "body": F.coalesce(markup.first_of(F.col("_found"), "body")["markup"], F.lit("")),
+        "source": F.coalesce(resolve_references(href), F.lit("")),
+    }
+    return found.select(*_record(parts, F.when(F.col("_has"), ""), as_of, "_slug", authors, journal, url_base))
+
+
+def _record(parts: dict[str, Column], page: Column, as_of, slug: str, authors: list[str] | None, journal: str,
+            url_base: str) -> list[Column]:
     columns = {
         "pmid": F.col(slug),
-        "title": article_title(page),
-        "abstract": plain_text(element(page, "p", "article-lead")),
+        "title": parts["title"],
+        "abstract": parts["lead"],
         "authors": F.lit(authors or []).cast("array<string>"),
         "journal": F.lit(journal),
-        "pub_date": T.page_date(date_text, as_of),
-        "doi": T.source_ref(source),
+        "pub_date": T.page_date(parts["date"], as_of),
+        "doi": T.source_ref(parts["source"]),
         "url": F.concat(F.lit(url_base), F.col(slug), F.lit("/")),
-        "mesh_terms": tags,
-        "category": category_code(plain_text(element(page, "span", "cat-badge"))),
+        "mesh_terms": parts["tags"],
+        "category": category_code(parts["badge"]),
         "evidence_level": F.lit("article"),
         "slug": F.col(slug),
-        "body_html": nested_block(page, "article-content"),
-        "source_url": source,
+        "body_html": parts["body"],
+        "source_url": parts["source"],
         "problem": F.when(page.isNull(), "no html").when(F.col(slug).isNull() | (F.col(slug) == ""), "no slug"),
     }
-    return pages.select(*(c.alias(n) for n, c in columns.items()))
+    return [c.alias(n) for n, c in columns.items()]
