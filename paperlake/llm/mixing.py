@@ -10,10 +10,10 @@ one more pass. Every pass is its own keyed permutation of the documents, cut
 into blocks: sums over blocks find the block in which the budget ends, and
 only that block is put in order, so no source is sorted as a whole.
 
-Without a budget the mixture is the largest that reaches the target entropy
-from what the sources hold: sources above a level are cut to it, all others
-are whole, and the level is found by the same kind of bisection. Sources far
-below an equal share take no part in the target, and no target takes more than
+Without a budget the weights are the same powers of the shares, and the budget
+is the largest that repeats nothing: the smallest source that counts is whole, a
+larger one has the smallest one's tokens times a power of their ratio. Sources far
+below an equal share take no part in this and stay whole, and no target takes more than
 a given part of the corpus, so a tiny source limits nothing.
 """
 
@@ -37,8 +37,8 @@ _ROUNDS, _CUTS = 6, 16
 class Mixture:
     """The exponent found, the budget in tokens and (source_key, tokens, weight, passes, last_key) per source.
 
-    Without a given budget the exponent is 1 where nothing is cut and else 0,
-    that of sources cut to one level.
+    Without a given budget the weights of sources too small to count are not
+    powers of their shares: they are whole.
     """
 
     exponent: float
@@ -72,6 +72,22 @@ def _trial(totals: DataFrame, exponents: list[float]) -> dict[float, tuple[float
     return {x.a: (x.s, math.log(x.s) - x.a * x.st / x.s, x.r, x.n) for x in rows}
 
 
+def _bisect(trial, flat_enough) -> tuple[float, float]:
+    """The ends of the last step between an exponent that is flat enough and one that is not; the same number twice if all are, or none."""
+    ends = trial([0.0, 1.0])
+    if flat_enough(ends[1.0], 1.0):
+        return 1.0, 1.0
+    if not flat_enough(ends[0.0], 0.0):
+        return 0.0, 0.0
+    low, high = 0.0, 1.0  # the condition holds at low exponents
+    for _ in range(_ROUNDS):
+        steps = [low + (high - low) * i / _CUTS for i in range(_CUTS + 1)]
+        held = trial(steps)
+        at = max((i for i, a in enumerate(steps) if flat_enough(held[a], a)), default=0)
+        low, high = steps[at], steps[min(at + 1, _CUTS)]
+    return low, high
+
+
 def find_exponent(totals: DataFrame, entropy: float | None = None, repeats: float | None = None,
                   budget: float | None = None) -> tuple[float, float]:
     """(exponent, sum of T^exponent).
@@ -85,60 +101,40 @@ def find_exponent(totals: DataFrame, entropy: float | None = None, repeats: floa
     if (entropy is None) == (repeats is None):
         raise ValueError("give a target entropy or a limit of repetitions")
 
-    def flat_enough(trial) -> bool:
+    def flat_enough(trial, _) -> bool:
         s, h, r, n = trial
         return h >= entropy * math.log(n) - 1e-12 if entropy is not None else budget * r / s > repeats
 
-    low, high = 0.0, 1.0  # the condition holds at low exponents
-    ends = _trial(totals, [low, high])
-    if not ends:
+    if not _trial(totals, [1.0]):
         return 1.0, 0.0
-    if flat_enough(ends[high]):
-        return high, ends[high][0]
-    if not flat_enough(ends[low]):
-        return low, ends[low][0]
-    for _ in range(_ROUNDS):
-        steps = [low + (high - low) * i / _CUTS for i in range(_CUTS + 1)]
-        held = _trial(totals, steps)
-        at = max(i for i, a in enumerate(steps) if flat_enough(held[a]))
-        low, high = steps[at], steps[min(at + 1, _CUTS)]
+    low, high = _bisect(lambda steps: _trial(totals, steps), flat_enough)
     # on the safe side of the target
     best = low if entropy is not None else high
-    return best, held[best][0] if best in held else _trial(totals, [best])[best][0]
+    return best, _trial(totals, [best])[best][0]
 
 
-def find_level(totals: DataFrame, entropy: float, short: float = SHORT, keep: float = KEEP) -> tuple[float, float]:
-    """(level, tokens): the highest level to cut ``limit`` to that leaves the target entropy, and the tokens left by it.
+def find_whole_exponent(totals: DataFrame, entropy: float, short: float = SHORT, keep: float = KEEP) -> tuple[float, float, float]:
+    """(exponent, tokens of the smallest source that counts, least tokens that count) of the largest mixture without repeats.
 
-    The entropy is that of the sources with at least ``short`` of an equal
-    share. A level below which less than ``keep`` of the tokens would be left
-    is raised to that. The level is infinite if nothing is to be cut.
+    Sources with at least ``short`` of an equal share count: the entropy is
+    theirs, and they get the smallest one's tokens times the power of the ratio; all others are
+    whole. An exponent that would leave less than ``keep`` of all tokens is raised
+    until it does not.
     """
     import math
 
-    held = totals.filter("tokens > 0")
-    n, total, top = held.agg(F.count(F.lit(1)), F.sum("limit"), F.max("limit")).first()
+    n, total = totals.filter("tokens > 0").agg(F.count(F.lit(1)), F.sum("tokens")).first()
     if not n:
-        return math.inf, 0.0
-    counts = F.col("limit") >= short * total / n
-    low, n = held.filter(counts).agg(F.min("limit"), F.count(F.lit(1))).first()
-
-    def tried(levels: list[float]) -> dict[float, tuple[float, bool]]:
-        grid = held.select(counts.alias("counts"), "limit", F.explode(F.array(*map(F.lit, levels))).alias("level")).withColumn(
-            "q", F.least("limit", "level"))
-        rows = grid.groupBy("level").agg(F.sum("q").alias("all"), F.sum(F.when(F.col("counts"), F.col("q"))).alias("s"),
-                                         F.sum(F.when(F.col("counts"), F.col("q") * F.log("q"))).alias("sl")).collect()
-        return {x.level: (x["all"], math.log(x.s) - x.sl / x.s >= entropy * math.log(n) - 1e-12 or x["all"] < keep * total) for x in rows}
-
-    if tried([top])[top][1]:
-        return math.inf, total
-    left = None
-    for _ in range(_ROUNDS):
-        steps = [low * (top / low) ** (i / _CUTS) for i in range(_CUTS)] + [top]
-        seen = tried(sorted(set(steps)))
-        at = max((i for i, c in enumerate(steps) if seen[c][1]), default=0)  # sources of one size have the largest entropy
-        low, top, left = steps[at], steps[min(at + 1, _CUTS)], seen[steps[at]][0]
-    return low, left
+        return 1.0, 0.0, 0.0
+    bound = short * total / n
+    counted = totals.filter((F.col("tokens") > 0) & (F.col("tokens") >= bound))
+    least, held = counted.agg(F.min("tokens"), F.sum("tokens")).first()
+
+    def flat_enough(trial, a: float) -> bool:
+        s, h, _, n = trial
+        return h >= entropy * math.log(n) - 1e-12 or total - held + s * least ** (1 - a) < keep * total
+
+    return _bisect(lambda steps: _trial(counted, steps), flat_enough)[0], float(least), bound
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -152,7 +148,7 @@ def plan_mixture(docs: DataFrame, entropy: float | None = None, repeats: float |
 
     Without a ``budget`` it is the largest that repeats no source more often
     than ``repeats`` (once if not given), which needs a target entropy; small
-    sources give all they have and limit no other (see ``find_level``).
+    sources give all they have and limit no other (see ``find_whole_exponent``).
     Sources without tokens get the weight 0.
     """
     rows = cut_lineage(measured(docs), "tokens")
@@ -160,11 +156,13 @@ def plan_mixture(docs: DataFrame, entropy: float | None = None, repeats: float |
     if budget is None:
         if entropy is None:
             raise ValueError("give a target entropy or a budget")
-        limited = totals.withColumn("limit", F.col("tokens") * F.lit(float(repeats or 1.0)))
-        level, budget = find_level(limited, entropy)
-        exponent = 1.0 if level == float("inf") else 0.0
-        quota = F.least("limit", F.lit(level))
-        weighted = limited.withColumn("quota", quota).withColumn("weight", F.col("quota") / F.lit(budget or 1.0)).drop("limit")
+        exponent, least, bound = find_whole_exponent(totals, entropy)
+        power = F.lit(least) * F.pow(F.col("tokens") / F.lit(least or 1.0), F.lit(exponent))
+        # at exponent 1 the tokens themselves, without rounding
+        one_pass = F.when((F.col("tokens") >= bound) & F.lit(exponent < 1.0), F.least(power, F.col("tokens"))).otherwise(F.col("tokens"))
+        quoted = totals.withColumn("quota", F.lit(float(repeats or 1.0)) * one_pass)
+        budget = quoted.agg(F.coalesce(F.sum("quota"), F.lit(0.0))).first()[0]
+        weighted = quoted.withColumn("weight", F.col("quota") / F.lit(budget or 1.0))
         return _planned(rows, weighted, exponent, budget, seed, block_docs)
     exponent, scale = find_exponent(totals, entropy, repeats if entropy is None else None, budget)
     weight = F.when((F.col("tokens") > 0) & F.lit(scale > 0), F.exp(exponent * F.log(F.greatest("tokens", F.lit(1)))) / (scale or 1.0)).otherwise(0.0)

@@ -82,6 +82,22 @@ def test_tiny_sources_limit_nothing(spark):
     assert thinned(spark, equal) == equal
 
 
+def test_without_budget_weights_are_powers_of_shares(spark):
+    sizes = {"a": 400, "b": 800, "c": 1600, "d": 12800, "tiny": 5}
+    frame = spark.createDataFrame([(i, "w " * 5, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n // 5))], "doc_id long, text string, source string")
+    plan = M.plan_mixture(frame, entropy=0.95)
+    quota = {r["source_key"][1:]: r["weight"] * plan.budget for r in plan.sources.collect()}
+    assert plan.exponent not in (0.0, 1.0) and quota["tiny"] == pytest.approx(5)
+    for s in "abcd":
+        assert quota[s] == pytest.approx(400 * (sizes[s] / 400) ** plan.exponent)
+    assert plan.budget == pytest.approx(0.5 * sum(sizes.values()), rel=1e-4)  # the target alone would leave less than half
+    plan = M.plan_mixture(frame.filter("source <> 'd'"), entropy=0.95)
+    quota = {r["source_key"][1:]: r["weight"] * plan.budget for r in plan.sources.collect()}
+    held = [quota[s] for s in "abc"]
+    assert -sum(q / sum(held) * math.log(q / sum(held)) for q in held) / math.log(3) == pytest.approx(0.95, abs=1e-4)
+    assert 0 < plan.exponent < 1 and quota["b"] == pytest.approx(400 * 2 ** plan.exponent) and quota["b"] < 800
+
+
 def test_odd_documents(spark, odd_documents, no_documents):
     rows = M.mix(odd_documents, entropy=0.5).collect()
     assert Counter((r["doc_id"], r["pass"]) for r in rows) <= Counter({(i, 0): 2 for i in (7, 9, 5, 1, 2, 3, 4, 6, 8, None)})
