@@ -18,9 +18,11 @@ document order.
 from __future__ import annotations
 
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ SHARD_IDS = 1 << 16
 SHARE = 0.9
 END_ID = 1
 WORDS_HELD = 700_000
+PIECE = 8 << 20  # bytes of text whose distinct words are found together
 
 SHARDS = ("part int, shard int, n_ids int, block int, index binary, payload binary, "
           "doc_ids array<bigint>, doc_rows array<bigint>, doc_first array<int>, doc_n array<int>, doc_ends array<boolean>")
@@ -60,15 +63,17 @@ def pack_rows(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def unpack_rows(data: np.ndarray, width: int) -> np.ndarray:
-    """Inverse of ``pack_rows``."""
+    """Inverse of ``pack_rows``: value v of every eight is read from the 64 bits after its first byte."""
     rows = len(data)
-    eights = data.reshape(rows, -1, width).astype(np.uint64)
-    out = np.zeros((rows, eights.shape[1], 8), dtype=np.uint64)
+    eights = data.size // width
+    held = np.zeros(data.size + 8, dtype=np.uint8)
+    held[:data.size] = data.ravel()
+    out = np.empty((eights, 8), dtype=np.uint64)
     for v in range(8):
-        for byte in range(v * width // 8, (v * width + width - 1) // 8 + 1):
-            shift = 8 * byte - v * width
-            out[:, :, v] |= eights[:, :, byte] << np.uint64(shift) if shift >= 0 else eights[:, :, byte] >> np.uint64(-shift)
-    return out.reshape(rows, -1) & np.uint64((1 << width) - 1)
+        byte, shift = divmod(v * width, 8)
+        out[:, v] = np.ndarray((eights,), dtype="<u8", buffer=held, offset=byte, strides=(width,)) >> np.uint64(shift)
+    out &= np.uint64((1 << width) - 1)
+    return out.reshape(rows, -1)
 
 
 def encode(ids: np.ndarray, block: int = BLOCK, share: float = SHARE) -> tuple[bytes, bytes]:
@@ -121,11 +126,14 @@ def decode(payload: bytes, index: bytes, n: int, block: int = BLOCK, first: int
         rows = np.flatnonzero(widths == width)
         if width:
             values[rows] = unpack_rows(data[bodies[rows][:, None] + np.arange(block // 8 * width)], width)
-    for row in np.flatnonzero(odd).tolist():
-        at, k = int(starts[row]) + HEAD, int(odd[row])
-        places = np.frombuffer(payload, dtype="<u2", count=k, offset=at)
-        more = np.frombuffer(payload, dtype="<u4", count=k, offset=at + 2 * k)
-        values[row, places] |= more.astype(np.uint64) << np.uint64(widths[row])
+    if odd.any():  # all exceptions at once: the k-th of a block lies 2k bytes, its high bits 2 * odd + 4k bytes after the head
+        row = np.repeat(np.arange(len(starts)), odd)
+        k = np.arange(len(row)) - np.repeat(np.cumsum(odd) - odd, odd)
+        at = starts[row] + HEAD
+        places = data[at + 2 * k].astype(np.int64) + 256 * data[at + 2 * k + 1].astype(np.int64)
+        at += 2 * odd[row] + 4 * k
+        more = sum(data[at + byte].astype(np.uint64) << np.uint64(8 * byte) for byte in range(4))
+        values[row, places] |= more << widths[row].astype(np.uint64)
     lows = data[starts[:, None] + np.arange(4)].astype(np.uint64) @ (np.uint64(1) << np.arange(0, 32, 8, dtype=np.uint64))
     ids = (values + lows[:, None]).astype(np.uint32).ravel()
     return ids[first - low * block:first - low * block + count]
@@ -133,28 +141,51 @@ def decode(payload: bytes, index: bytes, n: int, block: int = BLOCK, first: int
 
 # --- tokens ----------------------------------------------------------------
 
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of the spans ``starts`` to ``starts + lengths``, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class WordIds:
     """Ids of texts, word by word.
 
     For a tokenizer that drops ASCII white space and lower-cases, the ids of
     a text are those of its words in a row, and a word of letters with
-    closing marks has the ids of the letters and of the marks.
-    Two generations of at most ``WORDS_HELD`` words are remembered; the older
-    one is dropped when the younger is full, so memory is bounded and
-    frequent words stay.
+    closing marks has the ids of the small letters and of the marks. The
+    distinct words of a piece of texts are found first; letters and marks are
+    units, and a unit that is not known yet goes to the tokenizer once. Units
+    of ``LETTERS`` are one word to it as they are, so they need its byte
+    symbols and merges alone; all others take the whole tokenizer.
+    At most ``WORDS_HELD`` units, or those of one piece if these are more, are
+    remembered; when they are full only those of the piece at hand stay, so
+    memory is bounded and frequent words stay.
     """
 
-    MARKS = b".,;:!?"
+    # Latin, Greek and Cyrillic letters that NFC leaves alone and whose small form is one letter
+    LETTERS = ("A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F\u0391-\u03A1\u03A3-\u03CE"
+               "\u0400-\u0481\u048A-\u052F\u1E00-\u1EFF")
+    WORD = f"^(?P<letters>[{LETTERS}]+)(?P<marks>[.,;:!?]*)$"
+    CALL = 50_000  # units in one call
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers import pre_tokenizers as cut
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a word
         self.closing[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.of_ascii, self.of_letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.of_ascii.normalizer = self.of_letters.normalizer = None
+        at_blanks = cut.CharDelimiterSplit(" ")
+        self.of_ascii.pre_tokenizer = at_blanks  # ASCII letters are their own byte symbols
+        self.of_letters.pre_tokenizer = cut.Sequence([at_blanks, cut.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self._keep(pa.array([], pa.string()), np.zeros(0, dtype=np.int64), np.zeros(0, dtype="<u4"))
+
+    def _keep(self, units: pa.Array, lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.units, self.lengths, self.ids = units, lengths, ids
+        self.starts = np.cumsum(lengths) - lengths
 
     @classmethod
     def of_worker(cls, path: str) -> "WordIds":
@@ -167,19 +198,8 @@ class WordIds:
         return kept[1]
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        """In one call: words of ASCII letters, one unit each, are cut by their ends, all others by offsets."""
+        """Any units, in one call cut by the unit that each id begins in: a unit may have no ids or several words."""
         texts = [w.decode("utf-8") for w in words]
-        if not all(t.isascii() and t.isalpha() for t in texts):
-            return self._encode_any(texts)
-        ids = np.array(self.tokenizer.encode(" ".join(texts), add_special_tokens=False).ids, dtype="<u4")
-        ends = np.flatnonzero(self.closing[ids]) + 1 if len(ids) else []
-        if len(ends) == len(words) and (not len(ends) or ends[-1] == len(ids)):
-            data, cuts = ids.tobytes(), (4 * ends).tolist() if len(ends) else []
-            return [data[i:j] for i, j in zip([0, *cuts], cuts)]
-        return self._encode_each(texts)
-
-    def _encode_any(self, texts: list[str]) -> list[bytes]:
-        """A joint call cut by the word that each id begins in; a word may have no ids or several ends."""
         joint = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         stops = np.cumsum([len(t) + 1 for t in texts])
         at = np.searchsorted(stops, np.array([start for start, _ in joint.offsets], dtype=np.int64), side="right")
@@ -192,40 +212,66 @@ class WordIds:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _encode_words(self, texts: list[str], tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        """Units that are one word each, in one call cut by the ids that end a word."""
+        ids = np.array(tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        if len(ends) == len(texts) and ends[-1] == len(ids):
+            return np.diff(ends, prepend=0), ids
+        return _joined(self._encode_each(texts))
+
+    def _learn(self, units: pa.Array) -> np.ndarray:
+        """Adds units that are not known yet; returns their rows."""
+        words = pc.match_substring_regex(units, f"^[{self.LETTERS}]+$").to_numpy(zero_copy_only=False)
+        plain = words & pc.string_is_ascii(units).to_numpy(zero_copy_only=False)
+        order, lengths, ids = [], [self.lengths], [self.ids]
+        for group, tokenizer in ((plain, self.of_ascii), (words & ~plain, self.of_letters), (~words, None)):
+            order.append(np.flatnonzero(group))
+            for at in range(0, len(order[-1]), self.CALL):
+                texts = units.take(pa.array(order[-1][at:at + self.CALL])).to_pylist()
+                n, found = self._encode_words(texts, tokenizer) if tokenizer else _joined(self._encode([t.encode() for t in texts]))
+                lengths.append(n), ids.append(found)
+        order, rows = np.concatenate(order), np.empty(len(units), dtype=np.int64)
+        rows[order] = np.arange(len(self.units), len(self.units) + len(units))
+        self._keep(pa.concat_arrays([self.units, units.take(pa.array(order))]), np.concatenate(lengths), np.concatenate(ids))
+        return rows
+
+    def _rows(self, units: pa.Array) -> np.ndarray:
+        """Rows of distinct units in the store, which learns those it lacks."""
+        found = pc.index_in(units, value_set=self.units)
+        rows, new = found.fill_null(-1).to_numpy().astype(np.int64), found.is_null().to_numpy(zero_copy_only=False)
+        if not new.any():
+            return rows
+        if len(self.units) + new.sum() > WORDS_HELD:
+            kept = rows[~new]
+            self._keep(self.units.take(pa.array(kept)), self.lengths[kept], self.ids[_spans(self.starts[kept], self.lengths[kept])])
+            rows[~new] = np.arange(len(kept))
+        rows[new] = self._learn(units.filter(pa.array(new)))
+        return rows
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Joined ids of a column of texts without nulls, and the number of ids of each text."""
+        lists = pc.ascii_split_whitespace(texts)
+        words = lists.flatten().dictionary_encode()
+        cut, at = pc.extract_regex(words.dictionary, self.WORD), words.indices.to_numpy()
+        letters = pc.if_else(cut.is_valid(), pc.utf8_lower(cut.field(0)), words.dictionary)
+        marks = pc.if_else(cut.is_valid(), cut.field(1), "")
+        units = pa.concat_arrays([letters, marks]).dictionary_encode()
+        rows = self._rows(units.dictionary)[units.indices.to_numpy().reshape(2, -1).T.ravel()]  # letters and marks of each word
+        n = self.lengths[rows].reshape(-1, 2).sum(axis=1)
+        ids = self.ids[_spans(self.starts[rows], self.lengths[rows])]
+        ids = ids[_spans((np.cumsum(n) - n)[at], n[at])]
+        ends = np.concatenate([[0], np.cumsum(n[at])])
+        counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        lists = [t.split() for t in texts]
-        words = set().union(*lists)
-        missing = words - self.young.keys()
-        if len(self.young) + len(missing) > WORDS_HELD:
-            self.old, self.young = self.young, {}
-            missing = words
-        young, old = self.young, self.old
-        split, plain, odd = [], set(), []
-        for w in missing:
-            known = old.get(w)
-            if known is not None:
-                young[w] = known
-                continue
-            base = w.rstrip(self.MARKS)
-            letters = base.decode("utf-8")
-            # a letter whose small form ends in a combining mark joins the marks that follow
-            if not (letters.isalpha() and letters.lower().isalpha()):
-                odd.append(w)
-                continue
-            marks = w[len(base):]
-            base = base.lower() if base.isascii() else base
-            split.append((w, base, marks))
-            for part in (base, marks):
-                if part and part not in young:
-                    if part in old:
-                        young[part] = old[part]
-                    else:
-                        plain.add(part)
-        for group in (list(plain), odd):
-            young.update(zip(group, self._encode(group)))
-        for w, base, marks in split:
-            young[w] = young[base] + young[marks] if marks else young[base]
-        return [np.frombuffer(b"".join([young[w] for w in ws]), dtype="<u4") for ws in lists]
+        ids, counts = self.encode_column(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(counts))[:-1]
+
+
+def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([len(p) // 4 for p in parts], dtype=np.int64), np.frombuffer(b"".join(parts), dtype="<u4")
 
 
 def _shard_writer(path: str, end_id: int, block: int, shard_ids: int, share: float, schema: pa.Schema):
@@ -246,11 +292,11 @@ def _shard_writer(path: str, end_id: int, block: int, shard_ids: int, share: flo
 
         row = 0
         for batch in batches:
-            for rows, data, offsets in pieces(batch):
-                texts = [data[i:j].tobytes() for i, j in zip(offsets[:-1], offsets[1:])]
-                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), words.encode(texts)):
-                    ids = np.append(ids, np.uint32(end_id)).astype(np.uint32)
-                    at = 0
+            for rows, _, _ in pieces(batch, limit=PIECE):
+                found, counts = words.encode_column(rows.column("text").cast(pa.string()).fill_null(""))
+                found, first = np.insert(found, np.cumsum(counts), end_id), 0
+                for doc_id, n in zip(rows.column("doc_id").to_pylist(), (counts + 1).tolist()):
+                    ids, at, first = found[first:first + n], 0, first + n
                     while at < len(ids):
                         take = min(len(ids) - at, shard_ids - filled)
                         held.append(ids[at:at + take])
@@ -331,22 +377,30 @@ def _decoded(batches):
         yield pa.RecordBatch.from_arrays([pa.array(v, type=t) for v, t in zip(out.values(), kinds)], names=list(out))
 
 
+def _times(m: list[int], v: int) -> int:
+    out, i = 0, 0
+    while v:
+        if v & 1:
+            out ^= m[i]
+        v, i = v >> 1, i + 1
+    return out
+
+
+@lru_cache(maxsize=64)
+def _zero_bits(power: int) -> list[int]:
+    """The matrix that shifts a checksum by 2^power zero bits; its column i is the image of bit i."""
+    if not power:
+        return [0xEDB88320] + [1 << i for i in range(31)]
+    half = _zero_bits(power - 1)
+    return [_times(half, x) for x in half]
+
+
 def crc_joined(first: int, second: int, length: int) -> int:
     """crc32 of two byte strings in a row, from the crc of each and the length of the second."""
-    def times(m, v):
-        out, i = 0, 0
-        while v:
-            if v & 1:
-                out ^= m[i]
-            v, i = v >> 1, i + 1
-        return out
-
-    step = [0xEDB88320] + [1 << i for i in range(31)]  # a shift by one zero bit
     bits = 8 * length
-    while bits:
-        if bits & 1:
-            first = times(step, first)
-        step, bits = [times(step, x) for x in step], bits >> 1
+    for power in range(bits.bit_length()):
+        if bits >> power & 1:
+            first = _times(_zero_bits(power), first)
     return first ^ second
 
 

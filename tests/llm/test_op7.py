@@ -82,3 +82,53 @@ def test_fuzzed_words():
     whole, words = Tokenizer.from_file(tokenizer_path()), pfor.WordIds(tokenizer_path())
     for text, ids in zip(texts, words.encode([t.encode() for t in texts])):
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+class Seen:
+    """A tokenizer that remembers what it was asked."""
+
+    def __init__(self, real):
+        self.real, self.texts = real, []
+
+    def encode(self, text, **kw):
+        self.texts.append(text)
+        return self.real.encode(text, **kw)
+
+    def encode_batch_fast(self, texts, **kw):
+        self.texts += texts
+        return self.real.encode_batch_fast(texts, **kw)
+
+
+def test_letters_skip_the_normalizer_and_pattern():
+    """What costs most: words of letters went through the whole tokenizer, all in one call with any odd one."""
+    words = pfor.WordIds(tokenizer_path())
+    whole, words.tokenizer = words.tokenizer, Seen(words.tokenizer)
+    text = "École, ecole. ECOLE! été naïve Москва? ΟΔΟΣ ẞtraße 3.14 don't İzmir 漢字"
+    for _ in range(2):
+        assert words.encode([text.encode()])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+    asked = " ".join(words.tokenizer.texts).split()
+    assert sorted(asked) == sorted([",", ".", "!", "?", "3.14", "don't", "İzmir", "漢字"])  # each once
+
+
+def test_every_letter_beside_others():
+    import re
+
+    from tokenizers import Tokenizer
+
+    whole, words = Tokenizer.from_file(tokenizer_path()), pfor.WordIds(tokenizer_path())
+    letters = [c for c in map(chr, range(0x3000)) if re.match(words.WORD.replace("?P<letters>", "").replace("?P<marks>", ""), c)]
+    assert len(letters) > 1000
+    texts = [t for c in letters for t in (c, f"{c}.", f"a{c}b,", f"{c}{c}é!", f"T{c}?!")]
+    for text, ids in zip(texts, words.encode([t.encode() for t in texts])):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_full_word_store(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(pfor, "WORDS_HELD", 6)
+    whole, words = Tokenizer.from_file(tokenizer_path()), pfor.WordIds(tokenizer_path())
+    for text in ("one two, three", "two, four 5 six", "", "one six. seven", "a b c d e f g h i", "one two, three"):
+        assert words.encode([text.encode(), b""])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert len(words.units) <= max(6, len(set(text.replace(",", " ,").replace(".", " .").split())) + 1)
+    assert words.encode([]) == []
