@@ -35,6 +35,7 @@ SHARD_IDS = 1 << 16
 SHARE = 0.9
 END_ID = 1
 WORDS_HELD = 700_000
+BYTES_HELD = 64 << 20  # of units and ids: texts without white space are long units
 PIECE = 8 << 20  # bytes of text whose distinct words are found together
 
 SHARDS = ("part int, shard int, n_ids int, block int, index binary, payload binary, "
@@ -157,9 +158,10 @@ class WordIds:
     units, and a unit that is not known yet goes to the tokenizer once. Units
     of ``LETTERS`` are one word to it as they are, so they need its byte
     symbols and merges alone; all others take the whole tokenizer.
-    At most ``WORDS_HELD`` units, or those of one piece if these are more, are
-    remembered; when they are full only those of the piece at hand stay, so
-    memory is bounded and frequent words stay.
+    At most ``WORDS_HELD`` units and about ``BYTES_HELD`` bytes, or those of
+    one piece if these are more, are remembered; when the store is full only
+    those of the piece at hand stay, so memory is bounded and frequent words
+    stay.
     """
 
     # Latin, Greek and Cyrillic letters that NFC leaves alone and whose small form is one letter
@@ -242,11 +244,12 @@ class WordIds:
         rows, new = found.fill_null(-1).to_numpy().astype(np.int64), found.is_null().to_numpy(zero_copy_only=False)
         if not new.any():
             return rows
-        if len(self.units) + new.sum() > WORDS_HELD:
+        unknown = units.filter(pa.array(new))
+        if len(self.units) + len(unknown) > WORDS_HELD or self.units.nbytes + self.ids.nbytes + unknown.nbytes > BYTES_HELD:
             kept = rows[~new]
             self._keep(self.units.take(pa.array(kept)), self.lengths[kept], self.ids[_spans(self.starts[kept], self.lengths[kept])])
             rows[~new] = np.arange(len(kept))
-        rows[new] = self._learn(units.filter(pa.array(new)))
+        rows[new] = self._learn(unknown)
         return rows
 
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -132,3 +132,14 @@ def test_full_word_store(monkeypatch):
         assert words.encode([text.encode(), b""])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
         assert len(words.units) <= max(6, len(set(text.replace(",", " ,").replace(".", " .").split())) + 1)
     assert words.encode([]) == []
+
+
+def test_long_units_do_not_pile_up(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(pfor, "BYTES_HELD", 20_000)
+    whole, words = Tokenizer.from_file(tokenizer_path()), pfor.WordIds(tokenizer_path())
+    for i in range(30):
+        text = f"one two, {'漢字' * 200}{i}"
+        assert words.encode([text.encode()])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert words.units.nbytes + words.ids.nbytes < 40_000
